@@ -31,7 +31,7 @@ def parse_date(c: str | Column, formats: Sequence[str] | str | None = None) -> C
         formats = (formats,)
     fmts = tuple(formats or DATE_FORMATS)
     s = F.trim(col(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in fmts])
+    return F.coalesce(*[F.try_to_date(s, f) for f in fmts])
 
 
 def season(month: Column) -> Column:
