@@ -64,3 +64,9 @@ def publish(df):
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation; null (not an ANSI divide error) when either side
+    has zero variance or fewer than two rows."""
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))

@@ -1,6 +1,6 @@
 """Composed plans over the operators and the registered query set."""
 
-from . import q_features, q_quality, q_rollup, q_series  # noqa: F401  (registers queries)
+from . import q_dist, q_features, q_io, q_quality, q_rollup, q_series  # noqa: F401  (registers queries)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
