@@ -70,3 +70,22 @@ def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation; null (not an ANSI divide error) when either side
     has zero variance or fewer than two rows."""
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
+def cents(c: str | Column, scale: int = 2) -> Column:
+    """Exact unscaled long of ``CAST(c AS DECIMAL(18, scale))``.
+
+    Fast path: a double already on the 10^-scale grid (rint(x*10^s)/10^s == x,
+    which holds for every value stored with at most ``scale`` decimals) is
+    converted with one multiply; anything else goes through the decimal cast,
+    so the result always equals the decimal cast."""
+    x = col(c).cast("double")
+    f = float(10**scale)
+    r = F.rint(x * f)
+    slow = (x.try_cast(DecimalType(18, scale)) * F.lit(10**scale)).cast("long")
+    return F.when(r / f == x, r.cast("long")).otherwise(slow)
+
+
+def from_cents(c: str | Column, scale: int = 2, precision: int = 18) -> Column:
+    """Long of unscaled units -> DECIMAL(precision, scale), exactly."""
+    return (col(c).cast(DecimalType(38, 0)) / F.lit(10**scale)).cast(DecimalType(precision, scale))

@@ -1,58 +1,99 @@
-"""Exact global order statistics without a single-partition sort.
+"""Exact global order statistics without a single-partition step.
 
 ``Window.orderBy(x)`` with no partition key moves every row into one task; an
 exact ``percentile`` keeps every distinct value of the group in one buffer.
 Both break once the input no longer fits one executor. The helpers here give
-the same exact answers from a plan in which every step is partitioned:
+the same exact answers from plans in which every step is partitioned.
+
+``global_rank`` (every row needs its rank):
 
 1. collapse the input to its distinct values with multiplicities (partial
    aggregation first, so a value held by a third of the rows is one row);
 2. cut the distinct values into ``buckets`` ranges at approximate quantiles
-   (one ``percentile_approx`` row, broadcast);
+   (one ``percentile_approx`` row, broadcast) and find each value's range by
+   binary search;
 3. count rows per range (<= ``buckets`` rows, so a global window over them is
    bounded) and take a running count inside each range (one range per task,
-   each about 1/``buckets`` of the distinct values; no ties inside a range
-   because values are distinct).
+   about 1/``buckets`` of the distinct values; no ties inside a range because
+   values are distinct). Rank = 1 + rows strictly before.
+
+``exact_quantiles`` (only a few positions are needed) brackets each target
+with approximate quantiles, counts the rows below the bracket exactly and
+sorts only the rows inside it; see its docstring.
 
-The "rows before" count of every distinct value is then exact, which yields
-``rank`` (1 + rows strictly before) and exact interpolated quantiles.
 Nothing runs until the caller's action."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = 1024
 
 
 def _distinct_counts(df: DataFrame, x: Column) -> DataFrame:
     return df.select(x.alias("_x")).where(F.col("_x").isNotNull()).groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
 
 
-def positions(values: DataFrame, descending: bool = False, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``values`` has one row per distinct ``_x`` with multiplicity ``_n``.
+def bucket_of(x: Column, bounds: Column, n: int) -> Column:
+    """Number of the ``n`` ascending ``bounds`` that are < x: a binary search
+    (ceil(log2(n + 1)) steps per row), so ``buckets`` can grow with the data
+    without growing the per-row cost."""
+    steps = max(1, math.ceil(math.log2(n + 1)))
 
-    Adds ``_before``: the number of input rows strictly before ``_x`` in the
-    requested order."""
+    def step(acc: Column, _i: Column) -> Column:
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.shiftright(lo + hi, 1)
+        go = (mid < hi) & (F.element_at(bounds, mid + 1) < x)
+        return F.struct(F.when(go, mid + 1).otherwise(lo).alias("lo"), F.when(go, hi).otherwise(mid).alias("hi"))
+
+    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
+def _bounds(values: DataFrame, buckets: int) -> DataFrame:
+    """One row: approximate range bounds ``_b`` of the distinct values and the
+    row total ``_N``. Reading ``_n`` keeps this branch's input identical to the
+    other branches', so Spark computes the distinct values once (exchange reuse)."""
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = values.agg(F.percentile_approx("_x", probs, 10000).alias("_b"))
-    v = values.crossJoin(F.broadcast(bounds)).select(
-        "_x", "_n", F.size(F.filter("_b", lambda b: b < F.col("_x"))).alias("_bk")
+    return values.agg(F.percentile_approx("_x", probs, 10000).alias("_b"), F.sum("_n").alias("_N"))
+
+
+def _bucketed(values: DataFrame, bounds: DataFrame, buckets: int) -> DataFrame:
+    """Attach ``_bk``: the range of ``_x`` among ``buckets`` approximate
+    quantile ranges of the distinct values (one broadcast row of bounds)."""
+    return values.crossJoin(F.broadcast(bounds.select("_b"))).select(
+        "_x", "_n", bucket_of(F.col("_x"), F.col("_b"), buckets - 1).alias("_bk")
     )
+
+
+def _bucket_offsets(vb: DataFrame, descending: bool) -> DataFrame:
+    """Per range: rows in it (``_bn``) and rows in all earlier ranges (``_off``);
+    at most ``buckets`` rows, so the global window is bounded."""
     bk = F.col("_bk").desc() if descending else F.col("_bk").asc()
-    xo = F.col("_x").desc() if descending else F.col("_x").asc()
     prior = Window.orderBy(bk).rowsBetween(Window.unboundedPreceding, -1)
-    per = (
-        v.groupBy("_bk")
-        .agg(F.sum("_n").alias("_bn"))
-        # at most ``buckets`` rows: a global window here is bounded
-        .select("_bk", F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_off"))
+    return vb.groupBy("_bk").agg(F.sum("_n").alias("_bn")).select(
+        "_bk", "_bn", F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_off")
     )
+
+
+def _within(vb: DataFrame, descending: bool) -> Column:
+    xo = F.col("_x").desc() if descending else F.col("_x").asc()
     inside = Window.partitionBy("_bk").orderBy(xo).rowsBetween(Window.unboundedPreceding, -1)
-    v = v.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return F.coalesce(F.sum("_n").over(inside), F.lit(0))
+
+
+def positions(values: DataFrame, descending: bool = False, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``values`` has one row per distinct ``_x`` with multiplicity ``_n``.
+
+    Adds ``_before``: the number of input rows strictly before ``_x`` in the
+    requested order."""
+    vb = _bucketed(values, _bounds(values, buckets), buckets)
+    per = _bucket_offsets(vb, descending).select("_bk", "_off")
+    v = vb.withColumn("_in", _within(vb, descending))
     return v.join(F.broadcast(per), "_bk").select("_x", "_n", (F.col("_off") + F.col("_in")).alias("_before"))
 
 
@@ -70,7 +111,7 @@ def global_rank(
     ranks = positions(values, descending, buckets).select(
         F.col("_x").alias(by), (F.col("_before") + 1).alias(out)
     )
-    n_nonnull = values.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_nn"))
+    n_nonnull = _bounds(values, buckets).select(F.coalesce(F.col("_N"), F.lit(0)).alias("_nn"))
     # the rank table has one row per distinct value; AQE broadcasts it only
     # when its runtime size is under the threshold, else it is a shuffle join
     joined = df.join(ranks, on=by, how="left")
@@ -86,30 +127,67 @@ def exact_quantiles(
     x: str | Column,
     probs: Sequence[float],
     names: Sequence[str] | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    accuracy: int = 10000,
 ) -> DataFrame:
     """One-row DataFrame of exact, linearly interpolated quantiles of ``x``
-    (position (n-1)*p, as SQL ``percentile_cont``). Nulls and NaN are ignored;
-    no rows give nulls."""
+    (position h = (n-1)*p, as SQL ``percentile_cont``). Nulls and NaN are
+    ignored; no rows give nulls.
+
+    Plan (all passes are partitioned aggregates or filters, no per-row search):
+    1. ``percentile_approx`` at p -/+ 3/accuracy brackets every target: its rank
+       error is at most n/accuracy, so the bracket holds positions floor(h)
+       and ceil(h);
+    2. one conditional count gives the exact number of rows below each bracket;
+    3. only rows inside a bracket (about 6n/accuracy per target) are sorted,
+       one window partition per target, to read the values at floor(h) and
+       ceil(h). If a bracket ever missed its target the query fails loudly
+       instead of returning a wrong number."""
     names = list(names or [f"q{i}" for i in range(len(probs))])
+    k_all = range(len(probs))
     xc = F.col(x) if isinstance(x, str) else x
-    xc = F.nanvl(xc.cast("double"), F.lit(None).cast("double"))
-    values = _distinct_counts(df, xc)
-    pos = positions(values, False, buckets)
-    total = values.agg(F.sum("_n").alias("_N"))
-    targets = total.select(
-        F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_i", "_p"), "_N"
-    ).select(
-        "_i",
-        ((F.col("_N") - 1) * F.col("_p")).alias("_h"),
-    ).select("_i", "_h", F.floor("_h").alias("_lo"), F.ceil("_h").alias("_hi"))
-
-    def covers(p: str) -> Column:
-        return (F.col("_before") <= F.col(p)) & (F.col(p) < F.col("_before") + F.col("_n"))
-
-    hits = pos.crossJoin(F.broadcast(targets)).where(covers("_lo") | covers("_hi"))
-    per_p = hits.groupBy("_i", "_h", "_lo").agg(
-        F.max(F.when(covers("_lo"), F.col("_x"))).alias("_xl"),
-        F.max(F.when(covers("_hi"), F.col("_x"))).alias("_xh"),
-    ).select("_i", (F.col("_xl") + (F.col("_xh") - F.col("_xl")) * (F.col("_h") - F.col("_lo"))).alias("_q"))
-    return per_p.agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+    vals = df.select(F.nanvl(xc.cast("double"), F.lit(None).cast("double")).alias("_x")).where(F.col("_x").isNotNull())
+    d = 3.0 / accuracy
+    grid = [max(0.0, p - d) for p in probs] + [min(1.0, p + d) for p in probs]
+    approx = vals.agg(F.percentile_approx("_x", grid, accuracy).alias("_a"), F.count(F.lit(1)).alias("_N"))
+    n1 = F.col("_N") - 1
+    br = approx.select(
+        "_N",
+        *[F.col("_a")[k].alias(f"_lo{k}") for k in k_all],
+        *[F.col("_a")[len(probs) + k].alias(f"_hi{k}") for k in k_all],
+        *[(n1 * F.lit(float(p))).alias(f"_h{k}") for k, p in enumerate(probs)],
+    )
+    j = vals.crossJoin(F.broadcast(br))
+    below = j.agg(*[F.count_if(F.col("_x") < F.col(f"_lo{k}")).alias(f"_below{k}") for k in k_all])
+
+    def inside(k: int) -> Column:
+        return (F.col("_x") >= F.col(f"_lo{k}")) & (F.col("_x") <= F.col(f"_hi{k}"))
+
+    any_inside = inside(0)
+    for k in list(k_all)[1:]:
+        any_inside = any_inside | inside(k)
+    tags = F.array(*[F.when(inside(k), F.lit(k)) for k in k_all])
+    cand = (
+        j.where(any_inside)
+        .select("_x", F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("_k"))
+        .crossJoin(F.broadcast(below))
+    )
+    start = F.element_at(F.array(*[F.col(f"_below{k}") for k in k_all]), F.col("_k") + 1)
+    w = Window.partitionBy("_k").orderBy("_x")
+    pos = cand.select("_x", "_k", (start + F.row_number().over(w) - 1).alias("_pos"))
+    hits = pos.crossJoin(F.broadcast(br.drop("_N")))
+    aggs = []
+    for k in k_all:
+        h = F.col(f"_h{k}")
+        mine = F.col("_k") == k
+        aggs += [
+            F.max(F.when(mine & (F.col("_pos") == F.floor(h)), F.col("_x"))).alias(f"_xl{k}"),
+            F.max(F.when(mine & (F.col("_pos") == F.ceil(h)), F.col("_x"))).alias(f"_xh{k}"),
+        ]
+    row = hits.agg(*aggs).crossJoin(F.broadcast(br.select("_N", *[f"_h{k}" for k in k_all])))
+    out = []
+    for k, n in zip(k_all, names):
+        xl, xh, h = F.col(f"_xl{k}"), F.col(f"_xh{k}"), F.col(f"_h{k}")
+        q = xl + (xh - xl) * (h - F.floor(h))
+        missed = (F.col("_N") > 0) & (xl.isNull() | xh.isNull())
+        out.append(F.when(missed, F.raise_error(F.lit("exact_quantiles: bracket missed its target"))).otherwise(q).cast("double").alias(n))
+    return row.select(*out)

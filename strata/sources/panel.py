@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..functions.dates import week_start
+from ..functions.numeric import cents, from_cents
 from ..spec import PanelSpec
 
 # ISO weeks marked as flagged periods in the fixture panel.
@@ -22,42 +23,43 @@ PANEL = PanelSpec()
 DIRTY = PanelSpec(value_scale=None)
 
 
-def _dec(c: str):
-    return F.col(c).cast(DecimalType(18, 2))
-
-
 def weekly_panel(lineitem: DataFrame) -> DataFrame:
     """entity bigint, dt date, value decimal(18,2), flag int, cov_a..cov_d double.
 
     One hash aggregate keyed by (supplier, week): map-side partial sums mean a
     supplier holding a large share of lineitem still sends one row per week
-    and task to the shuffle."""
+    and task to the shuffle. Money is summed as exact integer cents (long
+    arithmetic, equal to summing DECIMAL(18,2) values)."""
     g = (
         lineitem.select(
             F.col("l_suppkey").alias("entity"),
             week_start("l_shipdate").alias("dt"),
-            _dec("l_extendedprice").alias("_p"),
-            _dec("l_quantity").alias("_q"),
-            _dec("l_discount").alias("_d"),
-            _dec("l_tax").alias("_t"),
+            cents("l_extendedprice").alias("_p"),
+            cents("l_quantity").alias("_q"),
+            cents("l_discount").alias("_d"),
+            cents("l_tax").alias("_t"),
         )
         .groupBy("entity", "dt")
         .agg(
-            F.sum("_p").cast(DecimalType(18, 2)).alias("value"),
+            F.sum("_p").alias("_sp"),
             F.sum("_q").alias("_sq"),
             F.sum("_d").alias("_sd"),
             F.sum("_t").alias("_st"),
             F.count(F.lit(1)).alias("_n"),
         )
     )
+
+    def mean(c: str):
+        return from_cents(c, 2, 38).cast("double") / F.col("_n")
+
     return g.select(
         "entity",
         "dt",
-        "value",
+        from_cents("_sp").alias("value"),
         F.when(F.weekofyear("dt").isin(*FLAG_WEEKS), 1).otherwise(0).alias("flag"),
-        (F.col("_sq").cast("double") / F.col("_n")).alias("cov_a"),
-        (F.col("_sd").cast("double") / F.col("_n")).alias("cov_b"),
-        (F.col("_st").cast("double") / F.col("_n")).alias("cov_c"),
+        mean("_sq").alias("cov_a"),
+        mean("_sd").alias("cov_b"),
+        mean("_st").alias("cov_c"),
         F.col("_n").cast("double").alias("cov_d"),
     )
 
@@ -93,8 +95,8 @@ def daily_orders(orders: DataFrame) -> DataFrame:
         orders.select(
             F.col("o_custkey").alias("entity"),
             F.to_date("o_orderdate").alias("dt"),
-            F.col("o_totalprice").cast(DecimalType(18, 2)).alias("_v"),
+            cents("o_totalprice").alias("_v"),
         )
         .groupBy("entity", "dt")
-        .agg(F.sum("_v").cast(DecimalType(18, 2)).alias("value"))
+        .agg(from_cents(F.sum("_v")).alias("value"))
     )
