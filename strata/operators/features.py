@@ -50,10 +50,21 @@ def calendar_features(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     return df.withColumns(calendar_columns(F.col(spec.time)))
 
 
-def _rolling_avg(spec: PanelSpec, k: int) -> Column:
-    w = entity_window(spec).rowsBetween(-k + 1, 0)
+def _trailing(spec: PanelSpec, k: int) -> tuple[Column, Column]:
+    """Sum and count of the last k rows as differences of running totals:
+    O(1) per row for any k (a sliding frame re-aggregates k rows per row).
+    Exact, because the running sum is a decimal."""
+    w = entity_window(spec)
     m = money(spec.value, spec)
-    return F.try_divide(F.sum(m).over(w).cast("double"), F.count(m).over(w))
+    whole = Window.unboundedPreceding
+    run = entity_window(spec).rowsBetween(whole, 0)
+    cs = F.sum(F.coalesce(m, F.lit(0))).over(run)
+    cc = F.count(m).over(run)
+    # rows before the frame: running totals k rows back (0 before the start)
+    prev_s = F.coalesce(F.lag(cs, k).over(w), F.lit(0))
+    prev_c = F.coalesce(F.lag(cc, k).over(w), F.lit(0))
+    n = cc - prev_c
+    return F.when(n > 0, cs - prev_s), n
 
 
 def rolling_columns(
@@ -65,12 +76,11 @@ def rolling_columns(
     """Trailing k-row average and sum (partial windows count, as in the
     reference); rounded to 2. The sum is a true sum (ledger D1)."""
     out: dict[str, Column] = {}
-    m = money(spec.value, spec)
     for k in windows:
-        w = entity_window(spec).rowsBetween(-k + 1, 0)
-        out[avg_name.format(k=k)] = r2(_rolling_avg(spec, k))
+        s, n = _trailing(spec, k)
+        out[avg_name.format(k=k)] = r2(F.try_divide(s.cast("double"), n))
         if sum_name:
-            out[sum_name.format(k=k)] = r2(F.sum(m).over(w))
+            out[sum_name.format(k=k)] = r2(s)
     return out
 
 
