@@ -111,15 +111,17 @@ def global_rank(
     ranks = positions(values, descending, buckets).select(
         F.col("_x").alias(by), (F.col("_before") + 1).alias(out)
     )
-    n_nonnull = _bounds(values, buckets).select(F.coalesce(F.col("_N"), F.lit(0)).alias("_nn"))
+    # null and non-null counts: one row, broadcast
+    counts = df.agg(F.count_if(F.col(by).isNull()).alias("_nz"), F.count(F.col(by)).alias("_nn"))
     # the rank table has one row per distinct value; AQE broadcasts it only
     # when its runtime size is under the threshold, else it is a shuffle join
-    joined = df.join(ranks, on=by, how="left")
-    if descending:
-        joined = joined.crossJoin(F.broadcast(n_nonnull))
-        rank_col = F.when(F.col(by).isNull(), F.col("_nn") + 1).otherwise(F.col(out))
-        return joined.withColumn(out, rank_col.cast("int")).drop("_nn")
-    return joined.withColumn(out, F.coalesce(F.col(out), F.lit(1)).cast("int"))
+    joined = df.join(ranks, on=by, how="left").crossJoin(F.broadcast(counts))
+    isnull = F.col(by).isNull()
+    if descending:  # nulls last: they share the rank after every non-null row
+        rank_col = F.when(isnull, F.col("_nn") + 1).otherwise(F.col(out))
+    else:  # nulls first: they share rank 1 and push every other rank down
+        rank_col = F.when(isnull, F.lit(1)).otherwise(F.col(out) + F.col("_nz"))
+    return joined.withColumn(out, rank_col.cast("int")).drop("_nz", "_nn")
 
 
 def exact_quantiles(
@@ -138,7 +140,8 @@ def exact_quantiles(
        error is at most n/accuracy, so the bracket holds positions floor(h)
        and ceil(h);
     2. one conditional count gives the exact number of rows below each bracket;
-    3. only rows inside a bracket (about 6n/accuracy per target) are sorted,
+    3. only rows inside a bracket (about 6n/accuracy per target, or all rows
+       when n <= 4*accuracy) are sorted,
        one window partition per target, to read the values at floor(h) and
        ceil(h). If a bracket ever missed its target the query fails loudly
        instead of returning a wrong number."""
@@ -157,10 +160,14 @@ def exact_quantiles(
         *[(n1 * F.lit(float(p))).alias(f"_h{k}") for k, p in enumerate(probs)],
     )
     j = vals.crossJoin(F.broadcast(br))
-    below = j.agg(*[F.count_if(F.col("_x") < F.col(f"_lo{k}")).alias(f"_below{k}") for k in k_all])
+    # percentile_approx ranks by p*n while the target positions are (n-1)*p;
+    # the +-3/accuracy margin covers that once n >= 1.5*accuracy. Smaller
+    # inputs (at most 4*accuracy rows) take every row as a candidate.
+    small = F.col("_N") <= 4 * accuracy
+    below = j.agg(*[F.count_if(~small & (F.col("_x") < F.col(f"_lo{k}"))).alias(f"_below{k}") for k in k_all])
 
     def inside(k: int) -> Column:
-        return (F.col("_x") >= F.col(f"_lo{k}")) & (F.col("_x") <= F.col(f"_hi{k}"))
+        return small | ((F.col("_x") >= F.col(f"_lo{k}")) & (F.col("_x") <= F.col(f"_hi{k}")))
 
     any_inside = inside(0)
     for k in list(k_all)[1:]:

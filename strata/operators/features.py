@@ -146,7 +146,10 @@ def value_quartiles(df: DataFrame, spec: PanelSpec = DEFAULT, bounds: DataFrame
     for i, qc in enumerate(("_q1", "_q2", "_q3"), start=1):
         q = q.when(v <= F.col(qc), F.lit(i))
     q = q.otherwise(F.lit(4))
-    lab = F.element_at(F.array(*[F.lit(s) for s in QUARTILE_LABELS]), q)
+    qc = F.col("Sales_Quartile")
+    lab = F.when(qc.isNull(), F.lit(None))
+    for i, name in enumerate(QUARTILE_LABELS, start=1):
+        lab = lab.when(qc == i, F.lit(name))
     cols = df.columns
     out = with_scalars(df, b).withColumn("Sales_Quartile", q.cast("int"))
     return out.select(*cols, lab.alias("Sales_Category"), "Sales_Quartile")
