@@ -154,3 +154,24 @@ def peak_flag_periods(df: DataFrame, spec: PanelSpec = DEFAULT, n: int = 10) ->
         .agg(r2(exact_sum(spec.value, spec)).alias("Total_Sales"), F.count(F.lit(1)).alias("Entities"))
     )
     return top(g, "Total_Sales", n, tie=[spec.time])
+
+
+def chart_data(df: DataFrame, spec: PanelSpec = DEFAULT, top_n: int = 10) -> dict[str, DataFrame]:
+    """The data behind every chart of the reference's dashboard, as lazy
+    DataFrames over one input (cache ``df`` first when evaluating several)."""
+    from .kpi import revenue_by_year
+    from .rollup import flag_kpi, top_entities
+    from .series import seasonality
+
+    return {
+        "series": series_points(df, spec),
+        "top_entities": top_entities(df, spec, top_n),
+        "bottom_entities": top_entities(df, spec, top_n, bottom=True),
+        "seasons": season_avg(df, spec),
+        "months": seasonality(df, spec, "Month"),
+        "flag_impact": flag_kpi(df, spec),
+        "histogram": histogram(df, spec),
+        "box": box_summary(df, spec),
+        "correlation": correlation_matrix(df, spec),
+        "years": revenue_by_year(df, spec),
+    }

@@ -9,8 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
 
 
+_SCHEMAS: dict[tuple[str, float], StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Parquet table ``name`` under ``sf_dir``. The footer schema is read once
+    per path and modification time, so repeated reads skip Spark's schema
+    inference job."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def weekly_sales_schema() -> StructType:

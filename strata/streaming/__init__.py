@@ -1,0 +1,6 @@
+"""Streaming: the reference has no streaming code (its README lists it only as
+future work), so nothing is built here. Every operator in ``strata`` is a
+DataFrame -> DataFrame function, so a caller who needs it on a stream can
+apply the row-level ones (calendar parts, cleaning expressions) to a
+``readStream`` DataFrame directly, or any operator per micro-batch inside
+``writeStream.foreachBatch``."""
