@@ -141,7 +141,8 @@ def exact_quantiles(
        and ceil(h);
     2. one conditional count gives the exact number of rows below each bracket;
     3. only rows inside a bracket (about 6n/accuracy per target, or all rows
-       when n <= 4*accuracy) are sorted,
+       when n <= 4*accuracy), collapsed to distinct values with counts, are
+       sorted,
        one window partition per target, to read the values at floor(h) and
        ceil(h). If a bracket ever missed its target the query fails loudly
        instead of returning a wrong number."""
@@ -173,22 +174,30 @@ def exact_quantiles(
     for k in list(k_all)[1:]:
         any_inside = any_inside | inside(k)
     tags = F.array(*[F.when(inside(k), F.lit(k)) for k in k_all])
+    # candidates collapse to (target, distinct value, count) before the sort,
+    # so a value shared by a large share of the rows is one row here
     cand = (
         j.where(any_inside)
         .select("_x", F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("_k"))
+        .groupBy("_k", "_x")
+        .agg(F.count(F.lit(1)).alias("_c"))
         .crossJoin(F.broadcast(below))
     )
     start = F.element_at(F.array(*[F.col(f"_below{k}") for k in k_all]), F.col("_k") + 1)
-    w = Window.partitionBy("_k").orderBy("_x")
-    pos = cand.select("_x", "_k", (start + F.row_number().over(w) - 1).alias("_pos"))
+    prior = Window.partitionBy("_k").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    pos = cand.select("_x", "_k", "_c", (start + F.coalesce(F.sum("_c").over(prior), F.lit(0))).alias("_before"))
     hits = pos.crossJoin(F.broadcast(br.drop("_N")))
+
+    def covers(p: Column) -> Column:
+        return (F.col("_before") <= p) & (p < F.col("_before") + F.col("_c"))
+
     aggs = []
     for k in k_all:
         h = F.col(f"_h{k}")
         mine = F.col("_k") == k
         aggs += [
-            F.max(F.when(mine & (F.col("_pos") == F.floor(h)), F.col("_x"))).alias(f"_xl{k}"),
-            F.max(F.when(mine & (F.col("_pos") == F.ceil(h)), F.col("_x"))).alias(f"_xh{k}"),
+            F.max(F.when(mine & covers(F.floor(h)), F.col("_x"))).alias(f"_xl{k}"),
+            F.max(F.when(mine & covers(F.ceil(h)), F.col("_x"))).alias(f"_xh{k}"),
         ]
     row = hits.agg(*aggs).crossJoin(F.broadcast(br.select("_N", *[f"_h{k}" for k in k_all])))
     out = []
