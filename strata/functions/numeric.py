@@ -78,8 +78,16 @@ def cents(c: str | Column, scale: int = 2) -> Column:
     Fast path: a double already on the 10^-scale grid (rint(x*10^s)/10^s == x,
     which holds for every value stored with at most ``scale`` decimals) is
     converted with one multiply; anything else goes through the decimal cast,
-    so the result always equals the decimal cast."""
-    x = col(c).cast("double")
+    so the result always equals the decimal cast. Stated as one SQL
+    expression (one JVM call to build)."""
+    if isinstance(c, str):
+        x = f"CAST(`{c}` AS DOUBLE)"
+        f = 10**scale
+        return F.expr(
+            f"CASE WHEN rint({x} * {f}.0) / {f}.0 = {x} THEN CAST(rint({x} * {f}.0) AS BIGINT) "
+            f"ELSE CAST(try_cast({x} AS DECIMAL(18,{scale})) * {f} AS BIGINT) END"
+        )
+    x = c.cast("double")
     f = float(10**scale)
     r = F.rint(x * f)
     slow = (x.try_cast(DecimalType(18, scale)) * F.lit(10**scale)).cast("long")
@@ -88,4 +96,6 @@ def cents(c: str | Column, scale: int = 2) -> Column:
 
 def from_cents(c: str | Column, scale: int = 2, precision: int = 18) -> Column:
     """Long of unscaled units -> DECIMAL(precision, scale), exactly."""
-    return (col(c).cast(DecimalType(38, 0)) / F.lit(10**scale)).cast(DecimalType(precision, scale))
+    if isinstance(c, str):
+        return F.expr(f"CAST(CAST(`{c}` AS DECIMAL(38,0)) / {10**scale} AS DECIMAL({precision},{scale}))")
+    return (c.cast(DecimalType(38, 0)) / F.lit(10**scale)).cast(DecimalType(precision, scale))

@@ -38,20 +38,18 @@ def _distinct_counts(df: DataFrame, x: Column) -> DataFrame:
     return df.select(x.alias("_x")).where(F.col("_x").isNotNull()).groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
 
 
-def bucket_of(x: Column, bounds: Column, n: int) -> Column:
-    """Number of the ``n`` ascending ``bounds`` that are < x: a binary search
-    (ceil(log2(n + 1)) steps per row), so ``buckets`` can grow with the data
-    without growing the per-row cost."""
+def bucket_of(x: str, bounds: str, n: int) -> Column:
+    """Number of the ``n`` ascending ``bounds`` (an array column) that are < x
+    (a column): a binary search of ceil(log2(n + 1)) steps per row, so
+    ``buckets`` can grow with the data without growing the per-row cost."""
     steps = max(1, math.ceil(math.log2(n + 1)))
-
-    def step(acc: Column, _i: Column) -> Column:
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.shiftright(lo + hi, 1)
-        go = (mid < hi) & (F.element_at(bounds, mid + 1) < x)
-        return F.struct(F.when(go, mid + 1).otherwise(lo).alias("lo"), F.when(go, hi).otherwise(mid).alias("hi"))
-
-    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+    mid = "shiftright(a.lo + a.hi, 1)"
+    return F.expr(
+        f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', size({bounds})), "
+        f"(a, i) -> CASE WHEN {mid} < a.hi AND element_at({bounds}, {mid} + 1) < {x} "
+        f"THEN named_struct('lo', {mid} + 1, 'hi', a.hi) ELSE named_struct('lo', a.lo, 'hi', {mid}) END, "
+        "a -> a.lo)"
+    )
 
 
 def _bounds(values: DataFrame, buckets: int) -> DataFrame:
@@ -66,24 +64,26 @@ def _bucketed(values: DataFrame, bounds: DataFrame, buckets: int) -> DataFrame:
     """Attach ``_bk``: the range of ``_x`` among ``buckets`` approximate
     quantile ranges of the distinct values (one broadcast row of bounds)."""
     return values.crossJoin(F.broadcast(bounds.select("_b"))).select(
-        "_x", "_n", bucket_of(F.col("_x"), F.col("_b"), buckets - 1).alias("_bk")
+        "_x", "_n", bucket_of("_x", "_b", buckets - 1).alias("_bk")
     )
 
 
 def _bucket_offsets(vb: DataFrame, descending: bool) -> DataFrame:
     """Per range: rows in it (``_bn``) and rows in all earlier ranges (``_off``);
     at most ``buckets`` rows, so the global window is bounded."""
-    bk = F.col("_bk").desc() if descending else F.col("_bk").asc()
-    prior = Window.orderBy(bk).rowsBetween(Window.unboundedPreceding, -1)
-    return vb.groupBy("_bk").agg(F.sum("_n").alias("_bn")).select(
-        "_bk", "_bn", F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_off")
+    order = "DESC" if descending else "ASC"
+    return vb.groupBy("_bk").agg(F.sum("_n").alias("_bn")).selectExpr(
+        "_bk", "_bn",
+        f"coalesce(sum(_bn) OVER (ORDER BY _bk {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off",
     )
 
 
-def _within(vb: DataFrame, descending: bool) -> Column:
-    xo = F.col("_x").desc() if descending else F.col("_x").asc()
-    inside = Window.partitionBy("_bk").orderBy(xo).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("_n").over(inside), F.lit(0))
+def _within(descending: bool) -> Column:
+    order = "DESC" if descending else "ASC"
+    return F.expr(
+        f"coalesce(sum(_n) OVER (PARTITION BY _bk ORDER BY _x {order} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    )
 
 
 def positions(values: DataFrame, descending: bool = False, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
@@ -93,7 +93,7 @@ def positions(values: DataFrame, descending: bool = False, buckets: int = DEFAUL
     requested order."""
     vb = _bucketed(values, _bounds(values, buckets), buckets)
     per = _bucket_offsets(vb, descending).select("_bk", "_off")
-    v = vb.withColumn("_in", _within(vb, descending))
+    v = vb.withColumn("_in", _within(descending))
     return v.join(F.broadcast(per), "_bk").select("_x", "_n", (F.col("_off") + F.col("_in")).alias("_before"))
 
 
@@ -147,63 +147,60 @@ def exact_quantiles(
        ceil(h). If a bracket ever missed its target the query fails loudly
        instead of returning a wrong number."""
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    k_all = range(len(probs))
+    ks = range(len(probs))
+    P = len(probs)
+    E = F.expr
     xc = F.col(x) if isinstance(x, str) else x
-    vals = df.select(F.nanvl(xc.cast("double"), F.lit(None).cast("double")).alias("_x")).where(F.col("_x").isNotNull())
+    vals = df.select(F.nanvl(xc.cast("double"), F.lit(None).cast("double")).alias("_x")).where("_x IS NOT NULL")
     d = 3.0 / accuracy
     grid = [max(0.0, p - d) for p in probs] + [min(1.0, p + d) for p in probs]
     approx = vals.agg(F.percentile_approx("_x", grid, accuracy).alias("_a"), F.count(F.lit(1)).alias("_N"))
-    n1 = F.col("_N") - 1
-    br = approx.select(
+    br = approx.selectExpr(
         "_N",
-        *[F.col("_a")[k].alias(f"_lo{k}") for k in k_all],
-        *[F.col("_a")[len(probs) + k].alias(f"_hi{k}") for k in k_all],
-        *[(n1 * F.lit(float(p))).alias(f"_h{k}") for k, p in enumerate(probs)],
+        *[f"_a[{k}] AS _lo{k}" for k in ks],
+        *[f"_a[{P + k}] AS _hi{k}" for k in ks],
+        *[f"(_N - 1) * CAST({float(p)!r} AS DOUBLE) AS _h{k}" for k, p in enumerate(probs)],
     )
     j = vals.crossJoin(F.broadcast(br))
     # percentile_approx ranks by p*n while the target positions are (n-1)*p;
     # the +-3/accuracy margin covers that once n >= 1.5*accuracy. Smaller
     # inputs (at most 4*accuracy rows) take every row as a candidate.
-    small = F.col("_N") <= 4 * accuracy
-    below = j.agg(*[F.count_if(~small & (F.col("_x") < F.col(f"_lo{k}"))).alias(f"_below{k}") for k in k_all])
-
-    def inside(k: int) -> Column:
-        return small | ((F.col("_x") >= F.col(f"_lo{k}")) & (F.col("_x") <= F.col(f"_hi{k}")))
-
-    any_inside = inside(0)
-    for k in list(k_all)[1:]:
-        any_inside = any_inside | inside(k)
-    tags = F.array(*[F.when(inside(k), F.lit(k)) for k in k_all])
+    small = f"(_N <= {4 * accuracy})"
+    below = j.agg(*[E(f"count_if(NOT {small} AND _x < _lo{k})").alias(f"_below{k}") for k in ks])
+    inside = [f"({small} OR (_x >= _lo{k} AND _x <= _hi{k}))" for k in ks]
+    tags = "array(" + ", ".join(f"CASE WHEN {c} THEN {k} END" for k, c in zip(ks, inside)) + ")"
     # candidates collapse to (target, distinct value, count) before the sort,
     # so a value shared by a large share of the rows is one row here
     cand = (
-        j.where(any_inside)
-        .select("_x", F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("_k"))
+        j.where(" OR ".join(inside))
+        .select("_x", E(f"explode(filter({tags}, t -> t IS NOT NULL))").alias("_k"))
         .groupBy("_k", "_x")
         .agg(F.count(F.lit(1)).alias("_c"))
         .crossJoin(F.broadcast(below))
     )
-    start = F.element_at(F.array(*[F.col(f"_below{k}") for k in k_all]), F.col("_k") + 1)
-    prior = Window.partitionBy("_k").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
-    pos = cand.select("_x", "_k", "_c", (start + F.coalesce(F.sum("_c").over(prior), F.lit(0))).alias("_before"))
+    start = "element_at(array(" + ", ".join(f"_below{k}" for k in ks) + "), _k + 1)"
+    pos = cand.selectExpr(
+        "_x", "_k", "_c",
+        f"{start} + coalesce(sum(_c) OVER (PARTITION BY _k ORDER BY _x "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+    )
     hits = pos.crossJoin(F.broadcast(br.drop("_N")))
 
-    def covers(p: Column) -> Column:
-        return (F.col("_before") <= p) & (p < F.col("_before") + F.col("_c"))
+    def covers(p: str) -> str:
+        return f"(_before <= {p} AND {p} < _before + _c)"
 
     aggs = []
-    for k in k_all:
-        h = F.col(f"_h{k}")
-        mine = F.col("_k") == k
+    for k in ks:
         aggs += [
-            F.max(F.when(mine & covers(F.floor(h)), F.col("_x"))).alias(f"_xl{k}"),
-            F.max(F.when(mine & covers(F.ceil(h)), F.col("_x"))).alias(f"_xh{k}"),
+            E(f"max(CASE WHEN _k = {k} AND {covers(f'floor(_h{k})')} THEN _x END)").alias(f"_xl{k}"),
+            E(f"max(CASE WHEN _k = {k} AND {covers(f'ceil(_h{k})')} THEN _x END)").alias(f"_xh{k}"),
         ]
-    row = hits.agg(*aggs).crossJoin(F.broadcast(br.select("_N", *[f"_h{k}" for k in k_all])))
-    out = []
-    for k, n in zip(k_all, names):
-        xl, xh, h = F.col(f"_xl{k}"), F.col(f"_xh{k}"), F.col(f"_h{k}")
-        q = xl + (xh - xl) * (h - F.floor(h))
-        missed = (F.col("_N") > 0) & (xl.isNull() | xh.isNull())
-        out.append(F.when(missed, F.raise_error(F.lit("exact_quantiles: bracket missed its target"))).otherwise(q).cast("double").alias(n))
-    return row.select(*out)
+    row = hits.agg(*aggs).crossJoin(F.broadcast(br.select("_N", *[f"_h{k}" for k in ks])))
+    return row.selectExpr(
+        *[
+            f"CAST(CASE WHEN _N > 0 AND (_xl{k} IS NULL OR _xh{k} IS NULL) "
+            f"THEN raise_error('exact_quantiles: bracket missed its target') "
+            f"ELSE _xl{k} + (_xh{k} - _xl{k}) * (_h{k} - floor(_h{k})) END AS DOUBLE) AS `{n}`"
+            for k, n in zip(ks, names)
+        ]
+    )

@@ -53,18 +53,27 @@ def calendar_features(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
 def _trailing(spec: PanelSpec, k: int) -> tuple[Column, Column]:
     """Sum and count of the last k rows as differences of running totals:
     O(1) per row for any k (a sliding frame re-aggregates k rows per row).
-    Exact, because the running sum is a decimal."""
-    w = entity_window(spec)
-    m = money(spec.value, spec)
-    whole = Window.unboundedPreceding
-    run = entity_window(spec).rowsBetween(whole, 0)
-    cs = F.sum(F.coalesce(m, F.lit(0))).over(run)
-    cc = F.count(m).over(run)
-    # rows before the frame: running totals k rows back (0 before the start)
-    prev_s = F.coalesce(F.lag(cs, k).over(w), F.lit(0))
-    prev_c = F.coalesce(F.lag(cc, k).over(w), F.lit(0))
-    n = cc - prev_c
-    return F.when(n > 0, cs - prev_s), n
+    Exact, because the running sum is a decimal. Stated in SQL so each
+    column is one JVM call to build."""
+    m = _money_sql(spec)
+    w = _window_sql(spec)
+    cs = f"sum(coalesce({m}, 0)) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    cc = f"count({m}) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    # running totals k rows back (0 before the first row)
+    n = f"({cc} - coalesce(lag({cc}, {k}) OVER ({w}), 0))"
+    total = f"CASE WHEN {n} > 0 THEN {cs} - coalesce(lag({cs}, {k}) OVER ({w}), 0) END"
+    return F.expr(total), F.expr(n)
+
+
+def _money_sql(spec: PanelSpec) -> str:
+    if spec.value_scale is None:
+        return f"nanvl(CAST(`{spec.value}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+    return f"try_cast(`{spec.value}` AS DECIMAL({spec.value_precision},{spec.value_scale}))"
+
+
+def _window_sql(spec: PanelSpec) -> str:
+    order = ", ".join(f"`{c}`" for c in spec.order)
+    return f"PARTITION BY `{spec.entity}` ORDER BY {order}"
 
 
 def rolling_columns(

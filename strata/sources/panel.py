@@ -50,17 +50,17 @@ def weekly_panel(lineitem: DataFrame) -> DataFrame:
     )
 
     def mean(c: str):
-        return from_cents(c, 2, 38).cast("double") / F.col("_n")
+        return F.expr(f"CAST(CAST(`{c}` AS DECIMAL(38,0)) / 100 AS DOUBLE) / `_n`")
 
     return g.select(
         "entity",
         "dt",
         from_cents("_sp").alias("value"),
-        F.when(F.weekofyear("dt").isin(*FLAG_WEEKS), 1).otherwise(0).alias("flag"),
+        F.expr(f"CASE WHEN weekofyear(dt) IN ({', '.join(map(str, FLAG_WEEKS))}) THEN 1 ELSE 0 END").alias("flag"),
         mean("_sq").alias("cov_a"),
         mean("_sd").alias("cov_b"),
         mean("_st").alias("cov_c"),
-        F.col("_n").cast("double").alias("cov_d"),
+        F.expr("CAST(`_n` AS DOUBLE)").alias("cov_d"),
     )
 
 
@@ -98,5 +98,6 @@ def daily_orders(orders: DataFrame) -> DataFrame:
             cents("o_totalprice").alias("_v"),
         )
         .groupBy("entity", "dt")
-        .agg(from_cents(F.sum("_v")).alias("value"))
+        .agg(F.sum("_v").alias("_sv"))
+        .select("entity", "dt", from_cents("_sv").alias("value"))
     )
