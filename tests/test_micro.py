@@ -208,3 +208,20 @@ def test_unknown_parameters_raise(spark):
         RU.rollup_time(p, SPEC, "Decade")
     with pytest.raises(ValueError):
         K.top_by_metric(p, SPEC, "Bogus")
+
+
+def test_hot_value_third_of_rows(spark):
+    """One value held by a third of the rows: exact answers, and the value is
+    one row (with its count) when the ranges are sorted."""
+    n = 30000
+    df = spark.range(n).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 500.0 ELSE CAST(id % 997 AS DOUBLE) END AS x")
+    probs = [0.1, 0.3, 0.5, 0.9]
+    got = list(exact_quantiles(df, "x", probs, accuracy=1000).collect()[0])
+    want = df.agg(F.percentile("x", probs)).collect()[0][0]
+    assert got == want
+    from pyspark.sql import Window
+
+    ranked = global_rank(df, "x", "r", descending=True, buckets=16)
+    want_r = df.select("id", F.rank().over(Window.orderBy(F.col("x").desc())).alias("w"))
+    bad = ranked.join(want_r, "id").where("r != w").count()
+    assert bad == 0
