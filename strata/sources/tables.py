@@ -6,7 +6,18 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
+
+from ..spec import PanelSpec
+
+# Column roles of the weekly store-sales layout (raw file: Date is text).
+WEEKLY_SALES = PanelSpec(
+    entity="Store",
+    time="Date",
+    value="Weekly_Sales",
+    flag="Holiday_Flag",
+    covariates=("Temperature", "Fuel_Price", "CPI", "Unemployment"),
+)
 
 
 _SCHEMAS: dict[tuple[str, float], StructType] = {}
@@ -26,22 +37,35 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def weekly_sales_schema() -> StructType:
-    """The reference's fixed 8-column raw layout (all nullable)."""
+def weekly_sales_schema(exact: bool = True) -> StructType:
+    """The fixed 8-column raw layout of weekly store sales (all nullable).
+
+    ``exact`` reads the money column as DECIMAL(18,2) and the covariates as
+    double straight from the text; ``exact=False`` keeps 32-bit floats, where
+    1643690.90 reads as 1643690.875."""
+    money = DecimalType(18, 2) if exact else FloatType()
+    num = DoubleType() if exact else FloatType()
     return StructType(
         [
             StructField("Store", IntegerType(), True),
             StructField("Date", StringType(), True),
-            StructField("Weekly_Sales", FloatType(), True),
+            StructField("Weekly_Sales", money, True),
             StructField("Holiday_Flag", IntegerType(), True),
-            StructField("Temperature", FloatType(), True),
-            StructField("Fuel_Price", FloatType(), True),
-            StructField("CPI", FloatType(), True),
-            StructField("Unemployment", FloatType(), True),
+            StructField("Temperature", num, True),
+            StructField("Fuel_Price", num, True),
+            StructField("CPI", num, True),
+            StructField("Unemployment", num, True),
         ]
     )
 
 
+def load_weekly_sales(spark: SparkSession, path: str, exact: bool = True) -> DataFrame:
+    """The weekly store-sales CSV with its fixed schema (header row, no
+    inference pass). Use with ``WEEKLY_SALES`` and ``clean_panel(df,
+    WEEKLY_SALES, "Date")`` to parse the text dates."""
+    return load_csv(spark, path, schema=weekly_sales_schema(exact), header=True)
+
+
 def load_csv(
     spark: SparkSession,
     path: str,
