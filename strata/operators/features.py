@@ -169,14 +169,121 @@ def feature_set(
     spec: PanelSpec = DEFAULT,
     windows: Sequence[int] = (4, 12, 26),
     lags: Sequence[int] = (1, 4, 52),
+    split_block: Column | None = None,
 ) -> DataFrame:
     """Calendar + rolling + lags + growth + year-to-date + quartiles in one
-    projection of window expressions (one Exchange on the entity)."""
+    projection of window expressions (one Exchange on the entity).
+
+    ``split_block`` (e.g. ``F.year("dt")``) switches the rolling and lag
+    columns to ``split_window_features``, for panels where one entity holds
+    a large share of the rows; the year-to-date window is already split by
+    (entity, year). Results are identical."""
     cols: dict[str, Column] = {}
     cols.update(calendar_columns(F.col(spec.time)))
-    cols.update(rolling_columns(spec, windows))
-    cols.update(lag_columns(spec, lags))
-    cols.update(growth_columns(spec))
-    cols.update(cumulative_columns(spec, per_year=True))
-    feats = df.withColumns(cols)
+    if split_block is None:
+        cols.update(rolling_columns(spec, windows))
+        cols.update(lag_columns(spec, lags))
+        cols.update(growth_columns(spec))
+        feats = df.withColumns(cols)
+    else:
+        need = sorted(set(lags) | {1, 52})
+        feats = split_window_features(df, spec, windows, need, split_block)
+        v = F.col(spec.value)
+        feats = feats.withColumns(cols).withColumns(
+            {
+                "Sales_Prev_Week": F.col("Sales_Lag_1W"),
+                "WoW_Growth_Pct": growth_pct(v, F.col("Sales_Lag_1W")),
+                "Sales_Prev_Year": F.col("Sales_Lag_52W"),
+                "YoY_Growth_Pct": growth_pct(v, F.col("Sales_Lag_52W")),
+            }
+        )
+        names = list(calendar_columns(F.col(spec.time)))
+        names += [n for k in windows for n in (f"Rolling_Avg_{k}W", f"Rolling_Sum_{k}W")]
+        names += [f"Sales_Lag_{k}W" for k in lags]
+        names += ["Sales_Prev_Week", "WoW_Growth_Pct", "Sales_Prev_Year", "YoY_Growth_Pct"]
+        feats = feats.select(*df.columns, *names)
+    feats = feats.withColumns(cumulative_columns(spec, per_year=True))
     return value_quartiles(feats, spec, quartile_bounds(df, spec))
+
+
+def split_window_features(
+    df: DataFrame,
+    spec: PanelSpec = DEFAULT,
+    windows: Sequence[int] = (4, 12, 26),
+    lags: Sequence[int] = (1, 4, 52),
+    block: Column | None = None,
+) -> DataFrame:
+    """Rolling sums / averages and lags without one task per entity, for a
+    panel where one entity may hold a large share of all rows.
+
+    1. Row numbers and running sums are computed inside (entity, time block)
+       windows (``block`` defaults to the year) and shifted by the totals of
+       the earlier blocks (a small per-block aggregate).
+    2. Every row is sent to the rows k positions later, for each needed k, and
+       one ``groupBy(entity, row)`` gathers them: each group holds at most
+       1 + |k| rows and the groups of one entity hash over all partitions.
+    Same columns and values as ``rolling_columns`` + ``lag_columns``."""
+    ent = spec.entity
+    m = money(spec.value, spec)
+    blk = block if block is not None else F.year(spec.time)
+    base = df.withColumn("_blk", blk)
+    order = [F.col(c) for c in spec.order]
+    inside = Window.partitionBy(ent, "_blk").orderBy(*order)
+    run = inside.rowsBetween(Window.unboundedPreceding, 0)
+    base = base.withColumns(
+        {
+            "_rn": F.row_number().over(inside),
+            "_cs": F.sum(F.coalesce(m, F.lit(0))).over(run),
+            "_cc": F.count(m).over(run),
+        }
+    )
+    prior = Window.partitionBy(ent).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        base.groupBy(ent, "_blk")
+        .agg(F.count(F.lit(1)).alias("_bn"), F.sum(F.coalesce(m, F.lit(0))).alias("_bs"), F.count(m).alias("_bc"))
+        .select(
+            ent,
+            "_blk",
+            F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"),
+            F.coalesce(F.sum("_bs").over(prior), F.lit(0)).alias("_os"),
+            F.coalesce(F.sum("_bc").over(prior), F.lit(0)).alias("_oc"),
+        )
+    )
+    rows = base.join(blocks, [ent, "_blk"]).withColumns(
+        {
+            "_rn": F.col("_rn") + F.col("_on"),
+            "_cs": F.col("_cs") + F.col("_os"),
+            "_cc": F.col("_cc") + F.col("_oc"),
+        }
+    )
+    ks = sorted(set(windows) | set(lags))
+    copies = rows.select(
+        ent,
+        F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
+        F.col(spec.value).alias("_v"),
+        "_rn",
+        "_cs",
+        "_cc",
+        F.explode(F.array(*[F.lit(k) for k in [0, *ks]])).alias("_k"),
+    ).withColumn("_t", F.col("_rn") + F.col("_k"))
+
+    def at(k: int, c: str) -> Column:
+        return F.max(F.when(F.col("_k") == k, F.col(c)))
+
+    g = copies.groupBy(ent, "_t").agg(
+        F.first(F.when(F.col("_k") == 0, F.col("_row")), ignorenulls=True).alias("_row"),
+        at(0, "_cs").alias("_cs0"),
+        at(0, "_cc").alias("_cc0"),
+        *[at(k, "_cs").alias(f"_cs{k}") for k in ks],
+        *[at(k, "_cc").alias(f"_cc{k}") for k in ks],
+        *[at(k, "_v").alias(f"_v{k}") for k in lags],
+    ).where(F.col("_row").isNotNull())
+    out: dict[str, Column] = {}
+    for k in windows:
+        n = F.col("_cc0") - F.coalesce(F.col(f"_cc{k}"), F.lit(0))
+        s = F.when(n > 0, F.col("_cs0") - F.coalesce(F.col(f"_cs{k}"), F.lit(0)))
+        out[f"Rolling_Avg_{k}W"] = r2(F.try_divide(s.cast("double"), n))
+        out[f"Rolling_Sum_{k}W"] = r2(s)
+    for k in lags:
+        out[f"Sales_Lag_{k}W"] = F.col(f"_v{k}")
+    return g.select("_row.*", *[c.alias(n) for n, c in out.items()])

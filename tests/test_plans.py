@@ -98,3 +98,42 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert len(df.columns) == 34
+
+
+def test_split_window_features_equal_default(spark, inputs):
+    from pyspark.sql import functions as F
+
+    p, _ = inputs
+    a = FE.feature_set(p, SPEC)
+    b = FE.feature_set(p, SPEC, split_block=F.year("dt"))
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # fine blocks: a block boundary every 4 weeks, lags of 52 rows cross many
+    c = FE.split_window_features(p, SPEC, block=F.floor(F.datediff("dt", F.lit("1990-01-01")) / 28))
+    cols = {}
+    cols.update(FE.rolling_columns(SPEC))
+    cols.update(FE.lag_columns(SPEC))
+    d = p.withColumns(cols)
+    c = c.select(*d.columns)
+    assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
+
+
+def test_split_window_features_spread_one_entity(spark):
+    """One entity holding every row: the large shuffles are keyed by
+    (entity, block) and (entity, row), never by the entity alone."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(3000).selectExpr(
+        "7L AS entity", "date_add(DATE'2000-01-03', CAST(id AS INT) * 7) AS dt",
+        "CAST(id % 113 AS DECIMAL(18,2)) AS value", "0 AS flag",
+    )
+    spec = SPEC.with_(covariates=())
+    out = FE.split_window_features(df, spec, block=F.year("dt"))
+    plan = _plan(out)
+    big = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(entity" in ln and "_blk" not in ln and "_t" not in ln]
+    assert len(big) <= 1  # at most the per-block offsets table (one row per block)
+    cols = {}
+    cols.update(FE.rolling_columns(spec))
+    cols.update(FE.lag_columns(spec))
+    ref = df.withColumns(cols)
+    assert out.select(*ref.columns).exceptAll(ref).count() == 0
