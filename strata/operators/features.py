@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import season
+from ..functions.dates import SEASON_MONTHS, SEASON_ORDER, season
 from ..functions.numeric import growth_pct, money, r2
 from ..functions.ranking import exact_quantiles
 from ..functions.scalars import with_scalars
@@ -28,26 +28,46 @@ def entity_window(spec: PanelSpec, *extra: Column | str):
     return Window.partitionBy(F.col(spec.entity), *extra).orderBy(*[F.col(c) for c in spec.order])
 
 
-def calendar_columns(date: Column) -> dict[str, Column]:
-    dow = F.dayofweek(date)
-    month = F.month(date)
-    return {
-        "Year": F.year(date),
-        "Quarter": F.quarter(date),
-        "Month": month,
-        "WeekOfYear": F.weekofyear(date),
-        "DayOfWeek": dow,
-        "MonthName": F.date_format(date, "MMMM"),
-        "DayName": F.date_format(date, "EEEE"),
-        "IsWeekend": F.when(dow.isin(1, 7), 1).when(dow.isNotNull(), 0),
-        "Season": season(month),
+def calendar_columns(date: str | Column, names: Sequence[str] | None = None) -> dict[str, Column]:
+    """Calendar parts of ``date`` (a column name or Column): Year, Quarter,
+    Month, WeekOfYear, DayOfWeek (1 = Sunday), MonthName, DayName, IsWeekend,
+    Season. Only ``names`` are built when given."""
+    d = f"`{date}`" if isinstance(date, str) else None
+    if d is None:  # a Column: compose with the Column API
+        dow, month = F.dayofweek(date), F.month(date)
+        full = {
+            "Year": F.year(date),
+            "Quarter": F.quarter(date),
+            "Month": month,
+            "WeekOfYear": F.weekofyear(date),
+            "DayOfWeek": dow,
+            "MonthName": F.date_format(date, "MMMM"),
+            "DayName": F.date_format(date, "EEEE"),
+            "IsWeekend": F.when(dow.isin(1, 7), 1).when(dow.isNotNull(), 0),
+            "Season": season(month),
+        }
+        return {n: full[n] for n in (names or full)}
+    seasons = " ".join(
+        f"WHEN month({d}) IN ({', '.join(map(str, SEASON_MONTHS[n]))}) THEN '{n}'" for n in SEASON_ORDER[:-1]
+    )
+    sql = {
+        "Year": f"year({d})",
+        "Quarter": f"quarter({d})",
+        "Month": f"month({d})",
+        "WeekOfYear": f"weekofyear({d})",
+        "DayOfWeek": f"dayofweek({d})",
+        "MonthName": f"date_format({d}, 'MMMM')",
+        "DayName": f"date_format({d}, 'EEEE')",
+        "IsWeekend": f"CASE WHEN dayofweek({d}) IN (1, 7) THEN 1 WHEN {d} IS NOT NULL THEN 0 END",
+        "Season": f"CASE {seasons} WHEN {d} IS NOT NULL THEN '{SEASON_ORDER[-1]}' END",
     }
+    return {n: F.expr(sql[n]) for n in (names or sql)}
 
 
 def calendar_features(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     """Year, Quarter, Month, WeekOfYear, DayOfWeek (1 = Sunday), MonthName,
     DayName, IsWeekend, Season — one projection, no shuffle."""
-    return df.withColumns(calendar_columns(F.col(spec.time)))
+    return df.withColumns(calendar_columns(spec.time))
 
 
 def _trailing(spec: PanelSpec, k: int) -> tuple[Column, Column]:
@@ -179,7 +199,7 @@ def feature_set(
     a large share of the rows; the year-to-date window is already split by
     (entity, year). Results are identical."""
     cols: dict[str, Column] = {}
-    cols.update(calendar_columns(F.col(spec.time)))
+    cols.update(calendar_columns(spec.time))
     if split_block is None:
         cols.update(rolling_columns(spec, windows))
         cols.update(lag_columns(spec, lags))
@@ -197,7 +217,7 @@ def feature_set(
                 "YoY_Growth_Pct": growth_pct(v, F.col("Sales_Lag_52W")),
             }
         )
-        names = list(calendar_columns(F.col(spec.time)))
+        names = list(cols)
         names += [n for k in windows for n in (f"Rolling_Avg_{k}W", f"Rolling_Sum_{k}W")]
         names += [f"Sales_Lag_{k}W" for k in lags]
         names += ["Sales_Prev_Week", "WoW_Growth_Pct", "Sales_Prev_Year", "YoY_Growth_Pct"]

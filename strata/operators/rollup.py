@@ -29,7 +29,8 @@ PERIOD_KEYS: dict[str, tuple[str, ...]] = {
 
 def calendar_keys(df: DataFrame, spec: PanelSpec, names: Sequence[str]) -> list[Column]:
     """Calendar group keys: existing columns when present, else derived from time."""
-    cal = calendar_columns(F.col(spec.time))
+    missing = [n for n in names if n not in df.columns]
+    cal = calendar_columns(spec.time, missing) if missing else {}
     return [F.col(n) if n in df.columns else cal[n].alias(n) for n in names]
 
 
