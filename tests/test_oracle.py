@@ -43,10 +43,17 @@ def test_every_query_has_sql():
     assert len(E.queries()) >= 77
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+
+
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, key):
-    sp = E.queries()[key](spark, SF_SMALL).toPandas()
-    dk = con.execute(E.oracle_sql()[key]).df()
+    sdf = E.queries()[key](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[key])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: TYPES.get(t, t) for c, t in sdf.dtypes} == duck_types
+    sp = sdf.toPandas()
+    dk = rel.df()
     assert sorted(sp.columns) == sorted(dk.columns)
     assert len(sp) == len(dk)
     assert _rows(sp) == _rows(dk)
