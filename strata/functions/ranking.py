@@ -135,17 +135,19 @@ def exact_quantiles(
     (position h = (n-1)*p, as SQL ``percentile_cont``). Nulls and NaN are
     ignored; no rows give nulls.
 
-    Plan (all passes are partitioned aggregates or filters, no per-row search):
+    Two passes over the input, both partitioned aggregates:
     1. ``percentile_approx`` at p -/+ 3/accuracy brackets every target: its rank
        error is at most n/accuracy, so the bracket holds positions floor(h)
-       and ceil(h);
-    2. one conditional count gives the exact number of rows below each bracket;
-    3. only rows inside a bracket (about 6n/accuracy per target, or all rows
-       when n <= 4*accuracy), collapsed to distinct values with counts, are
-       sorted,
-       one window partition per target, to read the values at floor(h) and
-       ceil(h). If a bracket ever missed its target the query fails loudly
-       instead of returning a wrong number."""
+       and ceil(h) once n >= 1.5*accuracy (smaller inputs, n <= 4*accuracy,
+       take every row as a candidate);
+    2. every row becomes, per target, either a "below the bracket" marker (a
+       null value) or its own value inside the bracket (rows above are
+       dropped), and one grouped count collapses these to (target, value,
+       count) rows: the markers to one row per target, and a value shared by
+       a large share of the rows to one row. A running count over each
+       target's few rows (markers first) gives every value's exact position.
+    If a bracket ever missed its target the query fails loudly instead of
+    returning a wrong number."""
     names = list(names or [f"q{i}" for i in range(len(probs))])
     ks = range(len(probs))
     P = len(probs)
@@ -161,42 +163,38 @@ def exact_quantiles(
         *[f"_a[{P + k}] AS _hi{k}" for k in ks],
         *[f"(_N - 1) * CAST({float(p)!r} AS DOUBLE) AS _h{k}" for k, p in enumerate(probs)],
     )
-    j = vals.crossJoin(F.broadcast(br))
-    # percentile_approx ranks by p*n while the target positions are (n-1)*p;
-    # the +-3/accuracy margin covers that once n >= 1.5*accuracy. Smaller
-    # inputs (at most 4*accuracy rows) take every row as a candidate.
     small = f"(_N <= {4 * accuracy})"
-    below = j.agg(*[E(f"count_if(NOT {small} AND _x < _lo{k})").alias(f"_below{k}") for k in ks])
-    inside = [f"({small} OR (_x >= _lo{k} AND _x <= _hi{k}))" for k in ks]
-    tags = "array(" + ", ".join(f"CASE WHEN {c} THEN {k} END" for k, c in zip(ks, inside)) + ")"
-    # candidates collapse to (target, distinct value, count) before the sort,
-    # so a value shared by a large share of the rows is one row here
-    cand = (
-        j.where(" OR ".join(inside))
-        .select("_x", E(f"explode(filter({tags}, t -> t IS NOT NULL))").alias("_k"))
-        .groupBy("_k", "_x")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .crossJoin(F.broadcast(below))
+    entries = ", ".join(
+        f"CASE WHEN NOT {small} AND _x < _lo{k} THEN named_struct('k', {k}, 'x', CAST(NULL AS DOUBLE)) "
+        f"WHEN {small} OR _x <= _hi{k} THEN named_struct('k', {k}, 'x', _x) END"
+        for k in ks
     )
-    start = "element_at(array(" + ", ".join(f"_below{k}" for k in ks) + "), _k + 1)"
-    pos = cand.selectExpr(
-        "_x", "_k", "_c",
-        f"{start} + coalesce(sum(_c) OVER (PARTITION BY _k ORDER BY _x "
+    consts = ["_N", *[f"_h{k}" for k in ks]]
+    tagged = (
+        vals.crossJoin(F.broadcast(br))
+        .select(E(f"explode(array({entries}))").alias("_e"), *consts)
+        .where("_e IS NOT NULL")
+    )
+    counted = tagged.groupBy(F.col("_e.k").alias("_k"), F.col("_e.x").alias("_x")).agg(
+        F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in consts]
+    )
+    pos = counted.selectExpr(
+        "*",
+        "coalesce(sum(_c) OVER (PARTITION BY _k ORDER BY _x ASC NULLS FIRST "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
     )
-    hits = pos.crossJoin(F.broadcast(br.drop("_N")))
 
     def covers(p: str) -> str:
         return f"(_before <= {p} AND {p} < _before + _c)"
 
-    aggs = []
+    aggs = [F.max("_N").alias("_N")]
     for k in ks:
         aggs += [
+            F.max(f"_h{k}").alias(f"_h{k}"),
             E(f"max(CASE WHEN _k = {k} AND {covers(f'floor(_h{k})')} THEN _x END)").alias(f"_xl{k}"),
             E(f"max(CASE WHEN _k = {k} AND {covers(f'ceil(_h{k})')} THEN _x END)").alias(f"_xh{k}"),
         ]
-    row = hits.agg(*aggs).crossJoin(F.broadcast(br.select("_N", *[f"_h{k}" for k in ks])))
-    return row.selectExpr(
+    return pos.agg(*aggs).selectExpr(
         *[
             f"CAST(CASE WHEN _N > 0 AND (_xl{k} IS NULL OR _xh{k} IS NULL) "
             f"THEN raise_error('exact_quantiles: bracket missed its target') "
