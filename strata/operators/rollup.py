@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_avg, exact_sum, growth_pct, money, plain_avg, r2, ratio_pct
 from ..functions.ranking import global_rank
-from ..functions.scalars import with_scalars
 from .features import calendar_columns
 from ..spec import DEFAULT, PanelSpec
 
@@ -241,10 +240,3 @@ def season_kpi(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
         ratio_pct(F.col("_t"), F.sum("_t").over(allrows)).alias("Revenue_Contribution_Pct"),
         F.rank().over(Window.orderBy(F.col("_t").desc())).alias("Season_Rank"),
     )
-
-
-def with_total_share(df: DataFrame, total_col: str, out: str) -> DataFrame:
-    """Share of each row's ``total_col`` in the column total, via a one-row
-    aggregate broadcast onto the rows (for groups whose count is unbounded)."""
-    s = df.agg(F.sum(total_col).alias("_all"))
-    return with_scalars(df, s).withColumn(out, ratio_pct(F.col(total_col), F.col("_all"))).drop("_all")

@@ -137,3 +137,12 @@ def test_split_window_features_spread_one_entity(spark):
     cols.update(FE.lag_columns(spec))
     ref = df.withColumns(cols)
     assert out.select(*ref.columns).exceptAll(ref).count() == 0
+
+
+def test_exact_quantiles_read_input_at_most_three_times(spark, inputs):
+    from strata.functions import exact_quantiles
+
+    p, _ = inputs
+    q = exact_quantiles(p, "value", [0.01, 0.25, 0.5, 0.75, 0.99])
+    q.collect()
+    assert _plan(q).count("FileScan parquet") <= 3
