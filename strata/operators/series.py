@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType
 from ..functions.numeric import exact_avg, exact_sum, money, r2, ratio_pct
 from ..functions.scalars import with_scalars
 from ..spec import DEFAULT, PanelSpec
-from .features import entity_window, rolling_columns
+from .features import entity_window, rolling_columns, split_window_features
 from .rollup import calendar_keys, top
 
 # Crossover and velocity labels.
@@ -34,9 +34,24 @@ def ma_columns(spec: PanelSpec, windows: Sequence[int]) -> dict[str, Column]:
     return rolling_columns(spec, windows, avg_name="MA_{k}W", sum_name=None)
 
 
-def moving_averages(df: DataFrame, spec: PanelSpec = DEFAULT, windows: Sequence[int] = (4, 8, 12, 26, 52)) -> DataFrame:
-    """MA_kW: trailing k-row mean per entity, rounded to 2."""
-    return df.withColumns(ma_columns(spec, windows))
+def _split_lags(df: DataFrame, spec: PanelSpec, lags: Sequence[int], split_block: Column) -> DataFrame:
+    """``df`` plus ``_lag{k}`` columns computed by ``split_window_features``."""
+    t = split_window_features(df, spec, (), lags, split_block)
+    return t.select(*df.columns, *[F.col(f"Sales_Lag_{k}W").alias(f"_lag{k}") for k in lags])
+
+
+def moving_averages(
+    df: DataFrame,
+    spec: PanelSpec = DEFAULT,
+    windows: Sequence[int] = (4, 8, 12, 26, 52),
+    split_block: Column | None = None,
+) -> DataFrame:
+    """MA_kW: trailing k-row mean per entity, rounded to 2. ``split_block``
+    selects the split strategy for a dominant entity (same values)."""
+    if split_block is None:
+        return df.withColumns(ma_columns(spec, windows))
+    t = split_window_features(df, spec, windows, (), split_block)
+    return t.select(*df.columns, *[F.col(f"Rolling_Avg_{k}W").alias(f"MA_{k}W") for k in windows])
 
 
 def trend_signal(df: DataFrame, spec: PanelSpec = DEFAULT, short: int = 4, long: int = 12) -> DataFrame:
@@ -50,30 +65,43 @@ def trend_signal(df: DataFrame, spec: PanelSpec = DEFAULT, short: int = 4, long:
     return df.withColumn("Trend_Signal", F.when(s > lo, up).when(s < lo, down).otherwise(flat))
 
 
-def momentum(df: DataFrame, spec: PanelSpec = DEFAULT, period: int = 4) -> DataFrame:
+def momentum(df: DataFrame, spec: PanelSpec = DEFAULT, period: int = 4, split_block: Column | None = None) -> DataFrame:
     """Value ``period`` rows back, the difference and the difference in %."""
-    ago = F.lag(spec.value, period).over(entity_window(spec))
+    if split_block is None:
+        ago = F.lag(spec.value, period).over(entity_window(spec))
+    else:
+        cols = df.columns
+        df = _split_lags(df, spec, (period,), split_block)
+        ago = F.col(f"_lag{period}")
     diff = F.col(spec.value) - ago
-    return df.withColumns(
+    out = df.withColumns(
         {
             f"Sales_{period}W_Ago": ago,
             f"Momentum_{period}W": r2(diff),
             f"Momentum_Pct_{period}W": ratio_pct(diff, ago),
         }
     )
+    return out if split_block is None else out.drop(f"_lag{period}").select(
+        *cols, f"Sales_{period}W_Ago", f"Momentum_{period}W", f"Momentum_Pct_{period}W"
+    )
 
 
-def velocity(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
+def velocity(df: DataFrame, spec: PanelSpec = DEFAULT, split_block: Column | None = None) -> DataFrame:
     """First and second differences of the measure and a sign label.
 
     Acceleration is v - 2*lag1 + lag2 (the lag of the first difference),
     evaluated in the same window pass."""
-    w = entity_window(spec)
+    cols = df.columns
+    if split_block is None:
+        w = entity_window(spec)
+        l1, l2 = F.lag(spec.value, 1).over(w), F.lag(spec.value, 2).over(w)
+    else:
+        df = _split_lags(df, spec, (1, 2), split_block)
+        l1, l2 = F.col("_lag1"), F.col("_lag2")
     v = F.col(spec.value)
-    l1, l2 = F.lag(spec.value, 1).over(w), F.lag(spec.value, 2).over(w)
     vel = v - l1
     up, down, flat = VELOCITY_LABELS
-    return df.withColumns(
+    out = df.withColumns(
         {
             "Prev_Week_Sales": l1,
             "Sales_Velocity": r2(vel),
@@ -81,6 +109,8 @@ def velocity(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
             "Velocity_Status": F.when(vel > 0, up).when(vel < 0, down).otherwise(flat),
         }
     )
+    names = ["Prev_Week_Sales", "Sales_Velocity", "Sales_Acceleration", "Velocity_Status"]
+    return out if split_block is None else out.select(*cols, *names)
 
 
 def seasonality(df: DataFrame, spec: PanelSpec = DEFAULT, by: str = "Month") -> DataFrame:

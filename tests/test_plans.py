@@ -146,3 +146,19 @@ def test_exact_quantiles_read_input_at_most_three_times(spark, inputs):
     q = exact_quantiles(p, "value", [0.01, 0.25, 0.5, 0.75, 0.99])
     q.collect()
     assert _plan(q).count("FileScan parquet") <= 3
+
+
+def test_series_split_block_equal_default(spark, inputs):
+    from pyspark.sql import functions as F
+
+    from strata.operators import series as TS
+
+    p, _ = inputs
+    blk = F.floor(F.datediff("dt", F.lit("1990-01-01")) / 28)
+    for a, b in [
+        (TS.moving_averages(p, SPEC), TS.moving_averages(p, SPEC, split_block=blk)),
+        (TS.velocity(p, SPEC), TS.velocity(p, SPEC, split_block=blk)),
+        (TS.momentum(p, SPEC, 4), TS.momentum(p, SPEC, 4, split_block=blk)),
+    ]:
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
