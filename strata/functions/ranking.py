@@ -62,9 +62,13 @@ def _bounds(values: DataFrame, buckets: int) -> DataFrame:
 
 def _bucketed(values: DataFrame, bounds: DataFrame, buckets: int) -> DataFrame:
     """Attach ``_bk``: the range of ``_x`` among ``buckets`` approximate
-    quantile ranges of the distinct values (one broadcast row of bounds)."""
+    quantile ranges of the distinct values (one broadcast row of bounds). A
+    null ``_x`` gets range -1, the first in ascending and the last in
+    descending order, which is where Spark sorts nulls."""
     return values.crossJoin(F.broadcast(bounds.select("_b"))).select(
-        "_x", "_n", bucket_of("_x", "_b", buckets - 1).alias("_bk")
+        "_x",
+        "_n",
+        F.when(F.col("_x").isNull(), F.lit(-1)).otherwise(bucket_of("_x", "_b", buckets - 1)).alias("_bk"),
     )
 
 
@@ -106,22 +110,15 @@ def global_rank(
 ) -> DataFrame:
     """``rank()`` over the whole table ordered by ``by`` (gaps after ties),
     without moving the table into one partition. Nulls sort last when
-    descending and first when ascending, as in Spark."""
-    values = _distinct_counts(df, F.col(by))
+    descending and first when ascending, as in Spark; they are one more
+    (value, count) row, so no separate pass counts them."""
+    values = df.select(F.col(by).alias("_x")).groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
     ranks = positions(values, descending, buckets).select(
-        F.col("_x").alias(by), (F.col("_before") + 1).alias(out)
+        F.col("_x").alias("_rk"), (F.col("_before") + 1).cast("int").alias(out)
     )
-    # null and non-null counts: one row, broadcast
-    counts = df.agg(F.count_if(F.col(by).isNull()).alias("_nz"), F.count(F.col(by)).alias("_nn"))
-    # the rank table has one row per distinct value; AQE broadcasts it only
-    # when its runtime size is under the threshold, else it is a shuffle join
-    joined = df.join(ranks, on=by, how="left").crossJoin(F.broadcast(counts))
-    isnull = F.col(by).isNull()
-    if descending:  # nulls last: they share the rank after every non-null row
-        rank_col = F.when(isnull, F.col("_nn") + 1).otherwise(F.col(out))
-    else:  # nulls first: they share rank 1 and push every other rank down
-        rank_col = F.when(isnull, F.lit(1)).otherwise(F.col(out) + F.col("_nz"))
-    return joined.withColumn(out, rank_col.cast("int")).drop("_nz", "_nn")
+    # one row per distinct value; AQE broadcasts it only when its runtime
+    # size is under the threshold, else it is a shuffle join
+    return df.join(ranks, df[by].eqNullSafe(F.col("_rk")), "left").drop("_rk")
 
 
 def exact_quantiles(
