@@ -162,3 +162,20 @@ def test_series_split_block_equal_default(spark, inputs):
     ]:
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_dashboards_are_lazy_and_run(spark, inputs):
+    """K13 and V10: dicts of lazy DataFrames over one input; building runs no
+    job, and every entry evaluates."""
+    from strata.operators.distribution import chart_data
+
+    p, _ = inputs
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    kpis = K.kpi_dashboard(p, SPEC)
+    charts = chart_data(p, SPEC)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert set(kpis) == {"revenue", "revenue_by_year", "growth", "store_performance", "holiday_impact", "seasonal", "efficiency"}
+    assert set(charts) == {"series", "top_entities", "bottom_entities", "seasons", "months", "flag_impact", "histogram", "box", "correlation", "years"}
+    for df in [*kpis.values(), *charts.values()]:
+        assert df.count() > 0
