@@ -1,2 +1,9 @@
 """Operators of a training-data pipeline. Nothing outside this subpackage
 imports it; ``queries`` registers one query per operator."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this subpackage travel to the executors by value, so these need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

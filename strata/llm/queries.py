@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mix, pack, shard
+from . import ann, mix, pack, shard, topk
 from .common import bound_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,13 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     taken = (F.col("take_1") + F.col("take_2")).alias("taken")
     return mix.assign_mix(docs).select("doc_id", "size", "source_size", "target", taken)
+
+
+@register("op5_block_topk", topk.ORACLE_SQL)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@register("op10_permutation_index")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
