@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, mix, pack, shard, topk
+from . import ann, mix, pack, secrets, shard, topk
 from .common import bound_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,13 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @register("op10_permutation_index")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@register("op6_secret_lexing")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    bound_batches(spark)
+    found = secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    base = "filter(spans, s -> s.kind <> 'literal')"
+    text = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
+    counts = {f"n_{k}": F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) AS long)") for k in ("assign", "access", "hex")}
+    return found.select("doc_id", *[c.alias(n) for n, c in counts.items()], F.sha2(F.expr(text.format(base)), 256).alias("base_sha256"), F.expr(text.format("spans")).alias("spans"))
