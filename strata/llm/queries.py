@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, mix, pack, secrets, shard, topk
-from .common import bound_batches, table
+from . import ann, mix, pack, quality, secrets, shard, topk, toxicity
+from .common import bound_batches, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,3 +60,25 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     text = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
     counts = {f"n_{k}": F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) AS long)") for k in ("assign", "access", "hex")}
     return found.select("doc_id", *[c.alias(n) for n, c in counts.items()], F.sha2(F.expr(text.format(base)), 256).alias("base_sha256"), F.expr(text.format("spans")).alias("spans"))
+
+
+def _taught(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels that may be learned from."""
+    return table(spark, sf, "labels").filter(fold("doc_id", 4) != 2)
+
+
+@register("op1_toxic_neighbours")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    index = toxicity.train(docs, _taught(spark, sf), label="toxic")
+    held = (fold("doc_id", 4) == 2).alias("held_out")
+    scored = toxicity.score_toxicity(docs, index)
+    return scored.select("doc_id", held, "score", F.expr("int(score >= 0.3)").alias("predicted"), F.expr("transform(slice(evidence, 1, 3), e -> e.id)").alias("evidence"))
+
+
+@register("op3_byte_network")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    net = quality.train(docs, _taught(spark, sf), label="quality")
+    held = (fold("doc_id", 4) == 2).alias("held_out")
+    return quality.score_quality(docs, net).select("doc_id", held, "score", F.expr("int(score >= 0.7)").alias("predicted"))

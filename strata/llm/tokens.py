@@ -62,11 +62,15 @@ def pieces(offsets: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: For bare words: every ASCII byte but letters and digits separates.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the offsets of each row's words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    black = ~_SPACE[data]
+    black = ~space[data]
     edge = np.zeros(len(data) + 1, bool)  # a row begins here
     edge[offsets] = True
     start, end = black.copy(), black.copy()
@@ -76,10 +80,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word, and the offsets of each row's words."""
     global _POWERS
-    starts, ends, of_row = word_spans(data, offsets)
+    starts, ends, of_row = word_spans(data, offsets, space)
     if not len(starts):
         return np.zeros(0, U), of_row
     lens = ends - starts
