@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, mix, pack, quality, secrets, shard, topk, toxicity
+from . import ann, mix, neardup, pack, quality, secrets, shard, topk, toxicity
 from .common import bound_batches, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     net = quality.train(docs, _taught(spark, sf), label="quality")
     held = (fold("doc_id", 4) == 2).alias("held_out")
     return quality.score_quality(docs, net).select("doc_id", held, "score", F.expr("int(score >= 0.7)").alias("predicted"))
+
+
+@register("op2_tensored_minhash", neardup.ORACLE_SQL)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))

@@ -90,10 +90,10 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 5, vec_id: str = "ve
 
 ORACLE_SQL = r"""
 WITH v AS (
-  SELECT vec_id, max(list_transform(embedding, x -> floor(256 * x::DOUBLE))) AS q
+  SELECT vec_id, max(list_transform(embedding, lambda x: floor(256 * x::DOUBLE))) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
   GROUP BY vec_id),
 s AS (
   SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
