@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, mix, neardup, pack, quality, secrets, shard, topk, toxicity
+from . import ann, kneser_ney, mix, neardup, pack, quality, secrets, shard, topk, toxicity
 from .common import bound_batches, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,11 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @register("op2_tensored_minhash", neardup.ORACLE_SQL)
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@register("op4_kneser_ney")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = kneser_ney.perplexities(docs, fold("doc_id", 10) != 0)
+    held = (fold("doc_id", 10) == 0).alias("held_out")
+    return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
