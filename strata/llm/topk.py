@@ -1,7 +1,7 @@
 """Exact top-k inner products by block-at-a-time pruning.
 
-Components are the terms: each vector is quantised to integers, cut into
-blocks of consecutive ids, and every block keeps the maximum (and, for
+Components are the terms: each vector is quantised to integers; the vectors
+of a group, in the order of their ids, are cut into blocks, and every block keeps the maximum (and, for
 negative query weights, the minimum) of each component. A query's bound for a
 block is the sum over its components of the larger product. Blocks are visited
 in order of falling bound and scored through their forward rows until the next

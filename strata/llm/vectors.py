@@ -28,12 +28,11 @@ def usable(rows: DataFrame, vec_id: str, vec: str, zero_ok: bool) -> DataFrame:
     return out.groupBy("id").agg(F.max("vec").alias("vec"))
 
 
-def grouped(rows: DataFrame, dim: int, n: int, name: str, by_range: bool) -> DataFrame:
+def grouped(rows: DataFrame, dim: int, n: int, name: str) -> DataFrame:
     """Rows gathered into groups of at most ``n`` vectors: ``gid``, ``ids``
     (int64, ascending) and ``vecs`` (float64; shorter vectors end in zeros)."""
     parts = max(1, -(-rows.count() // n))
-    dealt = rows.repartitionByRange(parts, "id") if by_range else rows.repartition(parts)
-    dealt = dealt.sortWithinPartitions("id")
+    dealt = rows.repartition(parts).sortWithinPartitions("id")  # even groups, whatever the ids
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
@@ -82,8 +81,8 @@ def search(
     spark = rows.sparkSession
     bound_batches(spark)
     dim = rows.agg(F.max(F.size("vec"))).first()[0] or 0
-    groups = grouped(rows, dim, group_rows, "groups", by_range=True)
-    batches = grouped(queries, dim, batch_queries, "queries", by_range=False).withColumnsRenamed({"ids": "qids", "vecs": "qvecs", "gid": "qgid"})
+    groups = grouped(rows, dim, group_rows, "groups")
+    batches = grouped(queries, dim, batch_queries, "queries").withColumnsRenamed({"ids": "qids", "vecs": "qvecs", "gid": "qgid"})
     gids = [r[0] for r in groups.select("gid").collect()]  # one number per group
     pairs = batches.withColumn("gid", F.explode(F.array(*[F.lit(g).cast("long") for g in gids]) if gids else F.array().cast("array<bigint>")))
     pairs = pairs.join(groups, "gid")
