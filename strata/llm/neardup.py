@@ -1,10 +1,11 @@
 """Near-duplicates by MinHash with tensored banding.
 
-A document is the set of its distinct 5-word shingles. ``COLLECTIONS`` small
-collections of ``ROWS`` minhashes each are computed; every pair of collections
-is a table, so few minhashes make many tables, and two documents meet if they
-agree in at least two collections. At a similarity of 0.85 a pair is missed
-with a probability of 7e-6, above it with less. A collection's value that
+A document is the set of its distinct 5-word shingles. Small collections of
+``ROWS`` minhashes each are computed; every pair of collections is a table, so
+few minhashes make many tables, and two documents meet if they agree in at
+least two collections. There are as many collections as it takes that a pair
+just similar enough is missed with a probability below ``MISS`` (16 for 85
+percent: 48 minhashes make 120 tables); more similar pairs are missed less. A collection's value that
 only one set has cannot be part of a shared key, so keys are formed only from
 the values that are shared.
 
@@ -36,8 +37,9 @@ from .components import components
 from .tokens import U, mix, pieces, shingle_hashes, utf8, word_hashes
 
 WIDTH = 5
-COLLECTIONS = 16
 ROWS = 3
+#: Probability of missing a pair that is just similar enough.
+MISS = 1e-5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Classes of a bucket that are held against the others in one round.
@@ -45,7 +47,18 @@ CENTRES = 4
 #: Stands for a null id.
 NO_ID = 2**63 - 1
 
-_FACTORS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**63, COLLECTIONS * ROWS, dtype=np.uint64) * U(2) + U(1)
+
+
+def collections(percent: int) -> int:
+    """Least number of collections of which fewer than two agree, at this similarity, with a probability below ``MISS``."""
+    agree, m = (percent / 100) ** ROWS, 2
+    while (1 - agree) ** m + m * agree * (1 - agree) ** (m - 1) > MISS:
+        m += 1
+    return m
+
+
+def factors(m: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64(7)).integers(0, 2**63, m * ROWS, dtype=np.uint64) * U(2) + U(1)
 
 
 def sets_of(column: pa.Array, width: int = WIDTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -70,22 +83,24 @@ def fingerprints(sets: np.ndarray, at: np.ndarray) -> list[bytes | None]:
     return out
 
 
-def band_values(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+def band_values(sets: np.ndarray, at: np.ndarray, by: np.ndarray) -> np.ndarray:
     """The value of each collection [row, collection] of the non-empty rows."""
     full = np.flatnonzero(np.diff(at) > 0)
-    out = np.zeros((len(full), COLLECTIONS), U)
+    m = len(by) // ROWS
+    out = np.zeros((len(full), m), U)
     if len(full):
-        for c in range(COLLECTIONS):
+        for c in range(m):
             value = np.full(len(full), U(c + 1))
             for r in range(ROWS):
-                value = mix(value + np.minimum.reduceat(sets * _FACTORS[c * ROWS + r], at[full]))
+                value = mix(value + np.minimum.reduceat(sets * by[c * ROWS + r], at[full]))
             out[:, c] = value
     return out
 
 
-def signatures(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+def signatures(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
     """``id``, ``th`` (hash of the text), ``n`` (set size), ``node`` (fingerprint) and ``bands``."""
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
+    by = factors(collections(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -94,8 +109,8 @@ def signatures(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                 size = np.diff(at)
                 n.append(size)
                 nodes += fingerprints(sets, at)
-                bands.append(band_values(sets, at).ravel().view(np.int64))
-                ends.extend(ends[-1] + np.cumsum((size > 0) * COLLECTIONS))
+                bands.append(band_values(sets, at, by).ravel().view(np.int64))
+                ends.extend(ends[-1] + np.cumsum((size > 0) * (len(by) // ROWS)))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*bands, np.zeros(0, np.int64)])))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), b.column("th"), pa.array(np.concatenate([*n, np.zeros(0, np.int64)])), pa.array(nodes, pa.binary()), lists],
@@ -109,7 +124,7 @@ def buckets(classes: DataFrame) -> DataFrame:
     """``key`` and ``node`` of every table key that two or more classes share, and the bucket's ``centre``."""
     cells = classes.select("node", "id", F.posexplode("bands").alias("i", "c"))
     shared = cells.groupBy("i", "c").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
-    held = cells.join(shared, ["i", "c"]).groupBy("node", "id").agg(F.sort_array(F.collect_list(F.struct("i", "c"))).alias("h"))  # at most COLLECTIONS
+    held = cells.join(shared, ["i", "c"]).groupBy("node", "id").agg(F.sort_array(F.collect_list(F.struct("i", "c"))).alias("h"))  # as many as collections at most
     pairs = "flatten(transform(sequence(0, size(h) - 2), a -> transform(sequence(a + 1, size(h) - 1), b -> xxhash64(h[a].i, h[b].i, h[a].c, h[b].c))))"
     keys = held.filter("size(h) > 1").select("node", "id", F.explode(F.expr(pairs)).alias("key"))
     many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("id", "node")).alias("c")).filter("k > 1")
@@ -212,7 +227,7 @@ def linked(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent:
     ``root`` (the class of sets it is linked to; null without words) and
     ``component`` (smallest id of it). An empty table gives no rows."""
     bound_batches(docs.sparkSession)
-    rows = stored(signatures(docs, text, doc_id), "signatures")
+    rows = stored(signatures(docs, text, doc_id, percent), "signatures")
     classes = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "th")).alias("r"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = stored(classes.select("node", "r.id", "r.th", "n", "bands"), "classes")
     members = stored(buckets(classes), "buckets")
