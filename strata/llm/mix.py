@@ -94,7 +94,7 @@ def assign_mix(
     take = [int(np.floor(t + 0.5)) for t in goal]
     block = max(1, -(-sum(take) // BLOCKS))
     quota = split_tree([-(-t // block) for t in take], shards, seed) if take else []
-    ends = np.cumsum(np.asarray(quota, dtype=np.int64).reshape(len(quota), -1), axis=0)
+    ends = np.cumsum(np.asarray(quota, dtype=np.int64).reshape(len(quota), len(take)), axis=0)
     plan = spark.createDataFrame(
         [(r["__s"], r["n"], g, t, [int(x) for x in ends[:, i]]) for i, (r, g, t) in enumerate(zip(found, goal, take))],
         "__s string, source_size long, target double, __take long, __ends array<bigint>",
@@ -116,23 +116,19 @@ def assign_mix(
     return rows.drop("__h", "__b", "__s", "__n", "__before", "__p", "__take", "__ends", "__in", "__bb")
 
 
-def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = 17, **options) -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", seed: int = 17, out: tuple[str, str] = ("shard", "shuffle_key"), **options) -> DataFrame:
     """The mixture itself: one row per document and pass with its columns, the
-    text cut to the words taken, and ``shard`` and ``shuffle_key``: sorting a
-    shard by the key shuffles it."""
-    rows = assign_mix(docs, text=text, doc_id=doc_id, seed=seed, **options)
+    text cut to the words taken, and the columns ``out`` (replaced if
+    present): its shard, and a key; sorting a shard by the key shuffles it."""
+    rest = [c for c in docs.columns if c != text]
+    lean = docs.select(doc_id, text, source, F.struct(*rest).alias("__rest"))  # other columns may have any name
+    rows = assign_mix(lean, text=text, doc_id=doc_id, source=source, seed=seed, **options)
     takes = F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"take_{p}").alias("n"), F.col(f"shard_{p}").alias("shard")) for p in range(1, PASSES + 1)])
     rows = rows.withColumn("__t", F.explode(F.filter(takes, lambda t: t["n"] > 0)))
     lead = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"([\x20\x09-\x0D]*{WORD})"), 1), F.lit(1), F.col("__t.n").cast("int")), "")
-    rows = rows.withColumns(
-        {
-            text: F.when(F.col("__t.n") < F.col("size"), lead).otherwise(F.col(text)),
-            "shard": F.col("__t.shard"),
-            "shuffle_key": F.xxhash64(F.lit(seed), F.col(doc_id), F.col("__t.p")),
-        }
-    )
-    extra = [c for p in range(1, PASSES + 1) for c in (f"take_{p}", f"shard_{p}")]
-    return rows.drop("__t", "size", "source_size", "target", *extra)
+    cut = F.when(F.col("__t.n") < F.col("size"), lead).otherwise(F.col(text))
+    columns = [(cut if c == text else F.col("__rest")[c]).alias(c) for c in docs.columns if c not in out]
+    return rows.select(*columns, F.col("__t.shard").alias(out[0]), F.xxhash64(F.lit(seed), F.col(doc_id), F.col("__t.p")).alias(out[1]))
 
 
 def write_mix(mixed: DataFrame, path: str) -> None:

@@ -62,9 +62,11 @@ def blank(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def cell_maxima(pairs: np.ndarray, data: np.ndarray, step: int = 512) -> np.ndarray:
-    """Largest response of each filter in each cell."""
+def cell_maxima(pairs: np.ndarray, data: np.ndarray, at: np.ndarray, step: int = 512) -> np.ndarray:
+    """Largest response of each filter in each cell; windows end with their text's last cell."""
     n = len(data) // CELL
+    last = np.zeros(n, bool)
+    last[at[1:] - 1] = True
     out = np.empty((n, pairs.shape[2]), np.float32)
     data = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
     for lo in range(0, n, step):
@@ -75,7 +77,9 @@ def cell_maxima(pairs: np.ndarray, data: np.ndarray, step: int = 512) -> np.ndar
         got = pairs[0][two[:size]]
         for k in range(1, len(pairs)):
             got += pairs[k][two[2 * k : 2 * k + size]]
-        out[lo:hi] = got.reshape(hi - lo, CELL, -1).max(axis=1)
+        got = got.reshape(hi - lo, CELL, -1)
+        got[last[lo:hi], CELL - WIDTH + 1 :] = -np.inf
+        out[lo:hi] = got.max(axis=1)
     return out
 
 
@@ -93,11 +97,11 @@ def probabilities(net: Network, pairs: np.ndarray, texts: list[np.ndarray]) -> n
     if not texts:
         return np.zeros(0)
     data, at = blank(texts)
-    chunks, start = chunk_maxima(cell_maxima(pairs, data), at)
+    chunks, start = chunk_maxima(cell_maxima(pairs, data, at), at)
     h = np.maximum(chunks + net.bias, 0).astype(np.float64)
     top = np.maximum.reduceat(h, start[:-1], axis=0)
     mean = np.add.reduceat(h, start[:-1], axis=0) / np.diff(start)[:, None]
-    z = np.hstack([top, mean]) @ net.out + net.base
+    z = (np.hstack([top, mean]) * net.out).sum(axis=1) + net.base  # each text by itself
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -117,6 +121,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batch
             padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
             t32 = net.bytes_.astype(np.float32)
             got = sum(t32[j][padded[j : j + len(data)]] for j in range(WIDTH)).reshape(-1, CELL, FILTERS)
+            got[at[1:] - 1, CELL - WIDTH + 1 :] = -np.inf
             where = got.argmax(axis=1)
             cells = np.take_along_axis(got, where[:, None, :], 1)[:, 0, :]
             where = where + (np.arange(len(cells)) * CELL)[:, None]

@@ -35,38 +35,12 @@ def _greedy(prefix: list[int], lo: int, hi: int, capacity: int) -> list[int] | N
     return starts
 
 
-def minimax_cuts(sizes: list[int], shards: int) -> list[int]:
-    """Start unit of every shard (the first is 0): contiguous runs of
-    ``sizes``, the largest run as small as possible.
+def _runs(prefix: list[int], starts: list[int]) -> list[tuple[int, int, int]]:
+    return [(prefix[b] - prefix[a], a, b) for a, b in zip(starts, [*starts[1:], len(prefix) - 1])]
 
-    A unit larger than an equal share of what is left takes a shard of its own
-    (the optimum cannot be below it), and the capacity is searched again over
-    the runs between such units: one huge group does not let the other shards
-    fill up to its size. Fewer starts than shards come back only if there are
-    fewer non-empty units than shards."""
-    prefix = [0, *accumulate(sizes)]
-    used = [i for i, s in enumerate(sizes) if s]
-    if len(used) <= shards:
-        return [0, *used[1:]]
-    alone: set[int] = set()
-    left, k = prefix[-1], shards
-    for i in sorted(used, key=lambda i: -sizes[i]):
-        if k > 1 and sizes[i] * k > left:
-            alone.add(i)
-            left, k = left - sizes[i], k - 1
-        else:
-            break
-    while True:
-        bounds, at = [], 0
-        for i in sorted(alone):
-            bounds += [(at, i)] * (prefix[i] > prefix[at])
-            at = i + 1
-        bounds += [(at, len(sizes))] * (prefix[-1] > prefix[at])
-        k = shards - len(alone)
-        if len(bounds) <= k:
-            break
-        # more runs than shards are left: the smallest lone unit joins its neighbours again
-        alone.remove(min(alone, key=lambda i: (sizes[i], i)))
+
+def _fewest(prefix: list[int], bounds: list[tuple[int, int]], shards: int) -> list[int]:
+    """Starts under the smallest capacity that cuts the spans ``bounds`` into at most ``shards`` runs."""
 
     def plan(capacity: int) -> list[int] | None:
         starts = []
@@ -75,7 +49,7 @@ def minimax_cuts(sizes: list[int], shards: int) -> list[int]:
             if run is None:
                 return None
             starts += run
-        return starts if len(starts) <= k else None
+        return starts if len(starts) <= shards else None
 
     lo, hi = 0, max(prefix[b] - prefix[a] for a, b in bounds)
     while hi - lo > 1:
@@ -84,16 +58,42 @@ def minimax_cuts(sizes: list[int], shards: int) -> list[int]:
             lo = mid
         else:
             hi = mid
-    starts = sorted({*plan(hi), *alone})
-    starts[0] = 0
-    while len(starts) < shards:  # spare shards halve the largest run that can be cut
-        ends = [*starts[1:], len(sizes)]
-        runs = [(prefix[b] - prefix[a], a, b) for a, b in zip(starts, ends) if sum(1 for x in sizes[a:b] if x) > 1]
-        if not runs:
+    return plan(hi)
+
+
+def minimax_cuts(sizes: list[int], shards: int) -> list[int]:
+    """Start unit of every shard (the first is 0): contiguous runs of
+    ``sizes``, the largest run as small as possible.
+
+    If a few units are larger than an equal share of what is left, a second
+    plan gives each a shard of its own and searches the capacity of the runs
+    between them; it is taken if its largest run is no larger, so that one
+    huge group does not let the other shards fill up to its size. Spare shards
+    halve the largest runs. Fewer starts than shards come back only if there
+    are fewer non-empty units than shards."""
+    prefix = [0, *accumulate(sizes)]
+    used = [i for i, s in enumerate(sizes) if s]
+    if len(used) <= shards:
+        return [0, *used[1:]]
+    starts = _fewest(prefix, [(0, len(sizes))], shards)
+    alone: list[int] = []
+    left, k = prefix[-1], shards
+    for i in sorted(used, key=lambda i: -sizes[i]):
+        if k == 1 or sizes[i] * k <= left:
             break
-        _, a, b = max(runs)
-        cut = min(range(a + 1, b), key=lambda c: max(prefix[c] - prefix[a], prefix[b] - prefix[c]))
-        starts = sorted([*starts, cut])
+        alone.append(i)
+        left, k = left - sizes[i], k - 1
+    if alone:
+        edges = [-1, *sorted(alone), len(sizes)]
+        bounds = [(a + 1, b) for a, b in zip(edges, edges[1:]) if prefix[b] > prefix[a + 1]]
+        if bounds and len(bounds) <= k:
+            apart = sorted({*_fewest(prefix, bounds, k), *alone})
+            if max(_runs(prefix, apart))[0] <= max(_runs(prefix, starts))[0]:
+                starts = apart
+    starts[0] = 0
+    while len(starts) < shards:
+        _, a, b = max(r for r in _runs(prefix, starts) if sum(x > 0 for x in sizes[r[1] : r[2]]) > 1)
+        starts = sorted([*starts, min(range(a + 1, b), key=lambda c: max(prefix[c] - prefix[a], prefix[b] - prefix[c]))])
     return starts
 
 
