@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .numeric import col
 
 # Date patterns tried in this order (day-first wins when ambiguous).
-DATE_FORMATS: tuple[str, ...] = ("yyyy-MM-dd", "dd-MM-yyyy", "dd/MM/yyyy", "MM/dd/yyyy", "M/d/yyyy")
+DATE_FORMATS: tuple[str, ...] = ("yyyy-MM-dd", "dd-MM-yyyy", "MM-dd-yyyy", "dd/MM/yyyy", "MM/dd/yyyy", "M/d/yyyy")
 
 # Season of each month.
 SEASON_MONTHS: dict[str, tuple[int, ...]] = {

@@ -15,10 +15,14 @@ def col(c: str | Column) -> Column:
 
 
 def money(c: str | Column, spec: PanelSpec) -> Column:
-    """The measure as an exact decimal (NaN / out-of-range become null: D23)."""
+    """The measure as an exact decimal: NaN is missing (D23), a value beyond
+    the declared precision fails the query. ``value_scale`` is the number of
+    decimals the measure has; declare more, or None for a measure summed as
+    double, where two are not enough."""
+    x = col(c)
     if spec.value_scale is None:
-        return F.nanvl(col(c).cast("double"), F.lit(None).cast("double"))
-    return col(c).try_cast(DecimalType(spec.value_precision, spec.value_scale))
+        return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+    return F.when(~F.isnan(x.cast("double")), x.cast(DecimalType(spec.value_precision, spec.value_scale)))
 
 
 def exact_sum(c: str | Column, spec: PanelSpec) -> Column:
@@ -67,35 +71,29 @@ def publish(df):
 
 
 def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation; null (not an ANSI divide error) when either side
-    has zero variance or fewer than two rows."""
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    """Pearson correlation over the complete pairs; null (not an ANSI divide
+    error) when either side has zero variance or there are fewer than two."""
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
 
 
-def cents(c: str | Column, scale: int = 2) -> Column:
+def cents(c: str, scale: int = 2) -> Column:
     """Exact unscaled long of ``CAST(c AS DECIMAL(18, scale))``.
 
     Fast path: a double already on the 10^-scale grid (rint(x*10^s)/10^s == x,
     which holds for every value stored with at most ``scale`` decimals) is
     converted with one multiply; anything else goes through the decimal cast,
-    so the result always equals the decimal cast. Stated as one SQL
-    expression (one JVM call to build)."""
-    if isinstance(c, str):
-        x = f"CAST(`{c}` AS DOUBLE)"
-        f = 10**scale
-        return F.expr(
-            f"CASE WHEN rint({x} * {f}.0) / {f}.0 = {x} THEN CAST(rint({x} * {f}.0) AS BIGINT) "
-            f"ELSE CAST(try_cast({x} AS DECIMAL(18,{scale})) * {f} AS BIGINT) END"
-        )
-    x = c.cast("double")
-    f = float(10**scale)
-    r = F.rint(x * f)
-    slow = (x.try_cast(DecimalType(18, scale)) * F.lit(10**scale)).cast("long")
-    return F.when(r / f == x, r.cast("long")).otherwise(slow)
-
-
-def from_cents(c: str | Column, scale: int = 2, precision: int = 18) -> Column:
+    so the result always equals the decimal cast. NaN is missing; a value that
+    does not fit (an infinity too) fails the query."""
+    x, f = f"CAST(`{c}` AS DOUBLE)", 10**scale
+    return F.expr(
+        f"CASE WHEN isnan({x}) THEN NULL "
+        f"WHEN abs({x}) < 1e15 / {f} AND rint({x} * {f}.0) / {f}.0 = {x} THEN CAST(rint({x} * {f}.0) AS BIGINT) "
+        f"ELSE CAST(CAST({x} AS DECIMAL(18,{scale})) * {f} AS BIGINT) END"
+    )
+
+
+def from_cents(c: str, scale: int = 2, precision: int = 18) -> Column:
     """Long of unscaled units -> DECIMAL(precision, scale), exactly."""
-    if isinstance(c, str):
-        return F.expr(f"CAST(CAST(`{c}` AS DECIMAL(38,0)) / {10**scale} AS DECIMAL({precision},{scale}))")
-    return (c.cast(DecimalType(38, 0)) / F.lit(10**scale)).cast(DecimalType(precision, scale))
+    return F.expr(f"CAST(CAST(`{c}` AS DECIMAL(38,0)) / {10**scale} AS DECIMAL({precision},{scale}))")

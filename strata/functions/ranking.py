@@ -17,9 +17,9 @@ the same exact answers from plans in which every step is partitioned.
    about 1/``buckets`` of the distinct values; no ties inside a range because
    values are distinct). Rank = 1 + rows strictly before.
 
-``exact_quantiles`` (only a few positions are needed) brackets each target
-with approximate quantiles, counts the rows below the bracket exactly and
-sorts only the rows inside it; see its docstring.
+``quantile_targets`` (only a few positions are needed, of one or many columns)
+brackets each target with approximate quantiles, counts the rows outside the
+bracket exactly and sorts only the rows inside it; see its docstring.
 
 Nothing runs until the caller's action."""
 
@@ -31,11 +31,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
-
+from .scalars import with_scalars
 
-def _distinct_counts(df: DataFrame, x: Column) -> DataFrame:
-    return df.select(x.alias("_x")).where(F.col("_x").isNotNull()).groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
+DEFAULT_BUCKETS = 1024
 
 
 def bucket_of(x: str, bounds: str, n: int) -> Column:
@@ -121,81 +119,105 @@ def global_rank(
     return df.join(ranks, df[by].eqNullSafe(F.col("_rk")), "left").drop("_rk")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    x: str | Column,
-    probs: Sequence[float],
-    names: Sequence[str] | None = None,
-    accuracy: int = 10000,
-) -> DataFrame:
-    """One-row DataFrame of exact, linearly interpolated quantiles of ``x``
-    (position h = (n-1)*p, as SQL ``percentile_cont``). Nulls and NaN are
-    ignored; no rows give nulls.
-
-    Two passes over the input, both partitioned aggregates:
-    1. ``percentile_approx`` at p -/+ 3/accuracy brackets every target: its rank
-       error is at most n/accuracy, so the bracket holds positions floor(h)
-       and ceil(h) once n >= 1.5*accuracy (smaller inputs, n <= 4*accuracy,
-       take every row as a candidate);
-    2. every row becomes, per target, either a "below the bracket" marker (a
-       null value) or its own value inside the bracket (rows above are
-       dropped), and one grouped count collapses these to (target, value,
-       count) rows: the markers to one row per target, and a value shared by
-       a large share of the rows to one row. A running count over each
-       target's few rows (markers first) gives every value's exact position.
-    If a bracket ever missed its target the query fails loudly instead of
+def quantile_targets(df: DataFrame, targets: Sequence[tuple[str | Column, float, str]], accuracy: int = 10000) -> DataFrame:
+    """One row with the exact, linearly interpolated quantile ``p`` (position h
+    = (n-1)*p, as SQL ``percentile_cont``) of every target ``(x, p, name)``.
+    Nulls and NaN are ignored; a column without values gives null.
+
+    Two passes over the input for all targets together, both partitioned
+    aggregates:
+
+    1. ``percentile_approx`` at p -/+ 3/accuracy brackets every target. Its
+       rank error is at most n/accuracy, and the two ways of counting positions
+       differ by less than one, so for every n the bracket holds positions
+       floor(h) and ceil(h) or ends right beside them.
+    2. Every row goes, per target, to its value inside the bracket or to one
+       of two groups outside, of which only the count and the value next to
+       the bracket are kept. A value shared by many rows is one group. A
+       running count over a target's groups (distinct values of about
+       6n/accuracy rows, in one task per target) gives exact positions.
+
+    If a bracket ever missed its target the query would fail loudly instead of
     returning a wrong number."""
-    names = list(names or [f"q{i}" for i in range(len(probs))])
-    ks = range(len(probs))
-    P = len(probs)
-    E = F.expr
-    xc = F.col(x) if isinstance(x, str) else x
-    vals = df.select(F.nanvl(xc.cast("double"), F.lit(None).cast("double")).alias("_x")).where("_x IS NOT NULL")
+    none = F.lit(None).cast("double")
+    xs: dict[str, Column] = {}
+    at = []
+    for x, _, _ in targets:
+        key = x if isinstance(x, str) else str(x)
+        if key not in xs:
+            xs[key] = F.nanvl((F.col(x) if isinstance(x, str) else x).cast("double"), none)
+        at.append(list(xs).index(key))
+    vals = df.select(*[c.alias(f"_x{i}") for i, c in enumerate(xs.values())])
+    ks = range(len(targets))
+    probs = [float(p) for _, p, _ in targets]
+    names = [name for _, _, name in targets]
     d = 3.0 / accuracy
-    grid = [max(0.0, p - d) for p in probs] + [min(1.0, p + d) for p in probs]
-    approx = vals.agg(F.percentile_approx("_x", grid, accuracy).alias("_a"), F.count(F.lit(1)).alias("_N"))
-    br = approx.selectExpr(
-        "_N",
-        *[f"_a[{k}] AS _lo{k}" for k in ks],
-        *[f"_a[{P + k}] AS _hi{k}" for k in ks],
-        *[f"(_N - 1) * CAST({float(p)!r} AS DOUBLE) AS _h{k}" for k, p in enumerate(probs)],
-    )
-    small = f"(_N <= {4 * accuracy})"
+    aggs = []
+    for i in range(len(xs)):
+        mine = [probs[k] for k in ks if at[k] == i]
+        grid = [max(0.0, p - d) for p in mine] + [min(1.0, p + d) for p in mine]
+        aggs += [F.percentile_approx(f"_x{i}", grid, accuracy).alias(f"_a{i}"), F.count(f"_x{i}").alias(f"_N{i}")]
+    cols = []
+    for k in ks:
+        i = at[k]
+        place, size = sum(at[j] == i for j in range(k)), at.count(i)
+        cols += [f"_a{i}[{place}] AS _lo{k}", f"_a{i}[{size + place}] AS _hi{k}", f"(_N{i} - 1) * CAST({probs[k]!r} AS DOUBLE) AS _h{k}"]
+    br = vals.agg(*aggs).selectExpr(*cols)
     entries = ", ".join(
-        f"CASE WHEN NOT {small} AND _x < _lo{k} THEN named_struct('k', {k}, 'x', CAST(NULL AS DOUBLE)) "
-        f"WHEN {small} OR _x <= _hi{k} THEN named_struct('k', {k}, 'x', _x) END"
-        for k in ks
+        f"CASE WHEN _x{i} < _lo{k} THEN named_struct('k', {k}, 'r', -1, 'x', CAST(NULL AS DOUBLE), 'v', _x{i}, 'h', _h{k}) "
+        f"WHEN _x{i} > _hi{k} THEN named_struct('k', {k}, 'r', 1, 'x', CAST(NULL AS DOUBLE), 'v', _x{i}, 'h', _h{k}) "
+        f"WHEN _x{i} IS NOT NULL THEN named_struct('k', {k}, 'r', 0, 'x', _x{i}, 'v', _x{i}, 'h', _h{k}) END"
+        for k, i in enumerate(at)
     )
-    consts = ["_N", *[f"_h{k}" for k in ks]]
-    tagged = (
-        vals.crossJoin(F.broadcast(br))
-        .select(E(f"explode(array({entries}))").alias("_e"), *consts)
-        .where("_e IS NOT NULL")
-    )
-    counted = tagged.groupBy(F.col("_e.k").alias("_k"), F.col("_e.x").alias("_x")).agg(
-        F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in consts]
-    )
-    pos = counted.selectExpr(
-        "*",
-        "coalesce(sum(_c) OVER (PARTITION BY _k ORDER BY _x ASC NULLS FIRST "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+    tagged = with_scalars(vals, br).select(F.expr(f"explode(array({entries}))").alias("_e")).where("_e IS NOT NULL")
+    counted = tagged.groupBy(F.col("_e.k").alias("_k"), F.col("_e.r").alias("_r"), F.col("_e.x").alias("_x")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_e.v").alias("_max"), F.min("_e.v").alias("_min"), F.max("_e.h").alias("_h")
     )
+    before = "coalesce(sum(_c) OVER (PARTITION BY _k ORDER BY _r, _x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    pos = counted.selectExpr("*", f"{before} AS _before")
 
-    def covers(p: str) -> str:
-        return f"(_before <= {p} AND {p} < _before + _c)"
+    def value(p: str) -> str:
+        return (
+            f"CASE WHEN _r = -1 THEN CASE WHEN {p} = _c - 1 THEN _max END WHEN _r = 1 THEN CASE WHEN {p} = _before THEN _min END "
+            f"WHEN _before <= {p} AND {p} < _before + _c THEN _x END"
+        )
 
-    aggs = [F.max("_N").alias("_N")]
-    for k in ks:
-        aggs += [
-            F.max(f"_h{k}").alias(f"_h{k}"),
-            E(f"max(CASE WHEN _k = {k} AND {covers(f'floor(_h{k})')} THEN _x END)").alias(f"_xl{k}"),
-            E(f"max(CASE WHEN _k = {k} AND {covers(f'ceil(_h{k})')} THEN _x END)").alias(f"_xh{k}"),
+    out = pos.agg(
+        *[
+            c
+            for k in ks
+            for c in (
+                F.expr(f"max(CASE WHEN _k = {k} THEN _h END)").alias(f"_h{k}"),
+                F.expr(f"max(CASE WHEN _k = {k} THEN {value('floor(_h)')} END)").alias(f"_xl{k}"),
+                F.expr(f"max(CASE WHEN _k = {k} THEN {value('ceil(_h)')} END)").alias(f"_xh{k}"),
+            )
         ]
-    return pos.agg(*aggs).selectExpr(
+    )
+    return out.selectExpr(
         *[
-            f"CAST(CASE WHEN _N > 0 AND (_xl{k} IS NULL OR _xh{k} IS NULL) "
-            f"THEN raise_error('exact_quantiles: bracket missed its target') "
+            f"CAST(CASE WHEN _h{k} IS NOT NULL AND (_xl{k} IS NULL OR _xh{k} IS NULL) "
+            f"THEN raise_error('quantile_targets: bracket missed its target') WHEN _xl{k} = _xh{k} THEN _xl{k} "
             f"ELSE _xl{k} + (_xh{k} - _xl{k}) * (_h{k} - floor(_h{k})) END AS DOUBLE) AS `{n}`"
             for k, n in zip(ks, names)
         ]
     )
+
+
+def exact_quantiles(
+    df: DataFrame,
+    x: str | Column,
+    probs: Sequence[float],
+    names: Sequence[str] | None = None,
+    accuracy: int = 10000,
+    exact: bool = True,
+) -> DataFrame:
+    """One-row DataFrame of quantiles of one column: exact and interpolated
+    (see ``quantile_targets``), or with ``exact=False`` Spark's
+    ``percentile_approx`` at this accuracy, in one pass (D9)."""
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    if exact:
+        return quantile_targets(df, [(x, p, n) for p, n in zip(probs, names)], accuracy)
+    v = F.nanvl((F.col(x) if isinstance(x, str) else x).cast("double"), F.lit(None).cast("double"))
+    return df.agg(F.percentile_approx(v, [float(p) for p in probs], accuracy).alias("_a")).select(
+        *[F.col("_a")[i].alias(n) for i, n in enumerate(names)]
+    )

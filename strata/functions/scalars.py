@@ -17,6 +17,7 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     alternative: nested ones are planned once per reference, 130 scans instead
     of 7 for the quartile plan, so the broadcast row is kept.)
 
-    ``one_row`` must be a global aggregate (``df.agg(...)`` with no grouping)
-    or a ``limit(1)``; that is what bounds the broadcast to a single row."""
-    return df.crossJoin(F.broadcast(one_row))
+    ``one_row`` should be a global aggregate (``df.agg(...)`` with no
+    grouping); of anything else one row counts, which is what bounds the
+    broadcast (the optimizer drops the limit over a global aggregate)."""
+    return df.crossJoin(F.broadcast(one_row.limit(1)))

@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.dates import parse_date
 from ..functions.numeric import exact_avg, plain_avg
-from ..functions.ranking import exact_quantiles
+from ..functions.ranking import exact_quantiles, quantile_targets
 from ..functions.scalars import with_scalars
 from ..spec import DEFAULT, PanelSpec
 from .quality import missing, numeric_columns
@@ -34,14 +34,27 @@ def _fill(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.withColumns(repl).select(*df.columns)
 
 
-def _mode_row(df: DataFrame, c: str, alias: str) -> DataFrame:
-    """Most frequent non-missing value; ties go to the smallest value. Grouped
-    counts first (partial aggregation), then a bounded ``min_by`` reduce."""
-    x = F.col(c)
-    if isinstance(df.schema[c].dataType, (FloatType, DoubleType)):
-        x = F.nanvl(x, F.lit(None).cast(df.schema[c].dataType))
-    counts = df.select(x.alias("_v")).where(F.col("_v").isNotNull()).groupBy("_v").agg(F.count(F.lit(1)).alias("_k"))
-    return counts.agg(F.min_by("_v", F.struct((-F.col("_k")).alias("k"), F.col("_v").alias("v"))).alias(alias))
+def _modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: the most frequent non-missing value of each column as
+    ``_f<i>``; ties go to the smallest value. One pass for all columns: a row
+    gives one (column, value) pair per column, pairs are counted (partial
+    aggregation first) and the counts reduced by ``min_by``."""
+    kinds = [df.schema[c].dataType for c in columns]
+    none = [F.lit(None).cast(t) for t in kinds]
+    value = [F.nanvl(F.col(c), n) if isinstance(t, (FloatType, DoubleType)) else F.col(c) for c, t, n in zip(columns, kinds, none)]
+    pairs = [
+        F.struct(F.lit(i).alias("i"), *[(value[j] if j == i else none[j]).alias(f"v{j}") for j in range(len(columns))])
+        for i in range(len(columns))
+    ]
+    long = df.select(F.inline(F.array(*pairs)))
+    vs = [f"v{j}" for j in range(len(columns))]
+    counts = long.where(F.coalesce(*[F.col(v).cast("string") for v in vs]).isNotNull()).groupBy("i", *vs).agg(F.count(F.lit(1)).alias("k"))
+    return counts.agg(
+        *[
+            F.min_by(f"v{j}", F.when(F.col("i") == j, F.struct((-F.col("k")).alias("k"), F.col(f"v{j}").alias("v")))).alias(f"_f{j}")
+            for j in range(len(columns))
+        ]
+    )
 
 
 def impute(
@@ -49,14 +62,18 @@ def impute(
     strategy: str = "mean",
     columns: Sequence[str] | None = None,
     spec: PanelSpec | None = DEFAULT,
+    exact: bool = True,
 ) -> DataFrame:
     """Missing-value treatment: ``mean`` / ``median`` / ``mode`` fill,
     ``drop`` rows with a missing listed column, or ``fill`` with 0.
-    ``columns=None`` means every numeric column (ledger D4). The measure named
-    by ``spec`` is averaged exactly (decimal sum)."""
+    ``columns=None`` means every numeric column but the entity, time and flag
+    of ``spec`` (D4; a made-up entity id would be a wrong row). The measure
+    named by ``spec`` is averaged exactly (decimal sum). ``exact=False`` takes
+    approximate medians."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    cols = list(columns) if columns is not None else numeric_columns(df)
+    roles = {spec.entity, spec.time, spec.flag} if spec is not None else set()
+    cols = list(columns) if columns is not None else [c for c in numeric_columns(df) if c not in roles]
     if not cols:
         return df
     if strategy == "drop":
@@ -72,15 +89,13 @@ def impute(
 
         stats = df.agg(*[mean(c).alias(f"_f{i}") for i, c in enumerate(cols)])
     elif strategy == "median":
-        stats = None
-        for i, c in enumerate(cols):
-            q = exact_quantiles(df, c, [0.5], [f"_f{i}"])
-            stats = q if stats is None else stats.crossJoin(q)
+        if exact:
+            stats = quantile_targets(df, [(c, 0.5, f"_f{i}") for i, c in enumerate(cols)])
+        else:
+            x = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
+            stats = df.agg(*[F.percentile_approx(x[c], 0.5, 10000).alias(f"_f{i}") for i, c in enumerate(cols)])
     else:
-        stats = None
-        for i, c in enumerate(cols):
-            m = _mode_row(df, c, f"_f{i}")
-            stats = m if stats is None else stats.crossJoin(m)
+        stats = _modes(df, cols)
     return _fill(df, stats, cols)
 
 
@@ -103,41 +118,56 @@ def parse_dates(
     return res
 
 
-def outliers_iqr(df: DataFrame, column: str, threshold: float = 1.5) -> DataFrame:
-    """``{column}_outlier`` = 1 outside [q1 - k*IQR, q3 + k*IQR], else 0."""
-    q = exact_quantiles(df, column, [0.25, 0.75], ["_q1", "_q3"])
-    x = F.col(column).cast("double")
+def _number(column: str) -> Column:
+    """The column as double, NaN as null (D23)."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
+def outliers_iqr(df: DataFrame, column: str, threshold: float = 1.5, exact: bool = True) -> DataFrame:
+    """``{column}_outlier`` = 1 outside [q1 - k*IQR, q3 + k*IQR], else 0 (also
+    for a missing value)."""
+    q = exact_quantiles(df, column, [0.25, 0.75], ["_q1", "_q3"], exact=exact)
+    x = _number(column)
     iqr = F.col("_q3") - F.col("_q1")
     flag = F.when((x < F.col("_q1") - threshold * iqr) | (x > F.col("_q3") + threshold * iqr), 1).otherwise(0)
     return with_scalars(df, q).withColumn(f"{column}_outlier", flag).select(*df.columns, f"{column}_outlier")
 
 
 def outliers_zscore(df: DataFrame, column: str, threshold: float = 3.0, spec: PanelSpec | None = None) -> DataFrame:
-    """``{column}_outlier`` = 1 when |x - mean| / stddev > threshold (ledger D2, D3)."""
-    x = F.col(column).cast("double")
+    """``{column}_outlier`` = 1 when |x - mean| / stddev > threshold (ledger D2, D3), else 0."""
+    x = _number(column)
     mean = exact_avg(column, spec) if spec is not None and spec.value == column else plain_avg(column)
-    stats = df.agg(mean.alias("_mu"), F.stddev(F.nanvl(x, F.lit(None).cast("double"))).alias("_sd"))
+    stats = df.agg(mean.alias("_mu"), F.stddev(x).alias("_sd"))
     z = F.abs(F.try_divide(x - F.col("_mu"), F.col("_sd")))
     flag = F.when(z > threshold, 1).otherwise(0)
     return with_scalars(df, stats).withColumn(f"{column}_outlier", flag).select(*df.columns, f"{column}_outlier")
 
 
-def _bounds(df: DataFrame, column: str, lower: float, upper: float) -> DataFrame:
-    return exact_quantiles(df, column, [lower, upper], ["_lo", "_hi"])
+def detect_outliers(df: DataFrame, column: str, method: str = "iqr", threshold: float | None = None, spec: PanelSpec | None = None) -> DataFrame:
+    """``outliers_iqr`` or ``outliers_zscore`` by name, with their default thresholds."""
+    if method == "iqr":
+        return outliers_iqr(df, column, 1.5 if threshold is None else threshold)
+    if method == "zscore":
+        return outliers_zscore(df, column, 3.0 if threshold is None else threshold, spec)
+    raise ValueError("method must be 'iqr' or 'zscore'")
+
+
+def _bounds(df: DataFrame, column: str, lower: float, upper: float, exact: bool = True) -> DataFrame:
+    return exact_quantiles(df, column, [lower, upper], ["_lo", "_hi"], exact=exact)
 
 
-def cap_outliers(df: DataFrame, column: str, lower: float = 0.01, upper: float = 0.99) -> DataFrame:
-    """Winsorise to the exact [lower, upper] quantiles; nulls stay null. The
-    column becomes double."""
-    x = F.col(column).cast("double")
+def cap_outliers(df: DataFrame, column: str, lower: float = 0.01, upper: float = 0.99, exact: bool = True) -> DataFrame:
+    """Winsorise to the [lower, upper] quantiles; nulls stay null and NaN
+    becomes null. The column becomes double."""
+    x = _number(column)
     capped = F.when(x < F.col("_lo"), F.col("_lo")).when(x > F.col("_hi"), F.col("_hi")).otherwise(x)
-    return with_scalars(df, _bounds(df, column, lower, upper)).withColumn(column, capped).select(*df.columns)
+    return with_scalars(df, _bounds(df, column, lower, upper, exact)).withColumn(column, capped).select(*df.columns)
 
 
-def remove_outliers(df: DataFrame, column: str, lower: float = 0.01, upper: float = 0.99) -> DataFrame:
-    """Keep rows inside the exact [lower, upper] quantiles (nulls drop out)."""
-    x = F.col(column).cast("double")
-    kept = with_scalars(df, _bounds(df, column, lower, upper)).where((x >= F.col("_lo")) & (x <= F.col("_hi")))
+def remove_outliers(df: DataFrame, column: str, lower: float = 0.01, upper: float = 0.99, exact: bool = True) -> DataFrame:
+    """Keep rows inside the [lower, upper] quantiles (missing values drop out)."""
+    x = _number(column)
+    kept = with_scalars(df, _bounds(df, column, lower, upper, exact)).where((x >= F.col("_lo")) & (x <= F.col("_hi")))
     return kept.select(*df.columns)
 
 

@@ -30,7 +30,7 @@ def entity_window(spec: PanelSpec, *extra: Column | str):
 
 def calendar_columns(date: str | Column, names: Sequence[str] | None = None) -> dict[str, Column]:
     """Calendar parts of ``date`` (a column name or Column): Year, Quarter,
-    Month, WeekOfYear, DayOfWeek (1 = Sunday), MonthName, DayName, IsWeekend,
+    Month, Day, WeekOfYear, DayOfWeek (1 = Sunday), MonthName, DayName, IsWeekend,
     Season. Only ``names`` are built when given."""
     d = f"`{date}`" if isinstance(date, str) else None
     if d is None:  # a Column: compose with the Column API
@@ -39,6 +39,7 @@ def calendar_columns(date: str | Column, names: Sequence[str] | None = None) ->
             "Year": F.year(date),
             "Quarter": F.quarter(date),
             "Month": month,
+            "Day": F.dayofmonth(date),
             "WeekOfYear": F.weekofyear(date),
             "DayOfWeek": dow,
             "MonthName": F.date_format(date, "MMMM"),
@@ -54,6 +55,7 @@ def calendar_columns(date: str | Column, names: Sequence[str] | None = None) ->
         "Year": f"year({d})",
         "Quarter": f"quarter({d})",
         "Month": f"month({d})",
+        "Day": f"dayofmonth({d})",
         "WeekOfYear": f"weekofyear({d})",
         "DayOfWeek": f"dayofweek({d})",
         "MonthName": f"date_format({d}, 'MMMM')",
@@ -65,18 +67,22 @@ def calendar_columns(date: str | Column, names: Sequence[str] | None = None) ->
 
 
 def calendar_features(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Year, Quarter, Month, WeekOfYear, DayOfWeek (1 = Sunday), MonthName,
+    """Year, Quarter, Month, Day, WeekOfYear, DayOfWeek (1 = Sunday), MonthName,
     DayName, IsWeekend, Season — one projection, no shuffle."""
     return df.withColumns(calendar_columns(spec.time))
 
 
 def _trailing(spec: PanelSpec, k: int) -> tuple[Column, Column]:
-    """Sum and count of the last k rows as differences of running totals:
-    O(1) per row for any k (a sliding frame re-aggregates k rows per row).
-    Exact, because the running sum is a decimal. Stated in SQL so each
-    column is one JVM call to build."""
+    """Sum and count of the last k rows. Of a decimal measure, as differences
+    of running totals: O(1) per row for any k, and exact. Doubles would cancel
+    in a difference (and stay NaN after an infinity), so their rows are summed
+    over the sliding frame itself. Stated in SQL so each column is one JVM
+    call to build."""
     m = _money_sql(spec)
     w = _window_sql(spec)
+    if spec.value_scale is None:
+        frame = f"OVER ({w} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+        return F.expr(f"sum({m}) {frame}"), F.expr(f"count({m}) {frame}")
     cs = f"sum(coalesce({m}, 0)) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     cc = f"count({m}) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     # running totals k rows back (0 before the first row)
@@ -88,7 +94,8 @@ def _trailing(spec: PanelSpec, k: int) -> tuple[Column, Column]:
 def _money_sql(spec: PanelSpec) -> str:
     if spec.value_scale is None:
         return f"nanvl(CAST(`{spec.value}` AS DOUBLE), CAST(NULL AS DOUBLE))"
-    return f"try_cast(`{spec.value}` AS DECIMAL({spec.value_precision},{spec.value_scale}))"
+    cast = f"CAST(`{spec.value}` AS DECIMAL({spec.value_precision},{spec.value_scale}))"
+    return f"CASE WHEN NOT isnan(CAST(`{spec.value}` AS DOUBLE)) THEN {cast} END"
 
 
 def _window_sql(spec: PanelSpec) -> str:
@@ -241,7 +248,8 @@ def split_window_features(
        the earlier blocks (a small per-block aggregate).
     2. Every row is sent to the rows k positions later, for each needed k, and
        one ``groupBy(entity, row)`` gathers them: each group holds at most
-       1 + |k| rows and the groups of one entity hash over all partitions.
+       1 + |k| rows and the groups of one entity hash over all partitions;
+       the columns of a row travel in one of its copies.
     Same columns and values as ``rolling_columns`` + ``lag_columns``."""
     ent = spec.entity
     m = money(spec.value, spec)
@@ -269,39 +277,48 @@ def split_window_features(
             F.coalesce(F.sum("_bc").over(prior), F.lit(0)).alias("_oc"),
         )
     )
-    rows = base.join(blocks, [ent, "_blk"]).withColumns(
+    blocks = blocks.withColumnsRenamed({ent: "_oe", "_blk": "_ob"})
+    same = F.col(ent).eqNullSafe(F.col("_oe")) & F.col("_blk").eqNullSafe(F.col("_ob"))
+    rows = base.join(blocks, same).withColumns(
         {
             "_rn": F.col("_rn") + F.col("_on"),
             "_cs": F.col("_cs") + F.col("_os"),
             "_cc": F.col("_cc") + F.col("_oc"),
         }
     )
-    ks = sorted(set(windows) | set(lags))
+    # a double measure is summed row by row (see _trailing), so a window needs its k - 1 earlier values themselves
+    double = spec.value_scale is None
+    back = sorted({j for k in windows for j in range(1, k)}) if double else sorted(set(windows))
+    ks = sorted({*back, *lags})
+    whole = F.struct(*[F.col(c) for c in df.columns])
     copies = rows.select(
         ent,
-        F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
+        whole.alias("_whole"),
+        m.alias("_m"),
         F.col(spec.value).alias("_v"),
         "_rn",
         "_cs",
         "_cc",
         F.explode(F.array(*[F.lit(k) for k in [0, *ks]])).alias("_k"),
-    ).withColumn("_t", F.col("_rn") + F.col("_k"))
+    ).withColumns({"_t": F.col("_rn") + F.col("_k"), "_row": F.when(F.col("_k") == 0, F.col("_whole"))}).drop("_whole")
 
     def at(k: int, c: str) -> Column:
         return F.max(F.when(F.col("_k") == k, F.col(c)))
 
     g = copies.groupBy(ent, "_t").agg(
-        F.first(F.when(F.col("_k") == 0, F.col("_row")), ignorenulls=True).alias("_row"),
-        at(0, "_cs").alias("_cs0"),
-        at(0, "_cc").alias("_cc0"),
-        *[at(k, "_cs").alias(f"_cs{k}") for k in ks],
-        *[at(k, "_cc").alias(f"_cc{k}") for k in ks],
+        F.first("_row", ignorenulls=True).alias("_row"),
+        *([] if double else [at(k, c).alias(f"{c}{k}") for k in [0, *back] for c in ("_cs", "_cc")]),
+        *([F.sum(F.when(F.col("_k") < k, F.col("_m"))).alias(f"_s{k}") for k in windows] if double else []),
+        *([F.count(F.when(F.col("_k") < k, F.col("_m"))).alias(f"_n{k}") for k in windows] if double else []),
         *[at(k, "_v").alias(f"_v{k}") for k in lags],
     ).where(F.col("_row").isNotNull())
     out: dict[str, Column] = {}
     for k in windows:
-        n = F.col("_cc0") - F.coalesce(F.col(f"_cc{k}"), F.lit(0))
-        s = F.when(n > 0, F.col("_cs0") - F.coalesce(F.col(f"_cs{k}"), F.lit(0)))
+        if double:
+            s, n = F.col(f"_s{k}"), F.col(f"_n{k}")
+        else:
+            n = F.col("_cc0") - F.coalesce(F.col(f"_cc{k}"), F.lit(0))
+            s = F.when(n > 0, F.col("_cs0") - F.coalesce(F.col(f"_cs{k}"), F.lit(0)))
         out[f"Rolling_Avg_{k}W"] = r2(F.try_divide(s.cast("double"), n))
         out[f"Rolling_Sum_{k}W"] = r2(s)
     for k in lags:

@@ -52,6 +52,12 @@ def mom_growth(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     ).orderBy("Year", "Month")
 
 
+def recent_mom_growth(df: DataFrame, spec: PanelSpec = DEFAULT, n: int = 12) -> DataFrame:
+    """Total and growth % of the latest ``n`` months."""
+    m = mom_growth(df, spec).select("Year", "Month", "Monthly_Sales", "MoM_Growth_Pct")
+    return m.orderBy(F.col("Year").desc(), F.col("Month").desc()).limit(n)
+
+
 def mom_growth_avg(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     """One row: mean of the (rounded) monthly growth rates that exist."""
     g = mom_growth(df, spec).where(F.col("MoM_Growth_Pct").isNotNull())

@@ -209,9 +209,11 @@ def grand_summary(df: DataFrame, spec: PanelSpec = DEFAULT, approx_entities: boo
     )
 
 
-def label_counts(df: DataFrame, column: str) -> DataFrame:
-    """Row count per label value of ``column``."""
-    return df.groupBy(F.col(column).alias("Label")).agg(F.count(F.lit(1)).alias("Row_Count"))
+def label_counts(df: DataFrame, *columns: str) -> DataFrame:
+    """Row count per label value of each of the ``columns``: Label_Kind (the
+    column), Label, Row_Count; one pass for all of them."""
+    kinds = F.array(*[F.struct(F.lit(c).alias("Label_Kind"), F.col(c).alias("Label")) for c in columns])
+    return df.select(F.inline(kinds)).groupBy("Label_Kind", "Label").agg(F.count(F.lit(1)).alias("Row_Count"))
 
 
 def entity_gap(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import distribution as DI
 from ..operators import features as FE
 from ..operators import rollup as RU
@@ -11,7 +9,7 @@ from ..operators import series as TS
 from ..spec import DEFAULT as SPEC
 from . import sql as S
 from .q_features import _QB, _QUART_COLS
-from .registry import panel, publish, register
+from .registry import DIRTY, dirty, panel, publish, register
 
 R, AVG, PCT = S.R, S.AVG, S.PCT
 PF = S.with_(S.PANEL, S.FEAT)
@@ -89,14 +87,14 @@ def _nanless(c: str) -> str:
 _PAIRS = [(a, b) for i, a in enumerate(VARS) for b in VARS[i:]]
 
 
-def _corr_sql() -> str:
-    cm = "cm AS (SELECT " + ", ".join(f"{_corr(a, b)} AS c{k}" for k, (a, b) in enumerate(_PAIRS)) + " FROM panel)"
+def _corr_sql(table: str = "panel") -> str:
+    cm = "cm AS (SELECT " + ", ".join(f"{_corr(a, b)} AS c{k}" for k, (a, b) in enumerate(_PAIRS)) + f" FROM {table})"
     parts = []
     for k, (a, b) in enumerate(_PAIRS):
         parts.append(f"SELECT '{a}' AS X, '{b}' AS Y, {_nanless(f'c{k}')} AS Corr FROM cm")
         if a != b:
             parts.append(f"SELECT '{b}' AS X, '{a}' AS Y, {_nanless(f'c{k}')} AS Corr FROM cm")
-    return S.with_(S.PANEL, cm) + " UNION ALL ".join(parts)
+    return S.with_(S.PANEL, *([S.DIRTY] if table == "dirty" else []), cm) + " UNION ALL ".join(parts)
 
 
 @register("correlation_matrix", _corr_sql())
@@ -117,15 +115,18 @@ def entity_volatility(spark, sf):
     return publish(DI.entity_volatility(panel(spark, sf), SPEC))
 
 
-@register(
-    "correlation_by_entity",
-    PP
-    + "SELECT entity, "
-    + ", ".join(f"{_nanless(f'c_{c}')} AS Corr_{c}" for c in VARS[1:])
-    + " FROM (SELECT entity, "
-    + ", ".join(f"{_corr('value', c)} AS c_{c}" for c in VARS[1:])
-    + " FROM panel GROUP BY entity)",
-)
+def _corr_entity_sql(table: str = "panel") -> str:
+    return (
+        S.with_(S.PANEL, *([S.DIRTY] if table == "dirty" else []))
+        + "SELECT entity, "
+        + ", ".join(f"{_nanless(f'c_{c}')} AS Corr_{c}" for c in VARS[1:])
+        + " FROM (SELECT entity, "
+        + ", ".join(f"{_corr('value', c)} AS c_{c}" for c in VARS[1:])
+        + f" FROM {table} GROUP BY entity)"
+    )
+
+
+@register("correlation_by_entity", _corr_entity_sql())
 def correlation_by_entity(spark, sf):
     return publish(DI.correlation_by_entity(panel(spark, sf), SPEC))
 
@@ -139,9 +140,12 @@ def peak_flag_periods(spark, sf):
     return publish(DI.peak_flag_periods(panel(spark, sf), SPEC, 10))
 
 
+_LABELS = ("Season", "Sales_Category", "Trend_Signal", "Velocity_Status")
 _LAB = (
     "lab AS (SELECT Season, Sales_Category, CASE WHEN MA_4W > MA_12W THEN 'Uptrend' WHEN MA_4W < MA_12W "
-    f"THEN 'Downtrend' ELSE 'Neutral' END AS Trend_Signal FROM (SELECT *, {S.RAVG(4)} AS MA_4W, {S.RAVG(12)} AS MA_12W, "
+    f"THEN 'Downtrend' ELSE 'Neutral' END AS Trend_Signal, CASE WHEN vel > 0 THEN 'Accelerating' WHEN vel < 0 THEN 'Decelerating' "
+    f"ELSE 'Stable' END AS Velocity_Status FROM (SELECT *, {S.RAVG(4)} AS MA_4W, {S.RAVG(12)} AS MA_12W, "
+    f"value - lag(value, 1) OVER {S.ORD} AS vel, "
     f"{_QUART_COLS} FROM feat, qb))"
 )
 
@@ -151,17 +155,22 @@ _LAB = (
     S.with_(S.PANEL, S.FEAT, _QB, _LAB)
     + " UNION ALL ".join(
         f"SELECT '{k}' AS Label_Kind, {k} AS Label, count(*) AS Row_Count FROM lab GROUP BY {k}"
-        for k in ("Season", "Sales_Category", "Trend_Signal")
+        for k in _LABELS
     ),
 )
 def label_counts(spark, sf):
     p = panel(spark, sf)
-    feats = FE.value_quartiles(TS.trend_signal(FE.calendar_features(p, SPEC), SPEC), SPEC)
-    parts = [
-        RU.label_counts(feats, k).select(F.lit(k).alias("Label_Kind"), "Label", "Row_Count")
-        for k in ("Season", "Sales_Category", "Trend_Signal")
-    ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return publish(out)
+    feats = TS.velocity(TS.trend_signal(FE.calendar_features(p, SPEC), SPEC), SPEC)
+    feats = FE.value_quartiles(feats, SPEC, FE.quartile_bounds(p, SPEC))
+    return publish(RU.label_counts(feats, *_LABELS))
+
+
+@register("correlation_matrix_dirty", _corr_sql("dirty"))
+def correlation_matrix_dirty(spark, sf):
+    """Nulls in two of the columns: correlations are over complete pairs."""
+    return publish(DI.correlation_matrix(dirty(spark, sf), DIRTY))
+
+
+@register("correlation_by_entity_dirty", _corr_entity_sql("dirty"))
+def correlation_by_entity_dirty(spark, sf):
+    return publish(DI.correlation_by_entity(dirty(spark, sf), DIRTY))

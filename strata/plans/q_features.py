@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from ..operators import features as FE
 from ..spec import DEFAULT as SPEC
 from . import sql as S
-from .registry import daily, panel, publish, register
+from .registry import DIRTY, daily, panel, publish, register
 
 _BASE = ["entity", "dt", "value"]
-_CAL = ["Year", "Quarter", "Month", "WeekOfYear", "DayOfWeek", "MonthName", "DayName", "IsWeekend", "Season"]
+_CAL = ["Year", "Quarter", "Month", "Day", "WeekOfYear", "DayOfWeek", "MonthName", "DayName", "IsWeekend", "Season"]
 
 
 def _keep(df, new):
@@ -135,4 +135,34 @@ def feature_set(spark, sf):
     return publish(FE.feature_set(panel(spark, sf), SPEC))
 
 
-__all__ = ["F"]
+@register("feature_set_split", _feature_set_sql())
+def feature_set_split(spark, sf):
+    """The same table by the plan for a dominant entity."""
+    return publish(FE.feature_set(panel(spark, sf), SPEC, split_block=F.year("dt")))
+
+
+_DOUBLE = (
+    "pd AS (SELECT entity, dt, CASE WHEN (entity + weekofyear(dt)) % 13 = 0 THEN NULL "
+    "WHEN (entity + weekofyear(dt)) % 13 = 1 THEN CAST('NaN' AS DOUBLE) ELSE CAST(value AS DOUBLE) END AS value FROM panel)"
+)
+_CLEAN_VALUE = "CASE WHEN isnan(value) THEN NULL ELSE value END"
+
+
+def double_panel(spark, sf):
+    """The panel with a double measure that is null in some weeks and NaN in others."""
+    wk = (F.col("entity") + F.weekofyear("dt")) % 13
+    v = F.when(wk == 1, F.lit(float("nan"))).when(wk != 0, F.col("value").cast("double"))
+    return panel(spark, sf).select("entity", "dt", v.alias("value"))
+
+
+@register(
+    "rolling_double",
+    S.with_(S.PANEL, _DOUBLE)
+    + "SELECT entity, dt, "
+    + ", ".join(f"{S.RAVG(k, f'({_CLEAN_VALUE})')} AS Rolling_Avg_{k}W, {S.RSUM(k, f'({_CLEAN_VALUE})')} AS Rolling_Sum_{k}W" for k in (4, 12))
+    + " FROM pd",
+)
+def rolling_double(spark, sf):
+    """Rolling windows of a measure that is summed as double."""
+    out = FE.rolling_metrics(double_panel(spark, sf), DIRTY, (4, 12))
+    return out.select("entity", "dt", *[f"Rolling_{x}_{k}W" for k in (4, 12) for x in ("Avg", "Sum")])

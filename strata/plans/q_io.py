@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources import load_csv, save
+from ..sources.tables import load_weekly_sales
 from . import sql as S
 from .registry import panel, publish, register
 
@@ -20,7 +20,7 @@ _PANEL_OUT = (
 
 def _target(spark, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 @register("csv_roundtrip", _PANEL_OUT)
@@ -44,6 +44,43 @@ def partitioned_roundtrip(spark, sf):
     return publish(back.select(*[F.col(c).cast(p.schema[c].dataType) for c in p.columns]))
 
 
+@register("csv_inferred", _PANEL_OUT)
+def csv_inferred(spark, sf):
+    """Write the panel as CSV, read it back with inferred types."""
+    p = panel(spark, sf)
+    path = _target(spark, "csv")
+    save(p, path, format="csv", mode="overwrite")
+    back = load_csv(spark, path, header=True, infer_schema=True)
+    return publish(back.select(*[F.col(c).cast(p.schema[c].dataType) for c in p.columns]))
+
+
+@register("json_roundtrip", _PANEL_OUT)
+def json_roundtrip(spark, sf):
+    """Write the panel as JSON lines, read it back with its schema."""
+    p = panel(spark, sf)
+    path = _target(spark, "json")
+    save(p, path, format="json", mode="overwrite")
+    return publish(spark.read.schema(p.schema).json(path))
+
+
+@register(
+    "weekly_sales_load",
+    S.with_(S.PANEL)
+    + "SELECT CAST(entity AS INTEGER) AS Store, strftime(dt, '%d-%m-%Y') AS Date, CAST(value AS DOUBLE) AS Weekly_Sales, flag AS Holiday_Flag, "
+    "cov_a AS Temperature, cov_b AS Fuel_Price, cov_c AS CPI, cov_d AS Unemployment FROM panel",
+)
+def weekly_sales_load(spark, sf):
+    """The panel written in the raw weekly layout, loaded with its fixed schema."""
+    raw = panel(spark, sf).select(
+        F.col("entity").alias("Store"), F.date_format("dt", "dd-MM-yyyy").alias("Date"), F.col("value").alias("Weekly_Sales"),
+        F.col("flag").alias("Holiday_Flag"), F.col("cov_a").alias("Temperature"), F.col("cov_b").alias("Fuel_Price"),
+        F.col("cov_c").alias("CPI"), F.col("cov_d").alias("Unemployment"),
+    )
+    path = _target(spark, "weekly")
+    save(raw, path, format="csv", mode="overwrite")
+    return publish(load_weekly_sales(spark, path))
+
+
 @register(
     "sample_rows",
     S.with_(S.PANEL)

@@ -10,6 +10,7 @@ from ..operators import clean as CL
 from ..operators import quality as QU
 from ..spec import DEFAULT as SPEC
 from . import sql as S
+from .q_features import double_panel
 from .registry import dirty, panel, publish, register
 
 R, AVG, PCT = S.R, S.AVG, S.PCT
@@ -234,6 +235,67 @@ def outliers_remove(spark, sf):
     return publish(CL.remove_outliers(panel(spark, sf).select("entity", "dt", "value"), "value"))
 
 
+# ---------------------------------------------------------------- missing values as NaN
+
+_NAN = (
+    "pd AS (SELECT entity, dt, CASE WHEN (entity + weekofyear(dt)) % 13 = 1 THEN NULL WHEN (entity + weekofyear(dt)) % 13 = 0 THEN NULL "
+    "ELSE CAST(value AS DOUBLE) END AS v FROM panel)"
+)
+
+
+def _with_nan(spark, sf):
+    return double_panel(spark, sf)
+
+
+@register(
+    "outliers_iqr_nan",
+    S.with_(S.PANEL, _NAN, "qb AS (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM pd)")
+    + "SELECT entity, dt, CAST(CASE WHEN v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1) THEN 1 ELSE 0 END AS INTEGER) AS value_outlier FROM pd, qb",
+)
+def outliers_iqr_nan(spark, sf):
+    """A NaN is missing: no outlier, and no part of the quartiles."""
+    return CL.detect_outliers(_with_nan(spark, sf), "value", "iqr").drop("value")
+
+
+@register(
+    "outliers_zscore_nan",
+    S.with_(S.PANEL, _NAN, "zs AS (SELECT avg(v) AS mu, stddev_samp(v) AS sd FROM pd)")
+    + "SELECT entity, dt, CAST(CASE WHEN abs((v - mu) / nullif(sd, 0)) > 3.0 THEN 1 ELSE 0 END AS INTEGER) AS value_outlier FROM pd, zs",
+)
+def outliers_zscore_nan(spark, sf):
+    return CL.detect_outliers(_with_nan(spark, sf), "value", "zscore").drop("value")
+
+
+@register(
+    "outliers_cap_nan",
+    S.with_(S.PANEL, _NAN, "qb AS (SELECT quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM pd)")
+    + f"SELECT entity, dt, {R('CASE WHEN v < lo THEN lo WHEN v > hi THEN hi ELSE v END', 4)} AS value FROM pd, qb",
+)
+def outliers_cap_nan(spark, sf):
+    return CL.cap_outliers(_with_nan(spark, sf), "value").withColumn("value", F.round("value", 4))
+
+
+_ALL = "st AS (SELECT " + ", ".join([f"{AVG('CAST(value AS DECIMAL(18,2))')} AS value_f", *[f"avg({c}) AS {c}_f" for c in ("cov_a", "cov_b", "cov_c", "cov_d")]]) + " FROM dirty)"
+
+
+@register(
+    "impute_all_numeric",
+    S.with_(S.PANEL, S.DIRTY, _ALL) + _sel(_ident({c: f"COALESCE({c}, {c}_f)" for c in ("value", "cov_a", "cov_b", "cov_c", "cov_d")}), "dirty, st"),
+)
+def impute_all_numeric(spark, sf):
+    """No column list: every numeric column but the entity, time and flag."""
+    return rounded(CL.impute(dirty(spark, sf), "mean", None, SPEC))
+
+
+_ISO = "isod AS (SELECT *, CAST(CASE WHEN regexp_full_match(dt_raw, '\\d{4}-\\d{2}-\\d{2}') THEN try_strptime(dt_raw, '%Y-%m-%d') END AS DATE) AS dt FROM dirty)"
+
+
+@register("parse_dates_one_format", S.with_(S.PANEL, S.DIRTY, _ISO) + _sel({**_ident(), "dt": "dt"}, "isod"))
+def parse_dates_one_format(spark, sf):
+    """With a given pattern, text in any other is null."""
+    return rounded(CL.parse_dates(dirty(spark, sf), "dt_raw", out="dt", formats="yyyy-MM-dd", parts=False))
+
+
 @register("dedupe_exact", PD + _sel(_ident(), "(SELECT DISTINCT * FROM dirty)"))
 def dedupe_exact(spark, sf):
     return rounded(CL.dedupe(dirty(spark, sf)))

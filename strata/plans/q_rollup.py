@@ -6,7 +6,7 @@ from ..operators import kpi as K
 from ..operators import rollup as RU
 from ..spec import DEFAULT as SPEC
 from . import sql as S
-from .registry import panel, publish, register
+from .registry import ORACLE, panel, publish, register
 
 R, AVG, PCT, GROWTH = S.R, S.AVG, S.PCT, S.GROWTH
 PF = S.with_(S.PANEL, S.FEAT)
@@ -211,6 +211,14 @@ def mom_growth(spark, sf):
     return publish(K.mom_growth(panel(spark, sf), SPEC))
 
 
+@register(
+    "recent_mom_growth",
+    PF + f"SELECT Year, Month, Monthly_Sales, MoM_Growth_Pct FROM ({_MOM}) ORDER BY Year DESC, Month DESC LIMIT 12",
+)
+def recent_mom_growth(spark, sf):
+    return publish(K.recent_mom_growth(panel(spark, sf), SPEC, 12))
+
+
 @register(
     "mom_growth_avg",
     PF
@@ -262,6 +270,29 @@ def entity_efficiency(spark, sf):
     return publish(K.entity_efficiency(panel(spark, sf), SPEC))
 
 
+def _top10(name: str, by: str) -> str:
+    return f"SELECT * FROM ({ORACLE[name]}) ORDER BY {by} DESC NULLS LAST, entity LIMIT 10"
+
+
+@register("top_efficiency", _top10("entity_efficiency", "Avg_Capacity_Utilization_Pct"))
+def top_efficiency(spark, sf):
+    return publish(RU.top(K.entity_efficiency(panel(spark, sf), SPEC), "Avg_Capacity_Utilization_Pct", 10, tie=["entity"]))
+
+
+def _register_covariate_views() -> None:
+    for c in ("cov_a", "cov_b", "cov_c"):
+
+        def view(spark, sf, c=c):
+            means = RU.covariates_by_entity(panel(spark, sf), SPEC, digits=6).select("entity", f"Avg_{c}", "Avg_Sales")
+            return publish(RU.top(means, "Avg_Sales", 10, tie=["entity"]))
+
+        sql = f"SELECT entity, Avg_{c}, Avg_Sales FROM ({_top10('covariates_by_entity', 'Avg_Sales')})"
+        register(f"top_sales_with_{c}", sql)(view)
+
+
+_register_covariate_views()
+
+
 def _metric_sql(metric: str, asc: bool) -> str:
     return (
         PP + f"SELECT * FROM (SELECT entity, {D('sum(value)')} AS Total_Sales, {R(AVG('value'))} AS Avg_Sales "

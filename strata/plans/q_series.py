@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import series as TS
+from ..operators.rollup import top
 from ..spec import DEFAULT as SPEC
 from . import sql as S
-from .registry import daily, panel, publish, register
+from .registry import ORACLE, daily, panel, publish, register
 
 R, AVG, PCT, GROWTH, ORD = S.R, S.AVG, S.PCT, S.GROWTH, S.ORD
 PF = S.with_(S.PANEL, S.FEAT)
@@ -208,4 +207,15 @@ def forecast_horizon(spark, sf):
     return publish(TS.forecast_horizon(panel(spark, sf), SPEC, horizon=4))
 
 
-__all__ = ["F"]
+def _top10(name: str, by: str) -> str:
+    return f"SELECT * FROM ({ORACLE[name]}) ORDER BY {by} DESC NULLS LAST, entity LIMIT 10"
+
+
+@register("top_forecast", _top10("forecast_baseline", "Forecast_Next_Week"))
+def top_forecast(spark, sf):
+    return publish(top(TS.forecast_baseline(panel(spark, sf), SPEC), "Forecast_Next_Week", 10, tie=["entity"]))
+
+
+@register("top_trend_strength", _top10("trend_strength", "Uptrend_Pct"))
+def top_trend_strength(spark, sf):
+    return publish(top(TS.trend_strength(panel(spark, sf), SPEC), "Uptrend_Pct", 10, tie=["entity"]))

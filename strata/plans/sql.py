@@ -40,7 +40,7 @@ PANEL = """panel AS (
 
 def CAL(dt: str = "dt") -> str:
     return f"""CAST(year({dt}) AS INTEGER) AS Year, CAST(quarter({dt}) AS INTEGER) AS Quarter,
-         CAST(month({dt}) AS INTEGER) AS Month, CAST(weekofyear({dt}) AS INTEGER) AS WeekOfYear,
+         CAST(month({dt}) AS INTEGER) AS Month, CAST(day({dt}) AS INTEGER) AS Day, CAST(weekofyear({dt}) AS INTEGER) AS WeekOfYear,
          CAST(dayofweek({dt}) + 1 AS INTEGER) AS DayOfWeek, monthname({dt}) AS MonthName,
          dayname({dt}) AS DayName,
          CAST(CASE WHEN dayofweek({dt}) IN (0, 6) THEN 1 ELSE 0 END AS INTEGER) AS IsWeekend,

@@ -71,9 +71,10 @@ def dirty_panel(panel: DataFrame) -> DataFrame:
     repeated once."""
     wk = F.weekofyear("dt")
     y3 = F.year("dt") % 3
-    d0 = panel.select(
+    # one scan: a row to be repeated comes as two copies of itself
+    copies = F.when((F.col("entity") % 10 == 0) & (F.month("dt") == 6), 2).otherwise(1)
+    return panel.select(
         "entity",
-        "dt",
         F.when(y3 == 0, F.date_format("dt", "dd-MM-yyyy"))
         .when(y3 == 1, F.date_format("dt", "yyyy-MM-dd"))
         .otherwise(F.date_format("dt", "dd/MM/yyyy"))
@@ -84,9 +85,8 @@ def dirty_panel(panel: DataFrame) -> DataFrame:
         "cov_b",
         "cov_c",
         "cov_d",
-    )
-    dup = d0.where((F.col("entity") % 10 == 0) & (F.month("dt") == 6))
-    return d0.unionByName(dup).drop("dt")
+        F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
+    ).drop("_copy")
 
 
 def daily_orders(orders: DataFrame) -> DataFrame:

@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
 
@@ -20,23 +18,13 @@ WEEKLY_SALES = PanelSpec(
 )
 
 
-_SCHEMAS: dict[tuple[str, float], StructType] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table ``name`` under ``sf_dir``. The footer schema is read once
-    per path and modification time, so repeated reads skip Spark's schema
-    inference job."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """Parquet table ``name`` under ``sf_dir`` (a path or any URI Spark reads),
+    as its files are now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Column names, types and order of the raw file.
 def weekly_sales_schema(exact: bool = True) -> StructType:
     """The fixed 8-column raw layout of weekly store sales (all nullable).
 
