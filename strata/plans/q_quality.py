@@ -290,10 +290,11 @@ def impute_all_numeric(spark, sf):
 _ISO = "isod AS (SELECT *, CAST(CASE WHEN regexp_full_match(dt_raw, '\\d{4}-\\d{2}-\\d{2}') THEN try_strptime(dt_raw, '%Y-%m-%d') END AS DATE) AS dt FROM dirty)"
 
 
-@register("parse_dates_one_format", S.with_(S.PANEL, S.DIRTY, _ISO) + _sel({**_ident(), "dt": "dt"}, "isod"))
+@register("parse_dates_one_format", S.with_(S.PANEL, S.DIRTY, _ISO) + _sel({**_ident(), "dt": "CAST(dt AS VARCHAR)"}, "isod"))
 def parse_dates_one_format(spark, sf):
     """With a given pattern, text in any other is null."""
-    return rounded(CL.parse_dates(dirty(spark, sf), "dt_raw", out="dt", formats="yyyy-MM-dd", parts=False))
+    out = CL.parse_dates(dirty(spark, sf), "dt_raw", out="dt", formats="yyyy-MM-dd", parts=False)
+    return rounded(out.withColumn("dt", F.col("dt").cast("string")))
 
 
 @register("dedupe_exact", PD + _sel(_ident(), "(SELECT DISTINCT * FROM dirty)"))
