@@ -10,15 +10,13 @@ only one set has cannot be part of a shared key, so keys are formed only from
 the values that are shared.
 
 Equal sets are one class before any of this (a pre-aggregated group by a
-128-bit fingerprint). In each bucket the classes are first held against one
-centre; links are confirmed on full shingle sets, never on sketches. Where a
-bucket's classes then lie in several components, the rest is settled
-exactly: among the classes of such buckets, two that link must share one of
-their rarest shingles (a prefix filter), and rounds of centres within those
-groups go on until no unverified pair could join two components. Bounds from
-set sizes and from shingles that no other class has skip pairs that cannot
-link; nothing else is skipped, and no group is ever expanded into all its
-pairs or gathered in one place.
+128-bit fingerprint). Every bucket names one centre; the components of these
+stars are the groups within which classes can link. Links are confirmed on
+full shingle sets, never on sketches: a group's sets are dealt into blocks of
+about ``BLOCK_SHINGLES`` shingles, every pair of blocks meets in one task, and
+the task returns the links of a spanning forest, at most one less than it has
+classes. So no group is expanded into all its pairs, none is gathered in one
+place however large, and no link between components is lost.
 
 Texts that are null, empty or without words have an empty set and link with
 nothing. A null id counts as larger than any id."""
@@ -42,8 +40,8 @@ ROWS = 3
 MISS = 1e-5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Classes of a bucket that are held against the others in one round.
-CENTRES = 4
+#: Shingles of a block; two blocks at most meet in a task.
+BLOCK_SHINGLES = 250_000
 #: Stands for a null id.
 NO_ID = 2**63 - 1
 
@@ -120,15 +118,15 @@ def signatures(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFra
     return rows.mapInArrow(run, "id long, th long, n long, node binary, bands array<bigint>")
 
 
-def buckets(classes: DataFrame) -> DataFrame:
-    """``key`` and ``node`` of every table key that two or more classes share, and the bucket's ``centre``."""
+def stars(classes: DataFrame) -> DataFrame:
+    """Links ``u``, ``v`` from the classes that share a table key to the bucket's centre."""
     cells = classes.select("node", "id", F.posexplode("bands").alias("i", "c"))
     shared = cells.groupBy("i", "c").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
     held = cells.join(shared, ["i", "c"]).groupBy("node", "id").agg(F.sort_array(F.collect_list(F.struct("i", "c"))).alias("h"))  # as many as collections at most
     pairs = "flatten(transform(sequence(0, size(h) - 2), a -> transform(sequence(a + 1, size(h) - 1), b -> xxhash64(h[a].i, h[b].i, h[a].c, h[b].c))))"
     keys = held.filter("size(h) > 1").select("node", "id", F.explode(F.expr(pairs)).alias("key"))
     many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("id", "node")).alias("c")).filter("k > 1")
-    return keys.join(many, "key").select("key", "node", F.col("c.node").alias("centre"))
+    return keys.join(many, "key").filter("node <> c.node").select(F.col("node").alias("u"), F.col("c.node").alias("v")).distinct()
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -147,79 +145,81 @@ def full_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> Dat
     return rows.mapInArrow(run, "node binary, n long, set binary").dropDuplicates(["node"])
 
 
-def confirmed(edges: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The edges ``u``, ``v`` whose full sets are similar enough."""
-    a = sets.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("set").alias("su"))
-    b = sets.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("set").alias("sv"))
-    pairs = edges.join(a.select("u", "nu"), "u").join(b.select("v", "nv"), "v")
-    pairs = pairs.filter(f"100 * least(nu, nv) >= {percent} * greatest(nu, nv)").select("u", "v")
-    pairs = pairs.join(a.select("u", "su"), "u").join(b.select("v", "sv"), "v")
+def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between sets of different ``side`` (of any sides, if there is but
+    one) that join two components of such links; a spanning forest of them.
+
+    A set's partners are looked up by its rarest shingles only: of two sets
+    that link, each has more in common than it has left over, so some shingle
+    is among the rarest of both. The sizes in common are then counted whole."""
+    n = np.array([len(x) for x in sets], np.int64)
+    every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    runs = np.diff(np.append(first, len(every)))
+    # shared shingles only; each set's shingles from the rarest on
+    run = np.repeat(np.arange(len(runs)), runs)
+    held = runs[run] > 1
+    who, run = owner[held], run[held]
+    by = np.lexsort((run, runs[run], who))
+    who, run = who[by], run[by]
+    at = np.searchsorted(who, np.arange(len(sets) + 1))
+    shared = np.diff(at)
+    least = -(-percent * n // 100)
+    prefix = (n - least + 1) - (n - shared)  # shingles of one set alone come first in its order
+    root = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    def holders(runs_of: np.ndarray) -> np.ndarray:
+        size = runs[runs_of]
+        return owner[np.arange(int(size.sum())) + np.repeat(first[runs_of] - (np.cumsum(size) - size), size)]
+
+    mixed = len(set(side.tolist())) > 1
+    out = []
+    for i in range(len(sets)):
+        if prefix[i] <= 0:
+            continue
+        mine = run[at[i] : at[i + 1]]
+        near = np.unique(holders(mine[: prefix[i]]))
+        near = near[(near != i) & (100 * np.minimum(n[near], n[i]) >= percent * np.maximum(n[near], n[i]))]
+        if mixed:
+            near = near[side[near] != side[i]]
+        here = find(i)
+        near = np.array([j for j in near.tolist() if find(j) != here], np.int64)
+        if not len(near):
+            continue
+        both = np.bincount(holders(mine), minlength=len(sets))[near]
+        for j in near[100 * both >= percent * (n[near] + n[i] - both)].tolist():
+            a, b = find(i), find(j)
+            if a != b:
+                root[a] = b
+                out.append((i, j))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for su, sv in zip(batch.column("su"), batch.column("sv")):
-                x, y = (np.frombuffer(s.as_buffer(), U) for s in (su, sv))
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            got = batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-            if got.num_rows:
-                yield got
-
-    return pairs.select("u", "v", "su", "sv").mapInArrow(run, "u binary, v binary")
-
-
-def rare_prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``key`` (a shingle), ``node``, ``n`` and ``s`` (shingles that another
-    class has too): the rarest shingles of each class, of which two classes
-    that link share at least one."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, n, blob in zip(*(batch.column(c) for c in ("node", "n", "set"))):
-                x = np.frombuffer(blob.as_buffer(), np.int64)
-                for lo in range(0, len(x), 1 << 16):
-                    part = x[lo : lo + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(part), pa.binary()), pa.array([n.as_py()] * len(part), pa.int64()), pa.array(part)], names=["node", "n", "key"])
-
-    rows = sets.mapInArrow(run, "node binary, n long, key long")
-    common = rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    rows = rows.join(common, "key")  # shingles of one class alone match nothing; they come first in its order
-    one = Window.partitionBy("node")
-    rows = rows.withColumn("s", F.count(F.lit(1)).over(one)).withColumn("at", F.row_number().over(one.orderBy("df", "key")))
-    return rows.filter(f"at + (n - s) <= n - ((({percent}) * n + 99) div 100) + 1").select("key", "node", "n", "s")
-
-
-def settle(links: DataFrame, roots: DataFrame, sets: DataFrame, open_nodes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Rounds of centres among ``open_nodes`` until no pair that could link joins two components."""
-    groups = stored(rare_prefixes(sets.join(open_nodes, "node", "left_semi"), percent), "prefixes")
-    tried = None
-    while True:
-        now = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # no partner has fewer own shingles than the least (or, for the least itself, the next) in the group
-        low = now.groupBy("key").agg(F.min(F.col("n") - F.col("s")).alias("u1"), F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").drop("r1", "r2")
-        now = now.join(low, "key").filter(f"100 * s >= {percent} * (n + u1)")
-        still = now.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
-        now = stored(now.join(still, "key", "left_semi").drop("u1"), "open")
-        if now.isEmpty():
-            return links, roots
-        first = Window.partitionBy("key").orderBy(F.col("n") - F.col("s"), "node")
-        centres = now.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= CENTRES)
-        c = centres.select("key", *[F.col(x).alias(f"{x}_c") for x in ("node", "n", "s", "root")])
-        pairs = now.join(c, "key").filter("root <> root_c")
-        most = "least(s, s_c, n, n_c)"
-        pairs = pairs.filter(f"100 * {most} >= {percent} * (n + n_c - {most})")
-        edges = pairs.select(F.greatest("node", "node_c").alias("u"), F.least("node", "node_c").alias("v")).distinct()
-        if tried is not None:
-            edges = edges.join(tried, ["u", "v"], "left_anti")
-        edges = stored(edges, "edges")
-        tried = edges if tried is None else tried.unionByName(edges)
-        links = stored(links.unionByName(confirmed(edges, sets, percent)), "confirmed")
-        roots = components(links)
-        # a centre's pairs in its group are settled
-        groups = stored(now.drop("root").join(centres.select("key", "node"), ["key", "node"], "left_anti"), "prefixes")
+def confirmed(groups: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``u``, ``v`` that hold together each component of similar sets
+    within the groups (``node``, ``root``)."""
+    members = sets.select("node", "n").join(groups, "node")
+    blocks = members.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    members = members.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    meets = "transform(sequence(0, blocks - 1), o -> struct(least(o, b) AS lo, greatest(o, b) AS hi))"
+    placed = members.select("node", "root", "b", F.explode(F.expr(meets)).alias("m")).select("node", "root", "b", "m.lo", "m.hi")
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes, blobs = table.column("node").to_pylist(), table.column("set").to_pylist()
+        order = sorted(range(len(nodes)), key=nodes.__getitem__)  # the same forest however the rows arrive
+        found = forest([np.frombuffer(blobs[i], U) for i in order], np.asarray(table.column("b"))[order], percent) if nodes else []
+        return pa.table({k: pa.array([nodes[order[x[side]]] for x in found], pa.binary()) for side, k in enumerate("uv")})
+
+    rows = placed.join(sets.select("node", "set"), "node")
+    return rows.select("root", "lo", "hi", "b", "node", "set").groupBy("root", "lo", "hi").applyInArrow(run, "u binary, v binary")
 
 
 def linked(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
@@ -230,16 +230,9 @@ def linked(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent:
     rows = stored(signatures(docs, text, doc_id, percent), "signatures")
     classes = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "th")).alias("r"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = stored(classes.select("node", "r.id", "r.th", "n", "bands"), "classes")
-    members = stored(buckets(classes), "buckets")
-    sets = stored(full_sets(docs, classes.join(members.select("node").distinct(), "node", "left_semi"), text, doc_id), "sets")
-    edges = members.filter("node <> centre").select(F.greatest("node", "centre").alias("u"), F.least("node", "centre").alias("v")).distinct()
-    links = stored(confirmed(edges, sets, percent), "confirmed")
-    roots = components(links)
-    found = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = found.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
-    open_nodes = stored(members.join(mixed, "key", "left_semi").select("node").distinct(), "open")
-    if not open_nodes.isEmpty():
-        links, roots = settle(links, roots, sets, open_nodes, percent)
+    groups = stored(components(stars(classes)), "groups")
+    sets = stored(full_sets(docs, classes.join(groups, "node", "left_semi"), text, doc_id), "sets")
+    roots = components(confirmed(groups, sets, percent))
     named = classes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     named = named.join(least, "root").select("node", "root", "component")

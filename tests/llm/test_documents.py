@@ -304,28 +304,41 @@ def near_rows(seed):
     return [(i, t, "s") for i, t in enumerate(out)]
 
 
-@pytest.mark.parametrize("percent", [80, 85])
-def test_near_duplicates_equal_brute_force(spark, percent):
+@pytest.mark.parametrize("percent, block", [(80, 10**6), (85, 1500)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, percent, block):
+    """Also where groups take several blocks."""
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", block)
     rows = near_rows(percent)
     got = neardup.near_duplicates(docs_of(spark, rows), percent=percent).collect()
     assert Counter(map(tuple, got)) == brute_near(rows, percent)
 
 
-def test_rounds_settle_what_one_centre_leaves(spark):
-    """Classes given as one group without any link confirmed yet end as brute force has them."""
-    rows = near_rows(3)
-    docs = docs_of(spark, rows)
-    ids = neardup.signatures(docs, "text", "doc_id", 85).filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("th").alias("th"))
-    sets = neardup.full_sets(docs, docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th")), "text", "doc_id").cache()
-    none = ids.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
-    _, roots = neardup.settle(none, ids.select("node", F.col("node").alias("root")).limit(0), sets, ids.select("node"), 85)
-    named = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).collect()
-    got = Counter(Counter(bytes(r.root) for r in named).values())
-    distinct = {}
-    for i, t, s in rows:
-        distinct.setdefault(frozenset(shingles(t)), (i, t, s))
-    want = Counter(Counter(k[2] for k in brute_near(list(distinct.values()), 85).elements()).values())
-    assert got == want
+@pytest.mark.parametrize("sides", [1, 2])
+def test_forest_joins_what_links(sides):
+    rng = random.Random(sides)
+    for seed in range(5):
+        sets = list({frozenset(shingles(t)) for _, t, _ in near_rows(seed)})
+        codes = {x: i for i, x in enumerate(sorted(set().union(*sets)))}
+        side = np.array([rng.randrange(sides) for _ in sets])
+        found = neardup.forest([np.array(sorted(codes[x] for x in s), np.uint64) for s in sets], side, 85)
+        label, want = list(range(len(sets))), list(range(len(sets)))
+
+        def merge(labels, i, j):
+            a, b = labels[i], labels[j]
+            for k, x in enumerate(labels):
+                if x == a:
+                    labels[k] = b
+
+        for i, j in found:
+            assert label[i] != label[j]
+            merge(label, i, j)
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if (sides == 1 or side[i] != side[j]) and 100 * both >= 85 * len(sets[i] | sets[j]):
+                    merge(want, i, j)
+        part = lambda x: {frozenset(i for i, y in enumerate(x) if y == v) for v in set(x)}
+        assert part(label) == part(want)
 
 
 def test_near_duplicates_of_odd_rows(messy, empty):
@@ -419,13 +432,13 @@ def taught_rows(spark):
 
 def test_toxicity_scores(spark, messy, empty):
     docs, labels, marks = taught_rows(spark)
-    index = toxicity.train(docs, labels.filter("doc_id % 4 <> 3 OR doc_id IS NULL"), terms=300, per_class=200)
+    index = toxicity.train(docs, labels.filter("doc_id % 4 <> 3 OR doc_id IS NULL"), terms=300, per_class=(200, 200))
     rows = toxicity.score_toxicity(docs, index).collect()
     held = [r for r in rows if r.doc_id % 3 == 0]
     assert np.mean([(r.score >= 0.3) == bool(marks[r.doc_id][2]) for r in held]) > 0.9
     odd = toxicity.score_toxicity(messy, index).collect()
     assert len(odd) == len(MESSY) and all(0 <= r.score <= 1 for r in odd)
-    assert {r.score for r in odd if not words(r.text)} == {pytest.approx(index.rate)} or len({r.score for r in odd if not words(r.text)}) == 1
+    assert [r.score for r in odd if not words(r.text)] == pytest.approx([index.rate] * 4)
     assert toxicity.score_toxicity(empty, index).count() == 0
     nothing = toxicity.train(empty, labels)
     assert {r.score for r in toxicity.score_toxicity(messy, nothing).collect()} == {0.5}
