@@ -122,3 +122,17 @@ def panel_coverage(df: DataFrame, spec: PanelSpec = DEFAULT, approx_entities: bo
         ratio_pct(on, n).alias("Flag_Pct"),
         ratio_pct(off, n).alias("Non_Flag_Pct"),
     )
+
+
+def preview(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    order: Sequence[str] = (),
+    not_null: Sequence[str] = (),
+    n: int = 20,
+) -> DataFrame:
+    """The first ``n`` rows: chosen columns, rows where ``not_null`` have
+    values, in ``order`` (without an order, any ``n`` rows)."""
+    out = df.dropna(subset=list(not_null)) if not_null else df
+    out = out.orderBy(*order) if order else out
+    return out.select(*(columns or df.columns)).limit(n)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.quality import preview
 from ..session import shared_dir
 from ..sources import load_csv, save
 from ..sources.tables import load_weekly_sales
@@ -88,5 +89,4 @@ def weekly_sales_load(spark, sf):
 )
 def sample_rows(spark, sf):
     """A deterministic preview: chosen columns, non-null measure, ordered, first 20."""
-    p = panel(spark, sf)
-    return publish(p.select("entity", "dt", "value").where(F.col("value").isNotNull()).orderBy("entity", "dt").limit(20))
+    return publish(preview(panel(spark, sf), ["entity", "dt", "value"], order=["entity", "dt"], not_null=["value"], n=20))
