@@ -21,7 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     if d:
         return d
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if master.startswith("local-cluster") or not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     d = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("STRATA_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)

@@ -225,3 +225,105 @@ def test_hot_value_third_of_rows(spark):
     want_r = df.select("id", F.rank().over(Window.orderBy(F.col("x").desc())).alias("w"))
     bad = ranked.join(want_r, "id").where("r != w").count()
     assert bad == 0
+
+
+# --- odd values ------------------------------------------------------------------
+
+
+def _double_panel(spark, rows):
+    return spark.createDataFrame(rows, "entity long, dt date, value double, flag int, cov_a double, cov_b double, cov_c double, cov_d double")
+
+
+def test_quantiles_at_every_small_size(spark):
+    import numpy as np
+
+    from strata.functions.ranking import exact_quantiles
+
+    probs = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+    for n in (1, 2, 3, 4, 5, 7, 16, 101):
+        v = [float((i * 37) % 23) for i in range(n)]
+        got = exact_quantiles(spark.createDataFrame([(x,) for x in v], "v double"), "v", probs).first()
+        assert list(got) == pytest.approx(list(np.quantile(v, probs)))
+
+
+def test_quantiles_beyond_the_default_accuracy(spark):
+    from strata.functions.ranking import quantile_targets
+
+    df = spark.range(60_000).selectExpr("CAST(id * 7919 % 60000 AS DOUBLE) AS a", "CASE WHEN id % 3 = 0 THEN 5.0D ELSE id * 0.5D END AS b", "IF(id = 7, double('inf'), 1.0D) AS c")
+    got = quantile_targets(df, [(c, p, f"{c}{p}") for c in "abc" for p in (0.01, 0.5, 0.99, 1.0)]).first()
+    want = df.selectExpr(*[f"percentile({c}, {p}D)" for c in "abc" for p in (0.01, 0.5, 0.99, 1.0)]).first()
+    assert list(got) == pytest.approx(list(want))
+
+
+def test_correlation_uses_complete_pairs(spark):
+    from strata.functions.numeric import safe_corr
+
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, 3.0), (None, 1000.0), (500.0, None)], "x double, y double")
+    assert df.agg(safe_corr(F.col("x"), F.col("y"))).first()[0] == pytest.approx(1.0)
+
+
+def test_rolling_doubles_do_not_cancel(spark):
+    import datetime as dt
+
+    from strata.operators.features import rolling_metrics, split_window_features
+    from strata.spec import PanelSpec
+
+    spec = PanelSpec(value_scale=None)
+    v = [1e17, 1.0, 1.0, float("inf"), 1.0, 1.0, None, float("nan"), 2.0]
+    df = _double_panel(spark, [(1, dt.date(2020, 1, 6) + dt.timedelta(weeks=i), x, 0, 0.0, 0.0, 0.0, 0.0) for i, x in enumerate(v)])
+    want = [1e17, 1e17 + 1, 2.0, float("inf"), float("inf"), 2.0, 1.0, None, 2.0]
+    for out in (rolling_metrics(df, spec, (2,)), split_window_features(df, spec, (2,), (1,), F.month("dt"))):
+        assert [r["Rolling_Sum_2W"] for r in out.orderBy("dt").collect()] == want
+
+
+def test_split_plan_keeps_null_entities_and_times(spark):
+    import datetime as dt
+
+    from strata.operators.series import moving_averages
+    from strata.spec import PanelSpec
+
+    days = [dt.date(2020, 1, 6), dt.date(2020, 1, 13), dt.date(2021, 1, 4), None]
+    rows = [(e, d, float(i), 0, 0.0, 0.0, 0.0, 0.0) for i, (e, d) in enumerate((e, d) for e in (1, None) for d in days)]
+    df = _double_panel(spark, rows)
+    for spec in (PanelSpec(), PanelSpec(value_scale=None)):
+        plain = sorted(map(str, moving_averages(df, spec, (2,)).collect()))
+        assert len(plain) == 8 and plain == sorted(map(str, moving_averages(df, spec, (2,), split_block=F.year("dt")).collect()))
+
+
+def test_a_measure_out_of_range_fails_and_nan_is_missing(spark):
+    import datetime as dt
+
+    from strata.operators.clean import cap_outliers, detect_outliers, impute
+    from strata.operators.rollup import grand_summary
+    from strata.sources.panel import weekly_panel
+
+    day = dt.date(2020, 1, 6)
+    with pytest.raises(Exception, match="OUT_OF_RANGE|OVERFLOW"):
+        grand_summary(_double_panel(spark, [(1, day, 5e16, 0, 0.0, 0.0, 0.0, 0.0), (2, day, 1.0, 0, 0.0, 0.0, 0.0, 0.0)])).collect()
+    nan = _double_panel(spark, [(i, day, float("nan") if i == 0 else float(i), 0, 0.0, 0.0, 0.0, 0.0) for i in range(9)])
+    assert grand_summary(nan).first()["total_sales"] == 36.0
+    assert cap_outliers(nan, "value").where("entity = 0").first()["value"] is None
+    assert {r["value_outlier"] for m in ("iqr", "zscore") for r in detect_outliers(nan, "value", m).collect()} == {0}
+    assert impute(nan.withColumn("entity", F.when(F.col("entity") > 1, F.col("entity"))), "mean").where("entity IS NULL").count() == 2
+    items = spark.createDataFrame([(1, day, float("nan"), 1.0, 0.1, 0.1), (1, day, 2.5, 1.0, 0.1, 0.1)], "l_suppkey long, l_shipdate date, l_extendedprice double, l_quantity double, l_discount double, l_tax double")
+    assert float(weekly_panel(items).first()["value"]) == 2.5
+
+
+def test_queries_see_files_added_later(spark, tmp_path):
+    from strata.plans.registry import panel
+
+    from .conftest import SF_SMALL
+
+    items = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    half = f"file:{tmp_path}/lineitem.parquet"
+    items.where("l_orderkey % 2 = 0").write.parquet(half)
+    first = panel(spark, f"file:{tmp_path}").count()
+    items.where("l_orderkey % 2 = 1").write.mode("append").parquet(half)
+    assert first < panel(spark, f"file:{tmp_path}").count() == panel(spark, SF_SMALL).count()
+
+
+def test_ambiguous_and_month_first_dates(spark):
+    from strata.functions.dates import parse_date
+
+    df = spark.createDataFrame([("12-25-2010",), ("05-02-2010",), ("13/02/2010",)], "d string")
+    assert [str(r[0]) for r in df.select(parse_date("d")).collect()] == ["2010-12-25", "2010-02-05", "2010-02-13"]

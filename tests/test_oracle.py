@@ -5,9 +5,11 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from strata.plans import ORACLE, QUERIES
 
 from .conftest import SF_SMALL
 
@@ -25,7 +27,7 @@ def con():
 
 
 def _norm(v):
-    if isinstance(v, float) and math.isnan(v):
+    if v is pd.NaT or isinstance(v, float) and math.isnan(v):
         return None
     if hasattr(v, "isoformat"):
         return str(v)[:10]
@@ -39,17 +41,18 @@ def _rows(df):
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 77
+    assert set(QUERIES) == set(ORACLE)
+    assert len(QUERIES) >= 96
+    assert set(E.queries()) >= set(QUERIES) and set(E.oracle_sql()) >= set(ORACLE)
 
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    sdf = E.queries()[key](spark, SF_SMALL)
-    rel = con.sql(E.oracle_sql()[key])
+    sdf = QUERIES[key](spark, SF_SMALL)
+    rel = con.sql(ORACLE[key])
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {c: TYPES.get(t, t) for c, t in sdf.dtypes} == duck_types
     sp = sdf.toPandas()

@@ -97,7 +97,7 @@ def test_filter_reaches_scan(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert len(df.columns) == 34
+    assert len(df.columns) == 35
 
 
 def test_split_window_features_equal_default(spark, inputs):
@@ -179,3 +179,11 @@ def test_dashboards_are_lazy_and_run(spark, inputs):
     assert set(charts) == {"series", "top_entities", "bottom_entities", "seasons", "months", "flag_impact", "histogram", "box", "correlation", "years"}
     for df in [*kpis.values(), *charts.values()]:
         assert df.count() > 0
+
+
+@pytest.mark.parametrize("key, scans", [("impute_median", 3), ("impute_mode", 3), ("label_counts", 3), ("clean_panel", 6)])
+def test_columns_share_their_passes(spark, key, scans):
+    from strata.plans import QUERIES
+
+    plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= scans
