@@ -120,7 +120,12 @@ def rolling_columns(
     return out
 
 
-def rolling_metrics(df: DataFrame, spec: PanelSpec = DEFAULT, windows: Sequence[int] = (4, 12, 26)) -> DataFrame:
+def rolling_metrics(
+    df: DataFrame, spec: PanelSpec = DEFAULT, windows: Sequence[int] = (4, 12, 26), split_block: Column | None = None
+) -> DataFrame:
+    """Trailing averages and sums; ``split_block`` as in ``feature_set``."""
+    if split_block is not None:
+        return split_window_features(df, spec, windows, (), split_block)
     return df.withColumns(rolling_columns(spec, windows))
 
 
@@ -129,27 +134,39 @@ def lag_columns(spec: PanelSpec, lags: Sequence[int] = (1, 4, 52), name: str = "
     return {name.format(k=k): F.lag(spec.value, k).over(w) for k in lags}
 
 
-def lag_features(df: DataFrame, spec: PanelSpec = DEFAULT, lags: Sequence[int] = (1, 4, 52)) -> DataFrame:
-    """Value k rows back within the entity (row lag, not calendar lag)."""
+def lag_features(
+    df: DataFrame, spec: PanelSpec = DEFAULT, lags: Sequence[int] = (1, 4, 52), split_block: Column | None = None
+) -> DataFrame:
+    """Value k rows back within the entity (row lag, not calendar lag);
+    ``split_block`` as in ``feature_set``."""
+    if split_block is not None:
+        return split_window_features(df, spec, (), lags, split_block)
     return df.withColumns(lag_columns(spec, lags))
 
 
-def growth_columns(spec: PanelSpec, period: int = 1, year_period: int = 52) -> dict[str, Column]:
-    w = entity_window(spec)
+def _growth(spec: PanelSpec, prev: Column, prev_year: Column) -> dict[str, Column]:
     v = F.col(spec.value)
-    prev = F.lag(spec.value, period).over(w)
-    prev_y = F.lag(spec.value, year_period).over(w)
     return {
         "Sales_Prev_Week": prev,
         "WoW_Growth_Pct": growth_pct(v, prev),
-        "Sales_Prev_Year": prev_y,
-        "YoY_Growth_Pct": growth_pct(v, prev_y),
+        "Sales_Prev_Year": prev_year,
+        "YoY_Growth_Pct": growth_pct(v, prev_year),
     }
 
 
-def growth_rates(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
+def growth_columns(spec: PanelSpec, period: int = 1, year_period: int = 52) -> dict[str, Column]:
+    w = entity_window(spec)
+    return _growth(spec, F.lag(spec.value, period).over(w), F.lag(spec.value, year_period).over(w))
+
+
+def growth_rates(df: DataFrame, spec: PanelSpec = DEFAULT, split_block: Column | None = None) -> DataFrame:
     """Week-over-week and 52-row year-over-year growth in percent; null when
-    the earlier value is 0 or missing (never an ANSI divide error)."""
+    the earlier value is 0 or missing (never an ANSI divide error).
+    ``split_block`` as in ``feature_set``."""
+    if split_block is not None:
+        t = split_window_features(df, spec, (), (1, 52), split_block)
+        cols = _growth(spec, F.col("Sales_Lag_1W"), F.col("Sales_Lag_52W"))
+        return t.withColumns(cols).select(*df.columns, *cols)
     return df.withColumns(growth_columns(spec))
 
 
@@ -215,15 +232,7 @@ def feature_set(
     else:
         need = sorted(set(lags) | {1, 52})
         feats = split_window_features(df, spec, windows, need, split_block)
-        v = F.col(spec.value)
-        feats = feats.withColumns(cols).withColumns(
-            {
-                "Sales_Prev_Week": F.col("Sales_Lag_1W"),
-                "WoW_Growth_Pct": growth_pct(v, F.col("Sales_Lag_1W")),
-                "Sales_Prev_Year": F.col("Sales_Lag_52W"),
-                "YoY_Growth_Pct": growth_pct(v, F.col("Sales_Lag_52W")),
-            }
-        )
+        feats = feats.withColumns(cols).withColumns(_growth(spec, F.col("Sales_Lag_1W"), F.col("Sales_Lag_52W")))
         names = list(cols)
         names += [n for k in windows for n in (f"Rolling_Avg_{k}W", f"Rolling_Sum_{k}W")]
         names += [f"Sales_Lag_{k}W" for k in lags]

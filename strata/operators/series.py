@@ -54,12 +54,14 @@ def moving_averages(
     return t.select(*df.columns, *[F.col(f"Rolling_Avg_{k}W").alias(f"MA_{k}W") for k in windows])
 
 
-def trend_signal(df: DataFrame, spec: PanelSpec = DEFAULT, short: int = 4, long: int = 12) -> DataFrame:
+def trend_signal(
+    df: DataFrame, spec: PanelSpec = DEFAULT, short: int = 4, long: int = 12, split_block: Column | None = None
+) -> DataFrame:
     """Uptrend when MA_short > MA_long, Downtrend when below, else Neutral
     (including missing averages). Missing MA columns are added (D14)."""
     need = [k for k in (short, long) if f"MA_{k}W" not in df.columns]
     if need:
-        df = moving_averages(df, spec, need)
+        df = moving_averages(df, spec, need, split_block)
     s, lo = F.col(f"MA_{short}W"), F.col(f"MA_{long}W")
     up, down, flat = TREND_LABELS
     return df.withColumn("Trend_Signal", F.when(s > lo, up).when(s < lo, down).otherwise(flat))

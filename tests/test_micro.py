@@ -327,3 +327,16 @@ def test_ambiguous_and_month_first_dates(spark):
 
     df = spark.createDataFrame([("12-25-2010",), ("05-02-2010",), ("13/02/2010",)], "d string")
     assert [str(r[0]) for r in df.select(parse_date("d")).collect()] == ["2010-12-25", "2010-02-05", "2010-02-13"]
+
+
+def test_split_plans_of_single_operators(spark):
+    from strata.operators.series import trend_signal
+    from strata.plans.registry import panel
+
+    from .conftest import SF_SMALL
+
+    p, block = panel(spark, SF_SMALL).where("entity <= 3"), F.year("dt")
+    for run in (FE.rolling_metrics, FE.lag_features, FE.growth_rates, trend_signal):
+        plain, split = run(p), run(p, split_block=block)
+        assert plain.columns == split.columns
+        assert plain.exceptAll(split).count() == 0 and plain.count() == split.count()
