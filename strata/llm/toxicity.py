@@ -1,11 +1,11 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-The classifier is fitted on a bounded sample of labelled rows: ``sample`` of
-each class, the first by a hash of the id. Terms are bare lower-cased words;
-from their document counts by class in the sample, scaled to the classes'
-shares of all labelled rows, the ``terms`` with the largest chi-square against
-the label are the vocabulary. The first ``per_class`` rows of each class are
-the examples, kept as an inverted index over blocks of examples with the largest weight of
+Terms are bare lower-cased words. Their document counts by class are taken
+over every labelled row that may be learned from; the ``terms`` with the
+largest chi-square against the label are the vocabulary. Their IDF is over all
+documents, labelled or not. Only the examples are a bounded sample: the first
+``per_class`` rows of each class by a hash of the id, kept as an inverted
+index over blocks of examples with the largest weight of
 each term in each block. For a text, the blocks are bounded by the sum of its
 term weights times those maxima, the best blocks are scored through their
 postings, and then every other block whose bound reaches the k-th best
@@ -33,9 +33,8 @@ from .tokens import PUNCTUATION, pieces, utf8, word_hashes
 
 TERMS = 2048
 LEAST_DOCS = 3
-SAMPLE = 8000
 #: Examples of label 0 and of label 1.
-PER_CLASS = (6000, 1500)
+PER_CLASS = (6000, 3000)
 NEIGHBOURS = 15
 BLOCK = 64
 FIRST_BLOCKS = 4
@@ -142,6 +141,28 @@ def vote(index: Index, places: np.ndarray, cosine: np.ndarray) -> float:
     return float((np.sum(w * index.labels[places]) + total * index.rate) / (np.sum(w) + total))
 
 
+def inverse_frequencies(docs: DataFrame, text: str, terms: np.ndarray) -> np.ndarray:
+    """IDF of ``terms`` (hashes, ascending) over all ``docs``. A task adds up
+    its own counts, so that only one row of each task and term is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        total = np.zeros(len(known) + 1, np.int64)  # the last one counts documents
+        for b in batches:
+            term, _, at = term_vectors(known, np.ones(len(known)), *utf8(b.column("t")))
+            total[:-1] += np.bincount(term, minlength=len(known))
+            total[-1] += len(at) - 1
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(held), "n": pa.array(total[held])})
+
+    found = docs.select(F.col(text).alias("t")).mapInArrow(counts, "term long, n long").groupBy("term").agg(F.sum("n")).collect()
+    n = np.zeros(len(terms) + 1)
+    for r in found:
+        n[r[0]] = r[1]
+    return np.log((1 + n[-1]) / (1 + n[:-1])) + 1
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -149,7 +170,6 @@ def train(
     label: str = "toxic",
     key: str = "doc_id",
     terms: int = TERMS,
-    sample: int = SAMPLE,
     per_class: tuple[int, int] = PER_CLASS,
 ) -> Index:
     """The index of documents that ``labels`` (``key``, ``label``) marks 0 or
@@ -159,10 +179,10 @@ def train(
     bound_batches(docs.sparkSession)
     marks = labels.select(F.col(key).alias("__k"), F.col(label).cast("int").alias("__y")).filter("__y IN (0, 1) AND __k IS NOT NULL")
     marks = marks.groupBy("__k").agg(F.max("__y").alias("__y"))
-    total = {r[0]: r[1] for r in marks.groupBy("__y").count().collect()}
-    few = [marks.filter(F.col("__y") == y).orderBy(F.xxhash64("__k"), "__k").limit(sample) for y in (0, 1)]
-    few = few[0].unionByName(few[1])  # 2 x sample rows, so they are broadcast
-    shown = docs.select(F.col(key).alias("__d"), F.col(text).alias("t")).join(F.broadcast(few), F.col("__d") == F.col("__k"))
+    # sorted and merged at every size: what is shuffled follows the input
+    shown = docs.select(F.col(key).alias("__d"), F.col(text).alias("t")).join(marks.hint("merge"), F.col("__d") == F.col("__k"))
+    known = shown.groupBy("__k", "__y").agg(F.count("*").alias("__n"))  # labelled documents
+    total = {r[0]: r[1] for r in known.groupBy("__y").agg(F.sum("__n")).collect()}
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -178,36 +198,33 @@ def train(
             term, start = np.unique(w, return_index=True)
             if len(term):
                 n, n1 = np.diff(np.append(start, len(w))), np.add.reduceat(y[row].astype(np.int64), start)
-                yield pa.RecordBatch.from_pydict({"term": pa.array(term.view(np.int64)), "n0": pa.array(n - n1), "n1": pa.array(n1)})
+                yield pa.RecordBatch.from_pydict({"term": pa.array(term.view(np.int64)), "n": pa.array(n.astype(np.int64)), "n1": pa.array(n1)})
 
-    seen = {r[0]: r[1] for r in shown.groupBy("__y").count().collect()}
+    n, n1 = sum(total.values()), total.get(1, 0)
     none = np.zeros(0)
-    rate = total.get(1, 0) / sum(total.values()) if total else 0.5
-    if len(seen) < 2:
-        rate = float(next(iter(seen), 0.5))
+    rate = n1 / n if n else 0.5
+    if len(total) < 2:
         return build(none.astype(np.uint64), none, none.astype(np.int64), none, np.zeros(1, np.int64), none.astype(np.int64), none, none, rate)
-    df = shown.select("t", "__y").mapInArrow(counts, "term long, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    # chi-square of the 2 x 2 table of term and label, as shares of the two classes
-    a, b = f"(n1 / {seen[1]}D)", f"(n0 / {seen[0]}D)"
-    p = f"({rate}D * {a} + {1 - rate}D * {b})"
-    chi = f"pow({a} - {b}, 2) / ({p} * (1 - {p}))"
-    picked = df.filter(f"n0 + n1 >= {LEAST_DOCS} AND {p} < 1").orderBy(F.expr(chi).desc(), "term").limit(terms).collect()
-    picked.sort(key=lambda r: r["term"] % 2**64)
-    hashes = np.array([r["term"] for r in picked], np.int64).view(np.uint64)
-    share = np.array([rate * r["n1"] / seen[1] + (1 - rate) * r["n0"] / seen[0] for r in picked], np.float64)
-    idf = 1 - np.log(np.maximum(share, 1e-9))
+    df = shown.select("t", "__y").mapInArrow(counts, "term long, n long, n1 long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
+    # chi-square of the 2 x 2 table of term and label
+    chi = f"{n}D * pow(n1 * ({n}D - n - {n1} + n1) - (n - n1) * ({n1}D - n1), 2) / (n * ({n}D - n) * {n1}D * {n - n1}D)"
+    picked = df.filter(f"n >= {LEAST_DOCS} AND n < {n}").orderBy(F.expr(chi).desc(), "term").limit(terms).select("term").collect()
+    hashes = np.sort(np.array([r["term"] for r in picked], np.int64).view(np.uint64))
+    idf = inverse_frequencies(docs, text, hashes)
     shared = docs.sparkSession.sparkContext.broadcast((hashes, idf))  # ``terms`` numbers
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             term, weight, at = term_vectors(*shared.value, *utf8(b.column("t")))
             lists = [pa.LargeListArray.from_arrays(at, pa.array(x)).cast(pa.list_(k)) for x, k in ((term, pa.int64()), (weight, pa.float64()))]
-            yield pa.RecordBatch.from_arrays([b.column("__d"), *lists, b.column("__y")], names=["id", "term", "weight", "y"])
+            yield pa.RecordBatch.from_arrays([b.column("__d"), *lists], names=["id", "term", "weight"])
 
-    made = shown.select("__d", "t", "__y").mapInArrow(vectors, f"id {dict(docs.dtypes)[key]}, term array<bigint>, weight array<double>, y int")
     rows = []
     for y in (0, 1):
-        got = made.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id", F.hash("weight")).limit(per_class[y]).collect()
+        few = known.filter(F.col("__y") == y).select("__k", "__y").orderBy(F.xxhash64("__k"), "__k").limit(per_class[y])  # so few rows are broadcast
+        there = docs.select(F.col(key).alias("__d"), F.col(text).alias("t")).join(F.broadcast(few), F.col("__d") == F.col("__k")).select("__d", "t")
+        got = there.mapInArrow(vectors, f"id {dict(docs.dtypes)[key]}, term array<bigint>, weight array<double>")
+        got = got.orderBy(F.xxhash64("id"), "id", F.hash("weight")).limit(per_class[y]).collect()
         rows += [(r["id"], r["term"], r["weight"], y, total[y] / len(got)) for r in got]
     at = np.concatenate([[0], np.cumsum([len(r[1]) for r in rows])]).astype(np.int64)
     return build(

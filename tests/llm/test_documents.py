@@ -497,3 +497,17 @@ def test_network_reads_the_whole_text():
 
 def test_sha_of_no_spans():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_toxicity_counts_every_row(spark):
+    n = 9000  # more labelled rows than any sample of a class
+    rows = [(i, f"all w{i % 50}" + (" seldom" if i % 1000 == 7 else "") + (" vile" if i % 3 == 0 else ""), "s") for i in range(n)]
+    rows += [(n + i, "all seldom", "s") for i in range(1000)]  # without a label
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(n)] + [(99_999, 1)], "doc_id long, toxic int")
+    index = toxicity.train(docs_of(spark, rows), labels, per_class=(300, 100))
+    assert index.rate == pytest.approx(1 / 3) and sum(index.stands_for) == pytest.approx(n)
+    assert Counter(index.labels.tolist()) == {0: 300, 1: 100}
+    found = dict(zip(index.terms.tolist(), index.idf.tolist()))
+    for word in ("vile", "seldom", "w7"):
+        h = int(tokens.word_hashes(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word)]), tokens.PUNCTUATION)[0][0])
+        assert found[h] == pytest.approx(np.log((1 + len(rows)) / (1 + sum(word in r[1].split() for r in rows))) + 1)
