@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from .common import bound_batches
 from .tokens import PUNCTUATION, pieces, utf8, word_hashes
 
+#: The README has the recall against vectors of all words.
 TERMS = 2048
 LEAST_DOCS = 3
 #: Examples of label 0 and of label 1.
