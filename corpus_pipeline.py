@@ -44,8 +44,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture to the target weights: a row for each document and pass, the
-    last document of a source cut to meet its target."""
-    return _sized(mix.mix(docs, out=("__shard", "__key"))).select(*docs.columns)
+    last document of a source cut to meet its target. Rows lie shard after
+    shard, each shard shuffled."""
+    return _sized(mix.by_shard(mix.mix(docs, out=("__shard", "__key")), "__shard", "__key")).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -111,7 +111,7 @@ def assign_mix(
         start = F.col("__before") + F.col("__in") + F.lit(p) * F.col("source_size")
         got = F.greatest(F.lit(0), F.least(F.col("size"), F.col("__take") - start)).cast("long")
         at = F.floor(start / F.lit(block))
-        where = F.size(F.filter("__ends", lambda e, at=at: e <= at)).cast("int")
+        where = F.size(F.filter("__ends", lambda e: e <= at)).cast("int")  # a second parameter would be the index
         rows = rows.withColumns({f"take_{p + 1}": got, f"shard_{p + 1}": F.when(got > 0, where)})
     return rows.drop("__h", "__b", "__s", "__n", "__before", "__p", "__take", "__ends", "__in", "__bb")
 
@@ -131,9 +131,15 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     return rows.select(*columns, F.col("__t.shard").alias(out[0]), F.xxhash64(F.lit(seed), F.col(doc_id), F.col("__t.p")).alias(out[1]))
 
 
+def by_shard(mixed: DataFrame, shard: str = "shard", shuffle_key: str = "shuffle_key") -> DataFrame:
+    """A mixture dealt by shard, in each partition shard after shard and each
+    shard shuffled; a shard too large for one partition is split over several."""
+    return mixed.hint("rebalance", shard).sortWithinPartitions(shard, shuffle_key)
+
+
 def write_mix(mixed: DataFrame, path: str) -> None:
     """Write a mixture in folders ``shard=0`` ..., each file shuffled by itself."""
-    (mixed.hint("rebalance", "shard").sortWithinPartitions("shard", "shuffle_key").write.partitionBy("shard").parquet(path))
+    by_shard(mixed).write.partitionBy("shard").parquet(path)
 
 
 #: DuckDB SQL for the taken words of every document.

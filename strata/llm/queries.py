@@ -42,6 +42,14 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     return mix.assign_mix(docs).select("doc_id", "size", "source_size", "target", taken)
 
 
+@register("op9_source_mix_shards")
+def op9_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the tree puts what ``op9_source_mix`` takes: the words and the
+    shard of each pass. The draws have no SQL, so it is a query of its own."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return mix.assign_mix(docs).select("doc_id", "source", "size", "take_1", "shard_1", "take_2", "shard_2")
+
+
 @register("op5_block_topk", topk.ORACLE_SQL)
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)

@@ -1,13 +1,16 @@
 """Registered queries: SQL where there is some, contracts, and the pipeline stage by stage."""
 
-from collections import Counter
+import hashlib
+from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
-from strata.llm import neardup, quality, secrets
+from strata.llm import mix, neardup, quality, secrets
 from strata.llm.common import fold
 from strata.llm.queries import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
@@ -123,3 +126,47 @@ def test_pipeline_on_odd_and_empty_rows(spark, messy, empty):
 def test_near_dedup_keeps_unrelated_texts(spark):
     docs = spark.createDataFrame([(i, f"alone {i} " + " ".join(f"w{i}x{j}" for j in range(30))) for i in range(20)], "doc_id long, text string")
     assert neardup.deduplicated(docs).count() == 20
+
+
+def test_mix_shards_follow_the_tree(spark):
+    rows = QUERIES["op9_source_mix_shards"](spark, SF_SMALL).collect()
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in rows) == Counter((r.doc_id, r.source, len(words(r.text))) for r in docs)
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r.source].append(r)
+    names = sorted(by_source, key=lambda s: (s is None, s or ""))
+    sizes = [sum(r.size for r in by_source[s]) for s in names]
+    take = [int(t + 0.5) for t in mix.targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(names))], 1.5, 2.0)]
+    block = max(1, -(-sum(take) // mix.BLOCKS))
+    quota = np.array(mix.split_tree([-(-t // block) for t in take], 64, 17))
+    for i, s in enumerate(names):
+        order = sorted(by_source[s], key=lambda r: (hashlib.md5(str(r.doc_id).encode()).hexdigest(), r.doc_id, r.size))
+        ends, at, got = np.cumsum(quota[:, i]), 0, np.zeros(64)
+        for p in (1, 2):
+            for r in order:
+                n = max(0, min(r.size, take[i] - at))
+                shard = int(np.sum(ends <= at // block)) if n else None
+                assert (r[f"take_{p}"], r[f"shard_{p}"]) == (n, shard)
+                if n:
+                    got[shard] += n
+                at += r.size
+        # a document goes whole to the shard of its first block
+        assert np.all(np.abs(got - quota[:, i] * block) <= 2 * max(r.size for r in order) + block)
+    assert len({x for r in rows for x in (r.shard_1, r.shard_2) if x is not None}) > 32
+
+
+def test_mix_stage_lies_by_shard_and_shuffled(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    P.source_mixing(spark, docs, SF_SMALL).write.parquet(str(tmp_path / "mixed"))
+    places = defaultdict(set)
+    for r in mix.mix(docs).collect():
+        places[r.doc_id, r.text].add((r.shard, r.shuffle_key))
+    n = 0
+    for file in (tmp_path / "mixed").glob("*.parquet"):
+        last = (-1, 0)
+        for r in pq.read_table(file, columns=["doc_id", "text"]).to_pylist():
+            later = [x for x in places[r["doc_id"], r["text"]] if x > last]
+            assert later
+            last, n = min(later), n + 1
+    assert n == sum(map(len, places.values()))
