@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, kneser_ney, mix, neardup, pack, quality, secrets, shard, topk, toxicity
+from . import ann, kneser_ney, mix, naming, neardup, pack, quality, runs, secrets, shard, topk, toxicity
 from .common import bound_batches, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,17 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     scored = kneser_ney.perplexities(docs, fold("doc_id", 10) != 0)
     held = (fold("doc_id", 10) == 0).alias("held_out")
     return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+@register("op12_square_runs")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    docs = runs.looped(table(spark, sf, "documents").select("doc_id", "text"))
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    found = runs.periodic_runs(docs).select("doc_id", F.expr("cast(size(runs) AS long)").alias("n_runs"), runs.longest().alias("r"), F.sha2(F.expr(lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    milli = F.expr("r.length * 1000 div r.period").alias("exponent_milli")
+    return found.select("doc_id", "n_runs", "r.start", "r.length", "r.period", milli, "runs_sha256", "collapsed_sha256")
+
+
+@register("op13_block_naming", naming.ORACLE_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return naming.exact_duplicates(table(spark, sf, "documents").select("doc_id", "text"))

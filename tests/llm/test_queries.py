@@ -19,7 +19,7 @@ from .test_documents import brute_near, check_shards, plain_spans, words
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(E.queries()) >= {*QUERIES, "pipeline"} and set(E.oracle_sql()) >= set(ORACLE)
 
 
