@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, kneser_ney, mix, naming, neardup, pack, quality, runs, secrets, shard, topk, toxicity
+from . import ann, kneser_ney, mix, naming, neardup, pack, phrases, quality, runs, secrets, shard, topk, toxicity
 from .common import bound_batches, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,19 +35,14 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return pack.pack(table(spark, sf, "documents").select("doc_id", "text"))
 
 
-@register("op9_source_mix", mix.ORACLE_SQL)
+@register("op9_source_mix")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
+    """What the mixture takes of every document, and behind it the words and
+    the shard of each pass. The draws of the tree have no SQL; the tests hold
+    the taken words against ``mix.TAKEN_SQL``, and shards against the tree."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     taken = (F.col("take_1") + F.col("take_2")).alias("taken")
-    return mix.assign_mix(docs).select("doc_id", "size", "source_size", "target", taken)
-
-
-@register("op9_source_mix_shards")
-def op9_shards(spark: SparkSession, sf: str) -> DataFrame:
-    """Where the tree puts what ``op9_source_mix`` takes: the words and the
-    shard of each pass. The draws have no SQL, so it is a query of its own."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
-    return mix.assign_mix(docs).select("doc_id", "source", "size", "take_1", "shard_1", "take_2", "shard_2")
+    return mix.assign_mix(docs).select("doc_id", "size", "source_size", "target", taken, "take_1", "shard_1", "take_2", "shard_2")
 
 
 @register("op5_block_topk", topk.ORACLE_SQL)
@@ -105,6 +100,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+@register("op11_rollup_phrases", phrases.ORACLE_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents").select("lang", "text"), least=100, most=2000)
+
+
 @register("op12_square_runs")
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     docs = runs.looped(table(spark, sf, "documents").select("doc_id", "text"))
