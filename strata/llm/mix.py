@@ -1,7 +1,7 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Each source is put into a random but fixed order (a hash of the document id)
-and its words are cut into blocks along that order. A target of T words takes
+Each source is put into a random but fixed order (a hash of the document id
+and the text) and its words are cut into blocks along that order. A target of T words takes
 the blocks of one pass over the source, then of a second pass if T exceeds the
 source's size; the last document is cut so that T is met to the word. The
 blocks are dealt out to output shards by a tree: each node splits the exact
@@ -75,16 +75,20 @@ def assign_mix(
     text: str = "text",
     doc_id: str = "doc_id",
     max_sources: int = 100_000,
+    with_order: bool = False,
 ) -> DataFrame:
     """``docs`` with ``size`` (words), ``source_size``, ``target`` (of its
     source), ``take_1`` and ``take_2`` (words taken in the first and second
     pass, from the text's start) and ``shard_1``, ``shard_2`` (where they go).
     Sources in code-point order, null last, have the ``weights`` in turn.
-    Columns of these names in ``docs`` are replaced. Reruns agree."""
+    Columns of these names in ``docs`` are replaced. Rows of one id go by their
+    texts, so reruns agree however the rows are partitioned; only rows equal
+    in id and text may change places with each other."""
     spark = docs.sparkSession
     if not 0 < cap <= PASSES or not 0 <= share <= cap:
         raise ValueError("0 <= share <= cap <= 2 is needed")
-    rows = docs.withColumns({"size": words(text), "__h": F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))})
+    mark = F.concat_ws(":", F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    rows = docs.withColumns({"size": words(text), "__h": F.md5(mark.cast("binary"))})
     rows = rows.withColumn("__b", F.substring("__h", 1, BUCKET_DIGITS))
     found = rows.groupBy(F.col(source).alias("__s")).agg(F.sum("size").alias("n")).orderBy(F.asc_nulls_last("__s")).limit(max_sources + 1).collect()
     if len(found) > max_sources:
@@ -113,7 +117,7 @@ def assign_mix(
         at = F.floor(start / F.lit(block))
         where = F.size(F.filter("__ends", lambda e: e <= at)).cast("int")  # a second parameter would be the index
         rows = rows.withColumns({f"take_{p + 1}": got, f"shard_{p + 1}": F.when(got > 0, where)})
-    return rows.drop("__h", "__b", "__s", "__n", "__before", "__p", "__take", "__ends", "__in", "__bb")
+    return rows.drop("__b", "__s", "__n", "__before", "__p", "__take", "__ends", "__in", "__bb", *([] if with_order else ["__h"]))
 
 
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", seed: int = 17, out: tuple[str, str] = ("shard", "shuffle_key"), **options) -> DataFrame:
@@ -122,13 +126,13 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     present): its shard, and a key; sorting a shard by the key shuffles it."""
     rest = [c for c in docs.columns if c != text]
     lean = docs.select(doc_id, text, source, F.struct(*rest).alias("__rest"))  # other columns may have any name
-    rows = assign_mix(lean, text=text, doc_id=doc_id, source=source, seed=seed, **options)
+    rows = assign_mix(lean, text=text, doc_id=doc_id, source=source, seed=seed, with_order=True, **options)
     takes = F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"take_{p}").alias("n"), F.col(f"shard_{p}").alias("shard")) for p in range(1, PASSES + 1)])
     rows = rows.withColumn("__t", F.explode(F.filter(takes, lambda t: t["n"] > 0)))
     lead = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"([\x20\x09-\x0D]*{WORD})"), 1), F.lit(1), F.col("__t.n").cast("int")), "")
     cut = F.when(F.col("__t.n") < F.col("size"), lead).otherwise(F.col(text))
     columns = [(cut if c == text else F.col("__rest")[c]).alias(c) for c in docs.columns if c not in out]
-    return rows.select(*columns, F.col("__t.shard").alias(out[0]), F.xxhash64(F.lit(seed), F.col(doc_id), F.col("__t.p")).alias(out[1]))
+    return rows.select(*columns, F.col("__t.shard").alias(out[0]), F.xxhash64(F.lit(seed), F.col("__h"), F.col("__t.p")).alias(out[1]))
 
 
 def by_shard(mixed: DataFrame, shard: str = "shard", shuffle_key: str = "shuffle_key") -> DataFrame:
@@ -142,11 +146,11 @@ def write_mix(mixed: DataFrame, path: str) -> None:
     by_shard(mixed).write.partitionBy("shard").parquet(path)
 
 
-#: DuckDB SQL for the taken words of every document.
-ORACLE_SQL = r"""
+#: DuckDB SQL for the words taken of every document (the draws of the tree have none).
+TAKEN_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, '')) AS h
+         md5(concat_ws(':', doc_id::VARCHAR, md5(coalesce(text, '')))) AS h
   FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS n FROM d GROUP BY source),
 s1 AS (SELECT source, n, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS w FROM s0),

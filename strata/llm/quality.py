@@ -6,17 +6,19 @@ filter's responses are max-pooled over a chunk; the chunks of a text are
 pooled by maximum and by mean, and one logistic unit combines both into a
 probability.
 
-The network is fitted on the driver to a bounded sample of labelled rows:
-``per_class`` rows of each class, the first by a hash of the id, and of a long
-text ``FIT_CHUNKS`` chunks spread evenly over it. The intercept is then set
-back to the class shares of all labelled rows that may be learned from.
-Scoring reads every byte of every text.
+The network is fitted to a bounded sample of labelled rows: ``per_class`` rows
+of each class, the first by a hash of the id. Their whole texts are written to
+the shared folder and read back once an epoch in parts of about ``BUFFER``
+rows, shuffled ``BUFFER_BYTES`` at a time; responses are computed some cells
+at a time, so the driver holds no more than such a part. The intercept is
+then set back to the class shares of all labelled documents that may be
+learned from. Scoring reads every byte of every text.
 
 Null and empty texts are scored as one blank cell."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,15 +27,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches
+from .common import bound_batches, stored
 from .tokens import utf8
 
 WIDTH = 6
 FILTERS = 16
 CELL = 128
-FIT_CHUNKS = 48
 PER_CLASS = 2500
 EPOCHS = 6
+#: Steps that a fit takes at least; few examples are gone through more often.
+LEAST_STEPS = 240
+#: Texts, and bytes of text, that the fit holds and shuffles at a time.
+BUFFER, BUFFER_BYTES = 1024, 16 << 20
 
 
 @dataclass
@@ -105,49 +110,93 @@ def probabilities(net: Network, pairs: np.ndarray, texts: list[np.ndarray]) -> n
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batch: int = 32, rate: float = 0.01, seed: int = 3) -> Network:
-    """Adam on the cross-entropy; gradients reach the bytes at each chunk's maximum."""
+def peaks(bytes_: np.ndarray, data: np.ndarray, at: np.ndarray, step: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """As ``cell_maxima``, from the filters themselves: the largest response of each filter in each cell, and its place."""
+    n = len(data) // CELL
+    last = np.zeros(n, bool)
+    last[at[1:] - 1] = True
+    cells, where = np.empty((n, FILTERS), np.float32), np.empty((n, FILTERS), np.int64)
+    padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
+    for lo in range(0, n, step):
+        hi = min(lo + step, n)
+        size = (hi - lo) * CELL
+        got = sum(bytes_[j][padded[lo * CELL + j : lo * CELL + j + size]] for j in range(WIDTH)).reshape(hi - lo, CELL, -1)
+        got[last[lo:hi], CELL - WIDTH + 1 :] = -np.inf
+        best = got.argmax(axis=1)
+        cells[lo:hi] = np.take_along_axis(got, best[:, None, :], 1)[:, 0, :]
+        where[lo:hi] = best + (np.arange(lo, hi) * CELL)[:, None]
+    return cells, where
+
+
+def loss(net: Network, texts: list[np.ndarray], labels: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    """Mean cross-entropy of whole texts, and its gradient by ``bytes_``, ``bias``, ``out`` and ``base``;
+    it reaches the bytes at each chunk's maximum."""
+    data, at = blank(texts)
+    cells, where = peaks(net.bytes_.astype(np.float32), data, at)
+    n = np.maximum(np.diff(at) - 1, 1)
+    start = np.concatenate([[0], np.cumsum(n)])
+    first = np.arange(start[-1]) - np.repeat(start[:-1], n) + np.repeat(at[:-1], n)
+    second = np.minimum(first + 1, np.repeat(at[1:], n) - 1)
+    later = cells[second] > cells[first]
+    chunks, place = np.where(later, cells[second], cells[first]), np.where(later, where[second], where[first])
+    h = np.maximum(chunks + net.bias, 0).astype(np.float64)
+    top = np.maximum.reduceat(h, start[:-1], axis=0)
+    x = np.hstack([top, np.add.reduceat(h, start[:-1], axis=0) / n[:, None]])
+    z = np.clip(x @ net.out + net.base, -30, 30)
+    p = 1 / (1 + np.exp(-z))
+    dz = (p - labels) / len(texts)
+    dx = dz[:, None] * net.out[None, :]
+    doc = np.repeat(np.arange(len(texts)), n)
+    peak = (h == top[doc]) & (h > 0)
+    share = np.maximum(np.add.reduceat(peak.astype(np.float64), start[:-1], axis=0), 1)
+    dh = np.where(h > 0, dx[doc, FILTERS:] / n[doc][:, None], 0) + np.where(peak, (dx[:, :FILTERS] / share)[doc], 0)
+    grad = np.zeros_like(net.bytes_)
+    f = np.broadcast_to(np.arange(FILTERS), place.shape)
+    padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
+    for j in range(WIDTH):
+        np.add.at(grad[j], (padded[place + j], f), dh)
+    cost = float(np.mean(np.logaddexp(0, z) - labels * z))
+    return cost, [grad, dh.sum(axis=0), x.T @ dz, np.array([dz.sum()])]
+
+
+def shuffled(rows: Iterable[tuple[np.ndarray, float]], rng: np.random.Generator, batch: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Batches of a stream of (text, label), shuffled within bounded buffers."""
+    held, size = [], 0
+
+    def send():
+        order = rng.permutation(len(held))
+        for lo in range(0, len(order), batch):
+            pick = [held[i] for i in order[lo : lo + batch]]
+            yield [t for t, _ in pick], np.array([y for _, y in pick])
+
+    for row in rows:
+        held.append(row)
+        size += len(row[0])
+        if len(held) >= BUFFER or size >= BUFFER_BYTES:
+            yield from send()
+            held, size = [], 0
+    if held:
+        yield from send()
+
+
+def fit(rows: Callable[[], Iterable[tuple[np.ndarray, float]]], n: int, epochs: int = EPOCHS, batch: int = 32, rate: float = 0.01, seed: int = 3) -> Network:
+    """Adam on the cross-entropy of ``n`` (text, label) that ``rows()`` streams
+    anew for each of ``epochs`` (more, until ``LEAST_STEPS`` are taken)."""
     rng = np.random.Generator(np.random.PCG64(seed))
     net = Network(rng.normal(0, 0.3, (WIDTH, 256, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.3, 2 * FILTERS), 0.0)
     net.bytes_[:, 0] = 0
     state = [np.zeros_like(x) for x in (net.bytes_, net.bias, net.out)] + [np.zeros(1)]
     speed = [np.zeros_like(x) for x in state]
-    step, steps = 0, epochs * max(1, -(-len(texts) // batch))
+    each = max(1, -(-n // batch))
+    epochs = max(epochs, -(-LEAST_STEPS // each))
+    step, steps = 0, epochs * each
     for _ in range(epochs):
-        order = rng.permutation(len(texts))
-        for lo in range(0, len(order), batch):
-            pick = order[lo : lo + batch]
-            data, at = blank([texts[i] for i in pick])
-            padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
-            t32 = net.bytes_.astype(np.float32)
-            got = sum(t32[j][padded[j : j + len(data)]] for j in range(WIDTH)).reshape(-1, CELL, FILTERS)
-            got[at[1:] - 1, CELL - WIDTH + 1 :] = -np.inf
-            where = got.argmax(axis=1)
-            cells = np.take_along_axis(got, where[:, None, :], 1)[:, 0, :]
-            where = where + (np.arange(len(cells)) * CELL)[:, None]
-            n = np.maximum(np.diff(at) - 1, 1)
-            start = np.concatenate([[0], np.cumsum(n)])
-            first = np.arange(start[-1]) - np.repeat(start[:-1], n) + np.repeat(at[:-1], n)
-            second = np.minimum(first + 1, np.repeat(at[1:], n) - 1)
-            later = cells[second] > cells[first]
-            chunks, place = np.where(later, cells[second], cells[first]), np.where(later, where[second], where[first])
-            h = np.maximum(chunks + net.bias, 0).astype(np.float64)
-            top = np.maximum.reduceat(h, start[:-1], axis=0)
-            x = np.hstack([top, np.add.reduceat(h, start[:-1], axis=0) / n[:, None]])
-            p = 1 / (1 + np.exp(-np.clip(x @ net.out + net.base, -30, 30)))
-            dz = (p - labels[pick]) / len(pick)
-            dx = dz[:, None] * net.out[None, :]
-            doc = np.repeat(np.arange(len(pick)), n)
-            peak = (h == top[doc]) & (h > 0)
-            share = np.maximum(np.add.reduceat(peak.astype(np.float64), start[:-1], axis=0), 1)
-            dh = np.where(h > 0, dx[doc, FILTERS:] / n[doc][:, None], 0) + np.where(peak, (dx[:, :FILTERS] / share)[doc], 0)
-            grad = np.zeros_like(net.bytes_)
-            f = np.broadcast_to(np.arange(FILTERS), place.shape)
-            for j in range(WIDTH):
-                np.add.at(grad[j], (padded[place + j], f), dh)
-            grads = [grad + 1e-4 * net.bytes_ / WIDTH, dh.sum(axis=0), x.T @ dz + 1e-4 * net.out, np.array([dz.sum()])]
+        for texts, labels in shuffled(rows(), rng, batch):
+            _, grads = loss(net, texts, labels)
+            grads[0] += 1e-4 * net.bytes_ / WIDTH
+            grads[2] += 1e-4 * net.out
             step += 1
-            now = rate * (1 - 0.9 * step / steps)
+            now = rate * max(1 - 0.9 * step / steps, 0.1)
             moved = []
             for k, g in enumerate(grads):
                 state[k] = 0.9 * state[k] + 0.1 * g
@@ -160,40 +209,44 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batch
     return net
 
 
-def spread(text: np.ndarray) -> np.ndarray:
-    """The text, or ``FIT_CHUNKS`` chunks of two cells spread evenly over a longer one."""
-    size = 2 * CELL
-    if len(text) <= FIT_CHUNKS * size:
-        return text
-    starts = np.linspace(0, len(text) - size, FIT_CHUNKS).astype(np.int64)
-    return text[(starts[:, None] + np.arange(size)).ravel()]
-
-
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", per_class: int = PER_CLASS) -> Network:
     """Fit on the documents that ``labels`` (``key``, ``label``) marks 0 or 1:
-    ``per_class`` of each class, the first by a hash of ``key``. One class
-    alone (or none) gives a constant. Labels that are null or neither 0 nor 1,
-    or without a document, teach nothing."""
-    marks = labels.select(F.col(key).alias("__k"), F.col(label).alias("__y")).filter("__y IN (0, 1) AND __k IS NOT NULL")
-    shares = {r[0]: r[1] for r in marks.groupBy("__y").count().collect()}
-    size = 2 * CELL * FIT_CHUNKS
-    step = F.greatest(F.octet_length(text) - 2 * CELL, F.lit(0)) / (FIT_CHUNKS - 1)
-    raw = F.col(text).cast("binary")
-    cut = F.when(F.octet_length(text) <= size, raw).otherwise(
-        F.concat(*[F.substring(raw, F.floor(step * i).cast("int") + 1, F.lit(2 * CELL)) for i in range(FIT_CHUNKS)])
-    )
-    got = []
-    for y in (0, 1):
-        picked = marks.filter(F.col("__y") == y).orderBy(F.xxhash64("__k"), "__k").limit(per_class)  # so few rows are broadcast
-        there = docs.select(F.col(key).alias("__d"), cut.alias("b")).join(F.broadcast(picked), F.col("__d") == F.col("__k"))
-        got.append(there.orderBy(F.xxhash64("__k"), "__k", F.xxhash64("b")).limit(per_class).select("b").collect())
-    if not all(got):
-        n = [shares.get(y, 0) if rows else 0 for y, rows in enumerate(got)]
-        base = float(np.log((n[1] + 0.5) / (n[0] + 0.5)))
+    ``per_class`` of each class, the first by a hash of ``key``, whole texts.
+    One class alone (or none) gives a constant. Labels that are null or
+    neither 0 nor 1, or without a document, teach nothing: they are joined to
+    the documents before anything is counted or picked. Of several labels of
+    one key the largest counts; of several documents of one key, each."""
+    marks = labels.select(F.col(key).alias("__k"), F.col(label).cast("int").alias("__y")).filter("__y IN (0, 1) AND __k IS NOT NULL")
+    marks = marks.groupBy("__k").agg(F.max("__y").alias("__y"))
+    # ids only: the texts are read for the rows picked
+    known = docs.select(F.col(key).alias("__d")).join(marks, F.col("__d") == F.col("__k")).groupBy("__k", "__y").agg(F.count(F.lit(1)).alias("__n"))
+    known = stored(known, "labelled")
+    shares = {r[0]: r[1] for r in known.groupBy("__y").agg(F.sum("__n")).collect()}
+    if len(shares) < 2:
+        base = float(np.log((shares.get(1, 0) + 0.5) / (shares.get(0, 0) + 0.5)))
         return Network(np.zeros((WIDTH, 256, FILTERS)), np.zeros(FILTERS), np.zeros(2 * FILTERS), base)
-    y = np.repeat([0.0, 1.0], [len(got[0]), len(got[1])])
-    net = fit([np.frombuffer(bytes(r["b"] or b""), np.uint8) for rows in got for r in rows], y)
-    net.base += float(np.log(shares[1] / shares[0]) - np.log(len(got[1]) / len(got[0])))
+    sample = None
+    for y in (0, 1):
+        picked = known.filter(F.col("__y") == y).orderBy(F.xxhash64("__k"), "__k").limit(per_class).select("__k", "__y")  # so few rows are broadcast
+        there = docs.select(F.col(key).alias("__d"), F.coalesce(F.col(text), F.lit("")).alias("b")).join(F.broadcast(picked), F.col("__d") == F.col("__k"))
+        there = there.orderBy(F.xxhash64("__k"), "__k", F.xxhash64("b")).limit(per_class).select("__k", "b", "__y")
+        sample = there if sample is None else sample.unionAll(there)
+    # in parts of about BUFFER rows, dealt by hash, which mix the classes
+    parts = -(-sum(min(per_class, x) for x in shares.values()) // BUFFER)
+    sample = stored(sample.withColumn("__p", F.pmod(F.xxhash64(F.lit("part"), "__k"), F.lit(parts))), "examples")
+    taken = {r[0]: r[1] for r in sample.groupBy("__y").count().collect()}
+
+    held: list = []  # the last part read: a sample of one part is read once
+
+    def rows() -> Iterator[tuple[np.ndarray, float]]:
+        for part in range(parts):
+            if not held or held[0] != part:
+                held[:] = [part, sample.filter(F.col("__p") == part).orderBy(F.xxhash64("__k"), "__k", F.xxhash64("b")).select("b", "__y").collect()]
+            for r in held[1]:
+                yield np.frombuffer(r["b"].encode(), np.uint8), float(r["__y"])
+
+    net = fit(rows, sum(taken.values()))
+    net.base += float(np.log(shares[1] / shares[0]) - np.log(taken[1] / taken[0]))
     return net
 
 

@@ -182,6 +182,55 @@ def test_best_fit_fills_bins():
     assert lengths.sum() / sum(caps.values()) > 0.99
 
 
+def plan_cost(lengths, capacities):
+    b, _, c = pack.best_fit(np.array(lengths), capacities)
+    return sum(dict(zip(b.tolist(), c.tolist())).values()) + pack.SEQUENCE_COST * len(set(b.tolist()))
+
+
+def cheapest(lengths, capacities):
+    """The least cost of all ways to share the lengths out."""
+    best = {(): 0}
+
+    def cost(left):
+        if left not in best:
+            n, rest, out = left[0], left[1:], []
+            for mask in range(1 << len(rest)):
+                held = n + sum(x for i, x in enumerate(rest) if mask >> i & 1)
+                fit = [c for c in capacities if c >= held]
+                if fit:
+                    out.append(min(fit) + pack.SEQUENCE_COST + cost(tuple(x for i, x in enumerate(rest) if not mask >> i & 1)))
+            best[left] = min(out)
+        return best[left]
+
+    return cost(tuple(sorted(lengths, reverse=True)))
+
+
+def test_sizes_are_chosen_together():
+    """Near the least possible cost, and never over a plan of one size."""
+    assert plan_cost([1500] * 600, (3000, 5000)) == 300 * (3000 + pack.SEQUENCE_COST)
+    rng, off = random.Random(4), []
+    for caps in ((512, 1024, 2048, 4096, 8192), (3000, 5000), (10, 16, 25)):
+        for _ in range(60):
+            lengths = [rng.randint(1, caps[-1]) if rng.random() < 0.4 else rng.randint(1, caps[0]) for _ in range(rng.randint(1, 8))]
+            got, least = plan_cost(lengths, caps), cheapest(lengths, caps)
+            assert least <= got <= 1.5 * least
+            off.append(got / least)
+        for _ in range(20):
+            lengths = [rng.randint(1, caps[-1]) for _ in range(rng.randint(1, 60))]
+            assert plan_cost(lengths, caps) <= plan_cost(lengths, (caps[-1],))
+    assert np.mean(off) < 1.03
+
+
+def test_identical_rows_are_spread_over_the_groups(spark, monkeypatch):
+    monkeypatch.setattr(pack, "COPIES", 100)
+    docs = spark.range(1).selectExpr("cast(7 AS bigint) AS doc_id", "'one two three' AS text", "explode(sequence(1, 3000)) AS n").drop("n")
+    rows = pack.pack(docs, group_items=64).collect()
+    assert len(rows) == 3000 and all((r.doc_id, r.piece, r.start, r.length) == (7, 0, 0, 4) for r in rows)
+    groups = Counter(r.bin_id >> 32 for r in rows)
+    assert len(groups) > 40 and max(groups.values()) < 130
+    assert len({(r.bin_id, r.offset) for r in rows}) == 3000
+
+
 # --- secrets --------------------------------------------------------------------
 
 
@@ -246,6 +295,32 @@ def test_lexer_is_linear():
     assert time.time() - t < 30
 
 
+def test_many_spans_in_one_text():
+    """10 MB of base spans and literals side by side: linear, and the same spans as a plain search for overlaps."""
+    import time
+
+    rng = random.Random(8)
+
+    def text(n):
+        out = []
+        for i in range(n):
+            key, digest = "".join(rng.choices("ABCDEFGHJKLMqrstuvwxyz23456789", k=24)), "".join(rng.choices("0123456789abcdef", k=20))
+            out.append(f'password_{i} = "{key}"\nsum = {digest}\ntoken: {key}{i}\npwd{i} = p{digest}\nx AKIA{key.upper()}\n')
+        return "".join(out)
+
+    small = text(60)
+    spans = secrets.scan(small)
+    base = [s for s in spans if s[0] != "literal"]
+    assert [s[:3] for s in base] == plain_spans(small)
+    want = {(s, e) for name, n, v, s, e in secrets.assignments(small) if n * secrets.literal_score(v) >= secrets.THRESHOLD and not any(s < b and a < e for _, a, b, _, _ in base)}
+    assert want and {s[1:3] for s in spans if s[0] == "literal"} == want
+    large = text(60_000)
+    assert len(large) > 10_000_000
+    began = time.time()
+    assert len(secrets.scan(large)) > 200_000
+    assert time.time() - began < 90
+
+
 def test_scan_and_redact_odd_rows(spark, messy, empty):
     docs = messy.unionByName(docs_of(spark, [(100 + i, t, None) for i, t in enumerate(TEXTS)]))
     found = secrets.find_secrets(docs).collect()
@@ -406,6 +481,35 @@ def test_kneser_ney_equals_brute_force(spark, messy, monkeypatch, hot):
         assert tuple(r)[2:5] == w[:3] and tuple(r)[5:] == pytest.approx(w[3:], abs=1e-9)
 
 
+def test_a_lost_model_file_raises(spark, messy, monkeypatch):
+    """A shard in which nothing was counted has no file; one that was written and is gone is an error."""
+    import os
+
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 40)
+    docs = messy.filter("doc_id < 8").select("doc_id", "text")
+    model = kneser_ney.train(docs)
+    files = os.listdir(kneser_ney._plain(model.folder))
+    assert model.shards > 3 and 0 < sum(f.startswith("words") for f in files) < model.shards
+    assert kneser_ney.score_texts(docs, model).count() == docs.count()
+    os.remove(os.path.join(kneser_ney._plain(model.folder), sorted(files)[0]))
+    with pytest.raises(Exception, match="FileNotFoundError|No such file"):
+        kneser_ney.score_texts(docs, model).collect()
+
+
+@pytest.mark.parametrize("shards", [1, 2, 40_000, 70_000, 3_000_000])
+def test_shards_have_no_limit(shards):
+    rng = np.random.Generator(np.random.PCG64(shards))
+    v, w = (np.repeat(rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2), 3) for _ in range(2))
+    order = rng.permutation(len(v))
+    v, w = v[order], w[order]
+    s = kneser_ney.shard_of(v, shards)
+    assert 0 <= s.min() and s.max() < shards
+    order = np.argsort(kneser_ney._beside(s, shards, v, w))
+    s, v = s[order], v[order]
+    assert np.all(s[1:] >= s[:-1])
+    assert np.sum(v[1:] != v[:-1]) < 5200  # like words lie side by side
+
+
 def test_kneser_ney_without_training_or_rows(messy, empty):
     assert kneser_ney.perplexities(empty, F.lit(True)).count() == 0
     got = kneser_ney.perplexities(messy.filter("doc_id < 8"), F.lit(False)).collect()
@@ -511,3 +615,76 @@ def test_toxicity_counts_every_row(spark):
     for word in ("vile", "seldom", "w7"):
         h = int(tokens.word_hashes(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word)]), tokens.PUNCTUATION)[0][0])
         assert found[h] == pytest.approx(np.log((1 + len(rows)) / (1 + sum(word in r[1].split() for r in rows))) + 1)
+
+
+def test_fit_has_the_gradient_of_its_loss():
+    """Backpropagation against differences, through pooling over many chunks."""
+    rng = np.random.Generator(np.random.PCG64(9))
+    net = quality.Network(rng.normal(0, 0.3, (quality.WIDTH, 256, quality.FILTERS)), rng.normal(0, 0.1, quality.FILTERS), rng.normal(0, 0.5, 2 * quality.FILTERS), 0.2)
+    net.bytes_ = net.bytes_.astype(np.float32).astype(np.float64)  # responses are taken in single precision
+    texts = [rng.integers(97, 123, n).astype(np.uint8) for n in (0, 5, 120, 129, 700, 70_000)]
+    y = np.array([0.0, 1, 0, 1, 1, 0])
+    _, grads = quality.loss(net, texts, y)
+    for name, grad in zip(("bias", "out"), grads[1:3]):
+        for i in range(len(grad)):
+            at = []
+            for d in (1e-6, -1e-6):
+                moved = getattr(net, name).copy()
+                moved[i] += d
+                at.append(quality.loss(quality.Network(**{**vars(net), name: moved}), texts, y)[0])
+            assert abs((at[0] - at[1]) / 2e-6 - grad[i]) < 1e-6
+    up, down = (quality.loss(quality.Network(net.bytes_, net.bias, net.out, net.base + d), texts, y)[0] for d in (1e-6, -1e-6))
+    assert abs((up - down) / 2e-6 - grads[3][0]) < 1e-6
+    for place, byte, k in zip(*[x[:12] for x in np.nonzero(np.abs(grads[0]) > 1e-4)]):
+        at = []
+        for d in (2e-3, -2e-3):
+            moved = net.bytes_.copy()
+            moved[place, byte, k] += d
+            at.append(quality.loss(quality.Network(moved, net.bias, net.out, net.base), texts, y)[0])
+        assert abs((at[0] - at[1]) / 4e-3 - grads[0][place, byte, k]) < 0.05 * abs(grads[0][place, byte, k]) + 1e-5
+    # the filters and the tables of byte pairs see the same maxima
+    data, at = quality.blank(texts)
+    assert np.allclose(quality.peaks(net.bytes_.astype(np.float32), data, at, 3)[0], quality.cell_maxima(net.pairs(), data, at), atol=1e-5)
+
+
+def _two_kinds(n, long=0):
+    rng = random.Random(n)
+    good, bad = "the river runs past an old mill and under the bridge", "$$$ click >>> 0000 !!! buy ### win %%%"
+    rows = []
+    for i in range(n):
+        said = (good if i % 2 else bad).split()
+        rows.append((i, " ".join(rng.choice(said) for _ in range(long if long and i % 5 == 0 else 40))))
+    return rows
+
+
+def test_labels_without_documents_and_repeated_labels_teach_nothing(spark):
+    rows = _two_kinds(200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(i, i % 2) for i, _ in rows]
+    plain = quality.train(docs, spark.createDataFrame(marks, "doc_id long, quality int"), per_class=60)
+    more = [(1000 + i, 1) for i in range(20_000)] + [(100_000 + i, i % 2) for i in range(5000)]
+    strange = [(None, 1), (3, None), (4, 7)]
+    again = [(i, 0) for i, y in marks if y]  # of two labels of a key the larger counts
+    net = quality.train(docs, spark.createDataFrame(marks + more + strange + again, "doc_id long, quality int"), per_class=60)
+    assert np.array_equal(net.bytes_, plain.bytes_) and net.base == plain.base
+    scored = {r.doc_id: r.score for r in quality.score_quality(docs, net).collect()}
+    assert all((scored[i] >= 0.5) == (i % 2 == 1) for i, _ in rows)
+
+
+def test_fit_reads_whole_texts(spark, monkeypatch):
+    """Every byte of the sampled texts reaches the fit, long ones included."""
+    monkeypatch.setattr(quality, "BUFFER", 64)
+    rows = _two_kinds(150, long=6000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    seen = []
+
+    def fit(stream, n, **options):
+        seen.append([(bytes(t).decode(), y) for t, y in stream()])
+        assert len(seen[0]) == n
+        return quality.Network(np.zeros((quality.WIDTH, 256, quality.FILTERS)), np.zeros(quality.FILTERS), np.zeros(2 * quality.FILTERS), 0.0)
+
+    monkeypatch.setattr(quality, "fit", fit)
+    quality.train(docs, labels)
+    assert Counter(seen[0]) == Counter((t, float(i % 2)) for i, t in rows)
+    assert max(len(t) for t, _ in seen[0]) > 20_000
