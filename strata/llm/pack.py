@@ -1,12 +1,16 @@
 """Variable-capacity best-fit packing.
 
 Documents become pieces no longer than the largest permitted sequence length.
-Pieces are dealt by hash into groups of about ``group_items`` (so the number
-of groups follows the input and a group stays small), and each group is packed
-by best-fit decreasing: a piece goes to the open bin it fills best; if none
-has room, the bin size of least cost per token it can still hope to hold is
-opened; at the end every bin shrinks to the smallest permitted length that
-holds its contents.
+Pieces are dealt by hash into groups of about ``group_items`` (identical rows
+by a number of their own, so a group stays small whatever repeats), and each
+group is packed by best-fit decreasing: a piece goes to the open bin it fills
+best; if none has room, a bin is opened. Its size is chosen for all permitted
+lengths together: each is filled, on trial, with the largest pieces still to
+come that fit, and the one of least cost per token so held is opened. The same
+group is also packed with each single length as the least to be opened; of
+these whole plans the cheapest is kept (a sequence costs its length and
+``sequence_cost``). At the end every bin shrinks to the smallest permitted
+length that holds its contents.
 
 A text's length is its words plus one end token; null and empty texts have the
 end token alone."""
@@ -26,33 +30,63 @@ CAPACITIES = (512, 1024, 2048, 4096, 8192)
 #: Cost of a sequence besides its length, in tokens.
 SEQUENCE_COST = 16
 GROUP_ITEMS = 4096
+#: Identical rows that one row becomes at a time.
+COPIES = 1 << 14
 
 
-def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, sequence_cost: int = SEQUENCE_COST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bin, offset in the bin and the bin's final capacity for each length."""
-    caps = sorted(capacities)
-    order = np.argsort(-lengths, kind="stable")
-    left = int(lengths.sum())
-    bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+def _filled(falling: np.ndarray, at: int, room: int) -> int:
+    """Tokens that the largest fitting of the pieces ``falling[at:]``, one after another, put into ``room``."""
+    held = 0
+    while at < len(falling) and room - held > 0:
+        at += int(np.searchsorted(-falling[at:], held - room))  # the first that fits
+        # as many neighbours as fit, if they are equal
+        if at < len(falling):
+            n = int(falling[at])
+            same = int(np.searchsorted(-falling[at:], -n, "right"))
+            take = min(same, (room - held) // n)
+            held += take * n
+            at += same
+    return held
+
+
+def _pack(falling: np.ndarray, caps: list[int], sequence_cost: int, least: int | None) -> tuple[list[int], list[int], list[int]]:
+    """Bin and offset of each of the falling lengths, and the tokens of each
+    bin. ``least``: the shortest bin to open; None chooses each by trial."""
+    bins, offsets = [], []
     used: list[int] = []
     open_bins: list[tuple[int, int]] = []  # (room, bin), sorted
-    for i in order:
-        n = int(lengths[i])
+    for i, n in enumerate(falling.tolist()):
         at = bisect_left(open_bins, (n, -1))
         if at < len(open_bins):
             room, b = open_bins.pop(at)
         else:
-            # what a bin of this size may come to hold: this piece and as much of the rest as fits
-            cap = min((c for c in caps if c >= n), key=lambda c: ((c + sequence_cost) / min(c, left), c))
-            room, b = cap, len(used)
+            able = [c for c in caps if c >= max(n, least or 0)]
+            if least is None and len(able) > 1:
+                able.sort(key=lambda c: ((c + sequence_cost) / (n + _filled(falling, i + 1, c - n)), c))
+            room, b = able[0], len(used)
             used.append(0)
-        bins[i], offsets[i] = b, used[b]
+        bins.append(b)
+        offsets.append(used[b])
         used[b] += n
-        left -= n
         if room > n:
             insort(open_bins, (room - n, b))
+    return bins, offsets, used
+
+
+def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, sequence_cost: int = SEQUENCE_COST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bin, offset in the bin and the bin's final capacity for each length:
+    the cheapest of the plans (equal ones: the first)."""
+    caps = sorted(capacities)
+    order = np.argsort(-lengths, kind="stable")
+    falling = lengths[order]
+    if not len(lengths):
+        return (np.zeros(0, np.int64),) * 3
+    plans = (_pack(falling, caps, sequence_cost, least) for least in (None, *caps[::-1]))
+    bins, offsets, used = min(plans, key=lambda p: sum(caps[bisect_left(caps, u)] + sequence_cost for u in p[2]))
     final = np.array([caps[bisect_left(caps, u)] for u in used], np.int64)
-    return bins, offsets, final[bins] if len(used) else np.zeros(0, np.int64)
+    out = np.empty((2, len(lengths)), np.int64)
+    out[:, order] = bins, offsets
+    return out[0], out[1], final[out[0]]
 
 
 def pack(
@@ -71,15 +105,19 @@ def pack(
     caps = tuple(sorted(capacities))
     top = caps[-1]
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("__t"), (words(text) + 1).alias("__n"))
-    n = rows.agg(F.sum(F.ceil(F.col("__n") / top))).first()[0] or 0
+    # identical rows are counted first, then numbered, so that no group holds them all
+    rows = rows.groupBy("doc_id", "__t", "__n").agg(F.count(F.lit(1)).alias("__c")).withColumn("__u", F.ceil(F.col("__n") / top))
+    n = rows.agg(F.sum(F.col("__u") * F.col("__c"))).first()[0] or 0
     groups = max(1, -(-int(n) // group_items))
-    pieces = rows.select("doc_id", "__t", "__n", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("__n") / top) - 1).cast("int"))).alias("piece"))
+    for column, count in (("__c1", F.ceil(F.col("__c") / COPIES)), ("__c2", F.least(F.lit(COPIES), F.col("__c") - F.col("__c1") * COPIES)), ("piece", F.col("__u"))):
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))).alias(column))
+    pieces = rows
     pieces = pieces.select(
         "doc_id",
         "piece",
         (F.col("piece").cast("long") * top).alias("start"),
         F.least(F.lit(top).cast("long"), F.col("__n") - F.col("piece").cast("long") * top).alias("length"),
-        F.pmod(F.xxhash64("doc_id", "__t", "piece"), F.lit(groups)).alias("__g"),
+        F.pmod(F.xxhash64("doc_id", "__t", "__c1", "__c2", "piece"), F.lit(groups)).alias("__g"),
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
