@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pandas as pd
@@ -133,10 +134,18 @@ def scan(text: str | None, threshold: float = THRESHOLD) -> list[tuple[str, int,
         for name, sensitive, value, s, e in assignments(text):
             if sensitive and (score := sensitive * literal_score(value)) >= threshold:
                 more[s, e] = max(more.get((s, e), (0.0, "")), (score, name))
-    taken = sorted((s, e) for _, s, e, _, _ in base)
+    # base spans as disjoint stretches: each literal meets the one that ends after its start, if any
+    starts, ends = [], []
+    for s, e in sorted((s, e) for _, s, e, _, _ in base):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
     spans = list(base)
     for (s, e), (score, name) in more.items():
-        if not any(s < b and a < e for a, b in taken):
+        at = bisect_right(ends, s)
+        if at == len(ends) or starts[at] >= e:
             spans.append(("literal", s, e, name, score))
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
