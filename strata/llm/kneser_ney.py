@@ -125,6 +125,13 @@ def bigram_shards(v: np.ndarray, keys: np.ndarray, hot: np.ndarray, shards: int)
     return np.where(hot[at] == v, shard_of(keys, shards), shard_of(v, shards))
 
 
+def _beside(shard: np.ndarray, shards: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """An order by shard, then by as many bits of ``first`` and ``second`` as are left, in halves."""
+    bits = 64 - max(1, (shards - 1).bit_length())
+    low = bits // 2
+    return (shard << U(bits)) | ((first >> U(8) & U((1 << (bits - low)) - 1)) << U(low)) | (second >> U(8) & U((1 << low) - 1))
+
+
 def _totals(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     keys, values = keys[order], values[order]
@@ -193,7 +200,8 @@ def count_bigrams(texts: DataFrame, shards: int, hot: np.ndarray, folder: str) -
     """Write each shard's bigram file. Comes back: ``shard`` (of a word), and
     for its words ``ctx`` (word, total, n1, n2, n3 as a context) and ``left``
     (word, number of distinct predecessors), in parts; ``counts``: how many
-    bigrams were counted once, twice, three and four times."""
+    bigrams were counted once, twice, three and four times; ``file``: the shard
+    whose file was written, once for each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -202,7 +210,7 @@ def count_bigrams(texts: DataFrame, shards: int, hot: np.ndarray, folder: str) -
             v, w = (np.concatenate(x) for x in zip(*held))
             s = bigram_shards(v, bigram_keys(v, w), hot, shards)
             # by shard, then like pairs side by side (a pair split by equal bits is joined in the merge)
-            order = np.argsort((s << U(48)) | ((v >> U(8) & U(0xFFFFFF)) << U(24)) | (w >> U(8) & U(0xFFFFFF)))
+            order = np.argsort(_beside(s, shards, v, w))
             s, v, w = s[order], v[order], w[order]
             first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1]) | (s[1:] != s[:-1])]))
             c = np.diff(np.append(first, len(v))).astype("<u4")
@@ -238,22 +246,22 @@ def count_bigrams(texts: DataFrame, shards: int, hot: np.ndarray, folder: str) -
         parts = np.stack([np.bincount(of, x, len(ctx)).astype("<i8") for x in (c, c == 1, c == 2, c > 2)], axis=1)
         word, left = np.unique(w, return_counts=True)
         counts = [int((c == i).sum()) for i in (1, 2, 3, 4)]
-        rows = {"shard": [], "ctx": [], "parts": [], "left": [], "n": [], "counts": []}
+        rows = {"shard": [], "ctx": [], "parts": [], "left": [], "n": [], "counts": [], "file": []}
         to_ctx, to_word = ({s: (lo, hi) for s, lo, hi in _cuts(shard_of(x, shards))} for x in (ctx, word))
         for s in sorted({*to_ctx, *to_word}):
             (a, b), (x, y) = to_ctx.get(s, (0, 0)), to_word.get(s, (0, 0))
-            got = (s, ctx[a:b].tobytes(), parts[a:b].tobytes(), word[x:y].tobytes(), left[x:y].astype("<i8").tobytes(), counts if not rows["shard"] else [0] * 4)
+            got = (s, ctx[a:b].tobytes(), parts[a:b].tobytes(), word[x:y].tobytes(), left[x:y].astype("<i8").tobytes(), [0] * 4 if rows["shard"] else counts, None if rows["shard"] else shard)
             for k, value in zip(rows, got):
                 rows[k].append(value)
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int32())
         return pa.table({k: pa.array(x, t) for (k, x), t in zip(rows.items(), kinds)})
 
     sent = texts.mapInArrow(count, "shard int, v binary, runs binary, w binary, c binary")
-    return sent.groupBy("shard").applyInArrow(merge, "shard int, ctx binary, parts binary, left binary, n binary, counts array<bigint>")
+    return sent.groupBy("shard").applyInArrow(merge, "shard int, ctx binary, parts binary, left binary, n binary, counts array<bigint>, file int")
 
 
 def write_words(words: DataFrame, stats: DataFrame, folder: str) -> DataFrame:
-    """Write each shard's word file; comes back: per shard, counts of predecessor counts 1 to 4, of those over 2, their total, and the words counted."""
+    """Write each shard's word file; comes back: per shard, counts of predecessor counts 1 to 4, of those over 2, their total, and the words counted (``of``), and the shard (``file``)."""
 
     def merge(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -269,12 +277,12 @@ def write_words(words: DataFrame, stats: DataFrame, folder: str) -> DataFrame:
             np.add.at(out[name], np.searchsorted(every, ctx), parts[:, k])
         put(f"{folder}/words-{shard}", out.view(np.uint8))
         of = [int((left == i).sum()) for i in (1, 2, 3, 4)] + [int((left > 2).sum()), int(left.sum()), int((out["count"] > 0).sum())]
-        return pa.table({"of": pa.array([of], pa.list_(pa.int64()))})
+        return pa.table({"of": pa.array([of], pa.list_(pa.int64())), "file": pa.array([shard], pa.int32())})
 
     none = F.lit(b"")
     a = words.select("shard", "words", "counts", *[none.alias(c) for c in ("ctx", "parts", "left", "n")])
     b = stats.select("shard", none.alias("words"), none.alias("counts"), "ctx", "parts", "left", "n")
-    return a.unionByName(b).groupBy("shard").applyInArrow(merge, "of array<bigint>")
+    return a.unionByName(b).groupBy("shard").applyInArrow(merge, "of array<bigint>, file int")
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -287,11 +295,12 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 
 class Model:
-    """Where the files are, and the sums that hold for all of them (a few numbers and the hot words)."""
+    """Where the files are, and the sums that hold for all of them (a few
+    numbers, the hot words and, a bit for each shard, which files were written)."""
 
-    def __init__(self, folder: str, shards: int, hot: np.ndarray, tokens: int, words: int, d2, d1, left_total: int, back: float):
+    def __init__(self, folder: str, shards: int, hot: np.ndarray, tokens: int, words: int, d2, d1, left_total: int, back: float, written: dict):
         self.folder, self.shards, self.hot, self.tokens, self.words = folder, shards, hot, tokens, words
-        self.d2, self.d1, self.left_total, self.back = d2, d1, left_total, back
+        self.d2, self.d1, self.left_total, self.back, self.written = d2, d1, left_total, back, written
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
@@ -301,7 +310,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     folder = scratch(spark, "kneser-ney")
     texts = docs.select(text)
     size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    shards = min(1 << 15, -(-size // SHARD_BYTES) + 1)
+    shards = -(-size // SHARD_BYTES) + 1
     words = stored(count_words(texts, shards), "words")
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,11 +321,18 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     hot = np.unique(np.array([*hot_words(words, HOT * n / shards), BEGIN.astype(np.int64)], np.int64).view(U))
     stats = stored(count_bigrams(texts, shards, hot, folder), "bigrams")
     n2 = stats.agg(*[F.sum(F.col("counts")[i]) for i in range(4)]).first()
-    ends = [r[0] for r in write_words(words, stats, folder).collect()]  # a row per shard
-    of = [sum(x) for x in zip(*ends)] if ends else [0] * 7
+    ends = write_words(words, stats, folder).collect()  # a row per shard
+    of = [sum(x) for x in zip(*[r[0] for r in ends])] if ends else [0] * 7
+    written = {"words": [r[1] for r in ends], "bigrams": [r[0] for r in stats.filter("file IS NOT NULL").select("file").collect()]}
     d2, d1 = discounts(*[x or 0 for x in n2]), discounts(*of[:4])
     back = (d1[0] * of[0] + d1[1] * of[1] + d1[2] * of[4]) / of[5] if of[5] else 1.0
-    return Model(folder, shards, hot, n, of[6], d2, d1, of[5], back)
+    return Model(folder, shards, hot, n, of[6], d2, d1, of[5], back, {k: _bits(x, shards) for k, x in written.items()})
+
+
+def _bits(places: list[int], n: int) -> np.ndarray:
+    out = np.zeros(n, bool)
+    out[places] = True
+    return np.packbits(out)
 
 
 # --- scoring --------------------------------------------------------------------
@@ -332,19 +348,19 @@ class Reader:
     def __init__(self, model: Model):
         self.m, self.maps = model, {}
 
-    def file(self, name: str) -> np.ndarray:
+    def file(self, kind: str, shard: int) -> np.ndarray:
+        """The file of a shard; empty if nothing was counted there. One that was written and is gone raises."""
+        name = f"{kind}-{shard}"
         if name not in self.maps:
-            try:
-                self.maps[name] = mapped(f"{self.m.folder}/{name}")
-            except FileNotFoundError:  # nothing was counted in this shard
-                self.maps[name] = np.zeros(0, np.uint8)
+            there = self.m.written[kind][shard >> 3] >> (7 - (shard & 7)) & 1
+            self.maps[name] = mapped(f"{self.m.folder}/{name}") if there else np.zeros(0, np.uint8)
         return self.maps[name]
 
     def word_rows(self, words: np.ndarray) -> np.ndarray:
         """Rows of ascending words; zeros where unknown."""
         out = np.zeros(len(words), _WORD_FIELDS)
         for s, lo, hi in _cuts(shard_of(words, self.m.shards)):
-            rows = self.file(f"words-{s}").view(_WORD_FIELDS)
+            rows = self.file("words", s).view(_WORD_FIELDS)
             if len(rows):
                 at = np.minimum(np.searchsorted(rows["word"], words[lo:hi]), len(rows) - 1)
                 out[lo:hi] = np.where(rows["word"][at] == words[lo:hi], rows[at], out[lo:hi])
@@ -353,10 +369,11 @@ class Reader:
     def bigram_counts(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
         keys = bigram_keys(v, w)
         s = bigram_shards(v, keys, self.m.hot, self.m.shards)
-        order = np.argsort((s << U(48)) | (keys >> U(16)))
+        bits = 64 - max(1, (self.m.shards - 1).bit_length())
+        order = np.argsort((s << U(bits)) | (keys >> U(64 - bits)))
         out = np.zeros(len(keys), np.int64)
         for sh, lo, hi in _cuts(s[order]):
-            raw = self.file(f"bigrams-{sh}")
+            raw = self.file("bigrams", sh)
             n = len(raw) // 16
             if n:
                 known, count = raw[: 8 * n].view(U), raw[8 * n :].view("<i8")
@@ -390,7 +407,7 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
     rows = docs.drop(*names)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
-    fields = ("folder", "shards", "hot", "tokens", "words", "d2", "d1", "left_total", "back")
+    fields = ("folder", "shards", "hot", "tokens", "words", "d2", "d1", "left_total", "back", "written")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Model(**dict(zip(fields, shared.value))))
