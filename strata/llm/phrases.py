@@ -8,14 +8,19 @@ marginals of these: one ROLLUP over the lead columns sums the windows by ever
 shorter prefixes, down to the words of each language. No phrase length is
 exploded by itself.
 
-A phrase that is frequent enough holds only pairs of neighbours that are. So
-pieces are first cut between two words whose pair can't be: tasks add up pairs
-in hashed buckets, and a pair whose whole bucket stays below the limit is
-rare. Buckets hold all pairs of a hash, so no frequent pair is ever cut, and
-every word, rare or not, still starts its window. There is a bucket for
-about every second pair, from 2 ** 16 up to 2 ** 28: a bitmap of 32 MB at most,
-broadcast. Beyond some 50 GB of text buckets fill up, fewer pieces are cut and
-more distinct windows are shuffled; counts stay exact at every size.
+A window is padded from where it cannot be frequent any more: a phrase that is
+frequent enough holds only shorter phrases that are. So tasks first add up
+words, pairs and then longer runs in hashed buckets, a bitmap for each length;
+what lies in a bucket below the limit is rare. A bucket holds all runs of a
+hash, so no frequent phrase is ever cut short. Rare words keep their windows,
+all of one nameless word, and count for their language. Windows that are left
+repeat, so tasks add them up before the shuffle.
+
+There is a bucket for about every second word, from 2 ** 16 up to 2 ** 28 (a
+quarter of that for runs of three words and more): bitmaps of 90 MB together
+at most, broadcast. Beyond some 50 GB of text buckets fill up, fewer windows
+are cut short and more distinct ones are shuffled; counts stay exact at every
+size.
 
 Null languages are ``und``, null texts have no words."""
 
@@ -50,19 +55,40 @@ _LOWER[65:91] += 32
 
 
 class _Words:
-    """Words of some texts: their places, and the pairs that stand side by side in a piece."""
+    """Words of some texts: their places, and the runs of words within a piece."""
 
     def __init__(self, data: np.ndarray, at: np.ndarray, langs: list[str]):
         self.starts, self.ends, self.of_row = word_spans(data, at, _SPACE)
-        hashes, _ = word_hashes(data, at, _SPACE)
-        n = len(hashes)
+        self.hashes, _ = word_hashes(data, at, _SPACE)
+        n = len(self.hashes)
         bounds = np.concatenate([[0], np.cumsum(_BOUND[data])])
-        together = bounds[self.starts[1:]] == bounds[self.ends[:-1]] if n else np.zeros(0, bool)
-        last = self.of_row[1:-1] - 1  # the last word of a row has no neighbour
-        together[last[(last >= 0) & (last < n - 1)]] = False
-        self.left = np.flatnonzero(together)
+        self.next = np.zeros(n, bool)  # the next word follows in the same piece
+        self.next[:-1] = bounds[self.starts[1:]] == bounds[self.ends[:-1]]
+        last = self.of_row[1:] - 1
+        self.next[last[np.diff(self.of_row) > 0]] = False
         salt = np.repeat(np.array([zlib.crc32(x.encode()) for x in langs], U), np.diff(self.of_row))
-        self.pairs = mix(mix(hashes[self.left] + U(0x9FB21C651E98DF25)) + hashes[self.left + 1] + (salt[self.left] << U(20)))
+        self.salted = mix(self.hashes + (salt << U(20)))
+
+    def runs(self, order: int, bits: dict[int, np.ndarray], power: dict[int, int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each length: the words at which a run of it starts that may be
+        frequent as far as the ``bits`` tell, and the buckets of these runs."""
+        at, value = np.arange(len(self.hashes)), self.salted
+        alive = None
+        for k in range(1, order + 1):
+            if k > 1:
+                # both runs shorter by one word are there, and in one piece
+                more = alive[at] & self.next[at + k - 2]
+                at, value = at[more], value[more]
+                more = alive[at + 1]
+                at, value = at[more], value[more]
+                value = mix(value + U(0x9FB21C651E98DF25)) + self.hashes[at + k - 1]
+            bucket = (mix(value) >> U(64 - power[k])).astype(np.int64)
+            if k in bits:
+                more = (bits[k][bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
+                at, value, bucket = at[more], value[more], bucket[more]
+            yield k, at, bucket
+            alive = np.zeros(len(self.hashes) + 1, bool)
+            alive[at] = True
 
 
 def _each(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, _Words]]:
@@ -74,107 +100,123 @@ def _each(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         yield lo, hi, here, of, _Words(here, of, langs[lo:hi])
 
 
-def frequent_buckets(texts: DataFrame, least: int, power: int) -> np.ndarray:
-    """A bit for each of 2 ** power buckets: whether its pairs occur ``least`` times together."""
+def frequent_buckets(texts: DataFrame, least: int, lengths: range, known: dict[int, np.ndarray], power: dict[int, int]) -> dict[int, np.ndarray]:
+    """For each of ``lengths`` a bit for each bucket: whether runs of so many
+    words fall into it ``least`` times or more. ``known``: the bits of shorter runs."""
     kind = "<u4" if least > 255 else "u1"  # no count beyond the limit matters
+    shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = {k: [] for k in lengths}, 0
 
         def send():
-            bucket, n = np.unique(np.concatenate(held), return_counts=True)
-            n = np.minimum(n, least).astype(kind)
-            segment = bucket >> SEGMENT
-            found, first = np.unique(segment, return_index=True)
-            for s, a, z in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(bucket)]):
-                low = (bucket[a:z] & (2**SEGMENT - 1)).astype("<u2")
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([low.tobytes()], pa.binary()), pa.array([n[a:z].tobytes()], pa.binary())], names=["segment", "low", "n"])
+            for k, buckets in held.items():
+                bucket, n = np.unique(np.concatenate(buckets), return_counts=True)
+                n = np.minimum(n, least).astype(kind)
+                found, first = np.unique(bucket >> SEGMENT, return_index=True)
+                for s, a, z in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(bucket)]):
+                    low = (bucket[a:z] & (2**SEGMENT - 1)).astype("<u2")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k], pa.int32()), pa.array([s], pa.int32()), pa.array([low.tobytes()], pa.binary()), pa.array([n[a:z].tobytes()], pa.binary())],
+                        names=["k", "segment", "low", "n"],
+                    )
 
         for b in batches:
             for *_, words in _each(b):
-                held.append((words.pairs >> U(64 - power)).astype(np.int64))
-                size += len(held[-1])
+                for k, _, bucket in words.runs(lengths[-1], shared.value, power):
+                    if k in held:
+                        held[k].append(bucket)
+                        size += len(bucket)
                 if size >= GATHER:
                     yield from send()
-                    held, size = [], 0
+                    held, size = {k: [] for k in lengths}, 0
         if size:
             yield from send()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, sums = None, None
+        place, sums = None, None
 
         def done():
             bits = np.packbits(sums >= least).tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([bits], pa.binary())], names=["segment", "bits"])
+            return pa.RecordBatch.from_arrays([pa.array([place[0]], pa.int32()), pa.array([place[1]], pa.int32()), pa.array([bits], pa.binary())], names=["k", "segment", "bits"])
 
         for b in batches:
-            for s, low, n in zip(*[c.to_pylist() for c in b.columns]):
-                if s != segment:
+            for k, s, low, n in zip(*[c.to_pylist() for c in b.columns]):
+                if (k, s) != place:
                     if sums is not None:
                         yield done()
-                    segment, sums = s, np.zeros(2**SEGMENT, np.int64)
+                    place, sums = (k, s), np.zeros(2**SEGMENT, np.int64)
                 sums[np.frombuffer(low, "<u2")] += np.frombuffer(n, kind)  # a bucket stands once in a row
         if sums is not None:
             yield done()
 
-    sent = texts.mapInArrow(count, "segment int, low binary, n binary")
-    rows = sent.repartition("segment").sortWithinPartitions("segment").mapInArrow(add, "segment int, bits binary").collect()
-    out = np.zeros(2**power // 8, np.uint8)  # at most 32 MB
+    sent = texts.mapInArrow(count, "k int, segment int, low binary, n binary")
+    rows = sent.repartition("k", "segment").sortWithinPartitions("k", "segment").mapInArrow(add, "k int, segment int, bits binary").collect()
+    out = {k: np.zeros(2 ** power[k] // 8, np.uint8) for k in lengths}  # of bounded size
     for r in rows:
-        out[r.segment << (SEGMENT - 3) : (r.segment + 1) << (SEGMENT - 3)] = np.frombuffer(r.bits, np.uint8)
+        out[r.k][r.segment << (SEGMENT - 3) : (r.segment + 1) << (SEGMENT - 3)] = np.frombuffer(r.bits, np.uint8)
     return out
 
 
-def cut_pieces(texts: DataFrame, frequent: np.ndarray, power: int) -> DataFrame:
-    """``lang`` and ``pieces``: the lower-cased words of each text, joined by a
-    space where their pair may be frequent and by a line end elsewhere."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+def cut_pieces(texts: DataFrame, bits: dict[int, np.ndarray], power: dict[int, int], order: int = ORDER) -> DataFrame:
+    """``lang`` and ``pieces``: the lower-cased words of each text. Before each
+    stands a digit, how many words its window holds (0: the word itself is
+    rare, and left out); a space follows if that is two or more, else a line end."""
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for b in batches:
             for lo, hi, data, at, words in _each(b):
-                bucket = (words.pairs >> U(64 - power)).astype(np.int64)
-                linked = np.zeros(len(words.starts), bool)
-                linked[words.left] = (bits[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
-                out, keep = _LOWER[data], ~_SPACE[data]
-                inner = np.ones(len(words.starts), bool)  # another word of the row follows
-                inner[words.of_row[1:][np.diff(words.of_row) > 0] - 1] = False
-                gap = words.ends[inner]
-                out[gap] = np.where(linked[inner], 0x20, 0x0A)
-                keep[gap] = True
-                ends = np.concatenate([[0], np.cumsum(keep)])[at].astype("<i4")
-                text = pa.StringArray.from_buffers(hi - lo, pa.py_buffer(ends.tobytes()), pa.py_buffer(out[keep].tobytes()))
+                n = len(words.starts)
+                extent = np.zeros(n, np.int64)
+                for k, held, _ in words.runs(order, shared.value, power):
+                    extent[held] = k
+                size = np.where(extent > 0, words.ends - words.starts, 0)
+                begin = np.concatenate([[0], np.cumsum(size + 2)])
+                out = np.empty(int(begin[-1]), np.uint8)
+                out[begin[:-1]] = 0x30 + extent
+                out[begin[1:] - 1] = np.where(extent > 1, 0x20, 0x0A)
+                within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                out[within + np.repeat(begin[:-1] + 1, size)] = _LOWER[data[within + np.repeat(words.starts, size)]]
+                ends = begin[words.of_row].astype("<i4")
+                text = pa.StringArray.from_buffers(hi - lo, pa.py_buffer(ends.tobytes()), pa.py_buffer(out.tobytes()))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), text], names=["lang", "pieces"])
 
     return texts.mapInArrow(cut, "lang string, pieces string")
 
 
 def windows(pieces: DataFrame, order: int = ORDER) -> DataFrame:
-    """``lang, w1, w2, ...``: the lead columns of every word, null past the end of its piece."""
-    words = pieces.select("lang", F.explode(F.split("pieces", "\n")).alias("p")).filter("p <> ''").select("lang", F.split("p", " ").alias("w"))
+    """``lang, w1, w2, ...``: the lead columns of every word, null past the end of its window."""
+    words = pieces.select("lang", F.explode(F.split("pieces", "\n")).alias("p")).filter("p <> ''").select("lang", F.split("p", " ").alias("x"))
+    words = words.selectExpr("lang", "transform(x, y -> int(substr(y, 1, 1))) AS e", "transform(x, y -> substr(y, 2)) AS w")
     leads = ", ".join(f"slice(w, {k}, size(w))" for k in range(1, order + 1))
-    return words.selectExpr("lang", f"inline(arrays_zip({leads})) AS ({', '.join(f'w{k}' for k in range(1, order + 1))})")
+    leads = words.selectExpr("lang", f"inline(arrays_zip(e, {leads})) AS (e, {', '.join(f'w{k}' for k in range(1, order + 1))})")
+    return leads.selectExpr("lang", "w1", *[f"if(e >= {k}, w{k}, null) AS w{k}" for k in range(2, order + 1)])
 
 
 def phrase_counts(docs: DataFrame, least: int = 100, order: int = ORDER, lang: str = "lang", text: str = "text") -> DataFrame:
     """``lang``, ``words`` (their number), ``phrase`` and ``f``: every phrase of
     1 to ``order`` words that occurs ``least`` times in its language or more,
     and all words of the language (``words`` 0, ``phrase`` empty)."""
-    spark = docs.sparkSession
-    bound_batches(spark)
+    if not 2 <= order <= 9:
+        raise ValueError("order must be from 2 to 9")
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    power = min(max(int(size / 12).bit_length(), BUCKETS[0]), BUCKETS[1])
+    most = min(max(int(size / 12).bit_length(), BUCKETS[0]), BUCKETS[1])
+    power = {k: most if k < 3 else max(most - 2, BUCKETS[0]) for k in range(1, order + 1)}
     columns = [f"w{k}" for k in range(1, order + 1)]
-    cut = cut_pieces(texts, frequent_buckets(texts, least, power), power)
+    bits = frequent_buckets(texts, least, range(1, 3), {}, power)
+    if order > 2:
+        bits |= frequent_buckets(texts, least, range(3, order + 1), bits, power)
+    cut = cut_pieces(texts, bits, power, order)
     longest = windows(cut, order).groupBy("lang", *columns).agg(F.count(F.lit(1)).alias("c"))
     sums = longest.rollup("lang", *columns).agg(F.sum("c").alias("f"), F.grouping_id().alias("gid"))
     # all but the first k lead columns summed away: gid has the last bits set
     level = F.lit(None).cast("int")
     for k in range(order + 1):
         here = F.col("gid") == 2 ** (order - k) - 1
-        level = F.when(here & F.col(columns[k - 1]).isNotNull() if k else here, k).otherwise(level)
+        level = F.when(here & (F.col(columns[k - 1]) != "") if k else here, k).otherwise(level)  # neither padding nor rare words
     sums = sums.select("lang", level.alias("words"), F.concat_ws(" ", *columns).alias("phrase"), "f")
     return sums.filter((F.col("words") == 0) | (F.col("f") >= least)).filter("words is not null")
 

@@ -78,15 +78,17 @@ def test_counts_of_all_lengths(spark):
     assert got == want
 
 
-def test_rare_pairs_cut_pieces_and_lose_nothing(spark):
-    """With a bucket for many pairs some rare pairs stay together; frequent ones always do."""
-    rows = [(None, f"alpha beta r{i} alpha beta gamma s{i} t{i}") for i in range(50)]
+def test_windows_end_where_they_get_rare(spark):
+    """With few buckets some rare runs stay; frequent ones always do, and every word has its window."""
+    rows = [(None, f"alpha Beta r{i} alpha beta gamma s{i}, t{i} delta") for i in range(50)]
     docs = spark.createDataFrame(rows, "lang string, text string").select(F.lit("und").alias("lang"), "text")
-    bits = phrases.frequent_buckets(docs, 50, 16)
-    for r in phrases.cut_pieces(docs, bits, 16).collect():
-        assert r.pieces.count("alpha beta") == 2 and "beta gamma" in r.pieces and r.pieces.count("\n") >= 3
-        assert len(r.pieces.split()) == 8
+    power = dict.fromkeys(range(1, 6), 16)
+    bits = phrases.frequent_buckets(docs, 50, range(1, 3), {}, power)
+    bits |= phrases.frequent_buckets(docs, 50, range(3, 6), bits, power)
+    for r in phrases.cut_pieces(docs, bits, power).collect():
+        assert r.pieces == "2alpha 1beta\n0\n3alpha 2beta 1gamma\n0\n0\n1delta\n"
     check(spark, rows, 50, 10)
+    check(spark, rows, 50, 10, order=3)
 
 
 def test_scores_beyond_64_bits(spark, monkeypatch):
@@ -106,14 +108,14 @@ def test_odd_rows(spark, messy, empty):
     odd = [(None, None, None), (1, "", None), (2, "... ,,, \n", None), (3, "word", None)]
     assert phrases.collocations(docs_of(spark, odd), 1).count() == 0
     rows = [(None, r.text) for r in messy.select("text").collect()]
-    got = phrases.collocations(messy, 2, 20).collect()
-    assert {tuple(r) for r in got} == brute([(None, t) for _, t in rows], 2, 20)
+    got = phrases.collocations(messy, 3, 20).collect()
+    assert {tuple(r) for r in got} == brute(rows, 3, 20) and got
 
 
 def test_windows_are_padded_and_rolled_up(spark):
-    pieces = spark.createDataFrame([("en", "a b c\n\nd\n")], "lang string, pieces string")
-    got = {tuple(r)[1:] for r in phrases.windows(pieces, 3).collect()}
-    assert got == {("a", "b", "c"), ("b", "c", None), ("c", None, None), ("d", None, None)}
+    pieces = spark.createDataFrame([("en", "3a 2b 1c\n0\n1d\n"), ("en", "")], "lang string, pieces string")
+    got = [tuple(r)[1:] for r in phrases.windows(pieces, 3).collect()]
+    assert len(got) == 5 and set(got) == {("", None, None), ("a", "b", "c"), ("b", "c", None), ("c", None, None), ("d", None, None)}
     docs = spark.createDataFrame([("en", "a b")], "lang string, text string")
     plan = phrases.phrase_counts(docs, 1)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Expand [") == 1 and "spark_grouping_id" in plan
