@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .numeric import col
 
-# Date patterns tried in this order (day-first wins when ambiguous).
+# Date patterns tried in this order (day-first wins where nothing else decides).
 DATE_FORMATS: tuple[str, ...] = ("yyyy-MM-dd", "dd-MM-yyyy", "MM-dd-yyyy", "dd/MM/yyyy", "MM/dd/yyyy", "M/d/yyyy")
 
 # Season of each month.
@@ -34,6 +34,34 @@ def parse_date(c: str | Column, formats: Sequence[str] | str | None = None) -> C
     return F.coalesce(*[F.try_to_date(s, f) for f in fmts])
 
 
+def _readings(c: str | Column, formats: Sequence[str]) -> list[Column]:
+    s = F.trim(col(c).cast("string"))
+    return [F.try_to_date(s, f) for f in formats]
+
+
+def date_votes(df: DataFrame, column: str, formats: Sequence[str] | None = None) -> DataFrame:
+    """One row, ``_votes``: for each pattern, the number of values it reads
+    that have one reading only. Patterns that read a value as different dates
+    leave it out; 12/25/2010 speaks for month-first, 05/02/2010 for none. One
+    aggregate over the column, no sampling."""
+    read = _readings(column, tuple(formats or DATE_FORMATS))
+    sure = F.least(*read) == F.greatest(*read) if len(read) > 1 else read[0].isNotNull()
+    return df.agg(F.array(*[F.count_if(sure & r.isNotNull()) for r in read]).alias("_votes"))
+
+
+def parse_date_voted(c: str | Column, formats: Sequence[str] | None = None, votes: str = "_votes") -> Column:
+    """String -> date by the pattern that most values of the column speak for,
+    of those that can read this one (``date_votes``; ties go by the order of
+    the patterns); unparseable -> null. So an ambiguous text is read as the
+    rest of its column is, and a column of several formats parses completely."""
+    read = _readings(c, tuple(formats or DATE_FORMATS))
+    ranked = [
+        F.when(r.isNotNull(), F.struct(F.col(votes)[i].alias("n"), F.lit(-i).alias("place"), r.alias("date")))
+        for i, r in enumerate(read)
+    ]
+    return F.array_max(F.array(*ranked))["date"]
+
+
 def season(month: Column) -> Column:
     e = None
     for name in SEASON_ORDER[:-1]:

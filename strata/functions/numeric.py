@@ -72,10 +72,14 @@ def publish(df):
 
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation over the complete pairs; null (not an ANSI divide
-    error) when either side has zero variance or there are fewer than two."""
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
+    error) when either side has zero variance or there are fewer than two.
+
+    One co-moment state holds the counts, means and moments of the complete
+    pairs (``regr_r2``, null for a constant x and 1 for a constant y); the
+    covariance gives the sign. Both leave incomplete pairs out by themselves."""
+    r2, cov = F.regr_r2(y, x), F.covar_samp(x, y)
+    size = F.sqrt(F.least(r2, F.lit(1.0)))
+    return F.when(r2.isNotNull() & ~((cov == 0) & (r2 == 1)), F.signum(cov) * size)
 
 
 def cents(c: str, scale: int = 2) -> Column:

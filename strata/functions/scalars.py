@@ -5,8 +5,12 @@ as literals; here the plan stays one lazy job."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -21,3 +25,15 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     grouping); of anything else one row counts, which is what bounds the
     broadcast (the optimizer drops the limit over a global aggregate)."""
     return df.crossJoin(F.broadcast(one_row.limit(1)))
+
+
+def long_table(parts: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Tables of unlike columns as one: for each (table, key columns) a row for
+    each of its numbers: Section, Row_Key (keys joined by "|"), Metric, Value."""
+    out = []
+    for section, (df, keys) in parts.items():
+        metrics = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in keys]
+        cells = F.array(*[F.struct(F.lit(m).alias("Metric"), F.col(m).cast("double").alias("Value")) for m in metrics])
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+        out.append(df.select(F.lit(section).alias("Section"), key.alias("Row_Key"), F.inline(cells)))
+    return reduce(DataFrame.unionByName, out)

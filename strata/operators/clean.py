@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..functions.dates import parse_date
+from ..functions.dates import date_votes, parse_date, parse_date_voted
 from ..functions.numeric import exact_avg, plain_avg
 from ..functions.ranking import exact_quantiles, quantile_targets
 from ..functions.scalars import with_scalars
@@ -105,11 +105,22 @@ def parse_dates(
     out: str | None = None,
     formats: Sequence[str] | str | None = None,
     parts: bool = True,
+    votes: DataFrame | None = None,
 ) -> DataFrame:
-    """String column -> date, every row trying each pattern (no sampling, no
-    action); unparseable text becomes null. Adds Year, Month, Day, DayOfWeek."""
+    """String column -> date; unparseable text becomes null. Adds Year, Month,
+    Day, DayOfWeek.
+
+    One given pattern is used as it is. Of several (by default all known ones)
+    every row takes the one that the unambiguous values of the whole column
+    speak for most, among those that can read it; the votes are one row,
+    broadcast. ``votes`` takes them from elsewhere (``date_votes``)."""
     target = out or column
-    res = df.withColumn(target, parse_date(column, formats))
+    if isinstance(formats, str) or (formats is not None and len(formats) == 1):
+        res = df.withColumn(target, parse_date(column, formats))
+    else:
+        names = [*df.columns, *([target] if target not in df.columns else [])]
+        voted = with_scalars(df, votes if votes is not None else date_votes(df, column, formats))
+        res = voted.withColumn(target, parse_date_voted(column, formats)).select(*names)
     if parts:
         d = F.col(target)
         res = res.withColumns(
@@ -143,10 +154,13 @@ def outliers_zscore(df: DataFrame, column: str, threshold: float = 3.0, spec: Pa
     return with_scalars(df, stats).withColumn(f"{column}_outlier", flag).select(*df.columns, f"{column}_outlier")
 
 
-def detect_outliers(df: DataFrame, column: str, method: str = "iqr", threshold: float | None = None, spec: PanelSpec | None = None) -> DataFrame:
-    """``outliers_iqr`` or ``outliers_zscore`` by name, with their default thresholds."""
+def detect_outliers(
+    df: DataFrame, column: str, method: str = "iqr", threshold: float | None = None, spec: PanelSpec | None = None, exact: bool = True
+) -> DataFrame:
+    """``outliers_iqr`` or ``outliers_zscore`` by name, with their default
+    thresholds. ``exact=False`` takes approximate quartiles (D9)."""
     if method == "iqr":
-        return outliers_iqr(df, column, 1.5 if threshold is None else threshold)
+        return outliers_iqr(df, column, 1.5 if threshold is None else threshold, exact=exact)
     if method == "zscore":
         return outliers_zscore(df, column, 3.0 if threshold is None else threshold, spec)
     raise ValueError("method must be 'iqr' or 'zscore'")
@@ -171,11 +185,15 @@ def remove_outliers(df: DataFrame, column: str, lower: float = 0.01, upper: floa
     return kept.select(*df.columns)
 
 
-def handle_outliers(df: DataFrame, column: str, method: str = "cap", lower: float = 0.01, upper: float = 0.99) -> DataFrame:
+def handle_outliers(
+    df: DataFrame, column: str, method: str = "cap", lower: float = 0.01, upper: float = 0.99, exact: bool = True
+) -> DataFrame:
+    """``cap_outliers`` or ``remove_outliers`` by name; ``exact=False`` takes
+    approximate quantiles (D9)."""
     if method == "cap":
-        return cap_outliers(df, column, lower, upper)
+        return cap_outliers(df, column, lower, upper, exact)
     if method == "remove":
-        return remove_outliers(df, column, lower, upper)
+        return remove_outliers(df, column, lower, upper, exact)
     raise ValueError("method must be 'cap' or 'remove'")
 
 
@@ -190,10 +208,10 @@ def clean_panel(
     date_column: str = "Date",
     date_out: str | None = None,
 ) -> DataFrame:
-    """Parse dates -> mean-impute the measure and covariates -> cap the
-    measure at p1/p99 -> drop exact duplicates (the reference's order, D24).
+    """Parse dates, mean-impute the measure and covariates, cap the measure at
+    p1/p99, drop exact duplicates (as the reference does, D24).
     Reports are separate operators (``null_profile``, ``validate_report``)."""
-    parsed = parse_dates(df, date_column, date_out)
-    filled = impute(parsed, "mean", [spec.value, *spec.covariates], spec)
+    # the statistics read no date, so dates are parsed behind them
+    filled = impute(df, "mean", [spec.value, *spec.covariates], spec)
     capped = cap_outliers(filled, spec.value)
-    return dedupe(capped)
+    return dedupe(parse_dates(capped, date_column, date_out, votes=date_votes(df, date_column)))

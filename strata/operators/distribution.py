@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import season_ordinal
 from ..functions.numeric import exact_avg, exact_sum, money, r2, safe_corr
 from ..functions.ranking import exact_quantiles, global_rank
-from ..functions.scalars import with_scalars
+from ..functions.scalars import long_table, with_scalars
 from ..spec import DEFAULT, PanelSpec
 from .rollup import calendar_keys, top
 
@@ -67,12 +67,15 @@ def histogram(df: DataFrame, spec: PanelSpec = DEFAULT, bins: int = 50, column:
     ).orderBy("Bin")
 
 
-def box_summary(df: DataFrame, spec: PanelSpec = DEFAULT, column: str | None = None, whisker: float = 1.5) -> DataFrame:
-    """One row: count, min, exact quartiles, IQR, fences, whiskers (most
-    extreme values inside the fences) and the number of points outside."""
+def box_summary(
+    df: DataFrame, spec: PanelSpec = DEFAULT, column: str | None = None, whisker: float = 1.5, exact: bool = True
+) -> DataFrame:
+    """One row: count, min, quartiles, IQR, fences, whiskers (most extreme
+    values inside the fences) and the number of points outside. Quartiles are
+    exact, or with ``exact=False`` approximate in one pass (D9)."""
     x = _x(df, spec, column)
     vals = df.select(x.alias("_v")).where(F.col("_v").isNotNull())
-    q = exact_quantiles(vals, "_v", [0.25, 0.5, 0.75], ["_q1", "_q2", "_q3"])
+    q = exact_quantiles(vals, "_v", [0.25, 0.5, 0.75], ["_q1", "_q2", "_q3"], exact=exact)
     q = q.withColumn("_iqr", F.col("_q3") - F.col("_q1")).withColumns(
         {"_lf": F.col("_q1") - whisker * F.col("_iqr"), "_uf": F.col("_q3") + whisker * F.col("_iqr")}
     )
@@ -113,7 +116,11 @@ def correlation_matrix(
     cols = list(columns or [spec.value, *spec.covariates])
     xs = {c: _x(df, spec, c) for c in cols}
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = df.agg(*[F.round(safe_corr(xs[a], xs[b]), digits).alias(f"_c{k}") for k, (a, b) in enumerate(pairs)])
+
+    def cell(a: str, b: str) -> Column:
+        return F.when(F.stddev_samp(xs[a]) > 0, 1.0) if a == b else F.round(safe_corr(xs[a], xs[b]), digits)
+
+    row = df.agg(*[cell(a, b).alias(f"_c{k}") for k, (a, b) in enumerate(pairs)])
     cells = []
     for k, (a, b) in enumerate(pairs):
         cells.append(F.struct(F.lit(a).alias("X"), F.lit(b).alias("Y"), F.col(f"_c{k}").alias("Corr")))
@@ -156,6 +163,19 @@ def peak_flag_periods(df: DataFrame, spec: PanelSpec = DEFAULT, n: int = 10) ->
     return top(g, "Total_Sales", n, tie=[spec.time])
 
 
+# Key columns of the charts that are not by entity.
+CHART_KEYS = {
+    "seasons": ("Season",), "months": ("Month",), "flag_impact": (), "histogram": ("Bin",), "box": (),
+    "correlation": ("X", "Y"), "years": ("Year",),
+}
+
+
+def chart_table(df: DataFrame, spec: PanelSpec = DEFAULT, top_n: int = 10) -> DataFrame:
+    """The data of all charts as one table: Section, Row_Key, Metric, Value."""
+    keys = {"series": (spec.time,), **CHART_KEYS}
+    return long_table({n: (part, keys.get(n, (spec.entity,))) for n, part in chart_data(df, spec, top_n).items()})
+
+
 def chart_data(df: DataFrame, spec: PanelSpec = DEFAULT, top_n: int = 10) -> dict[str, DataFrame]:
     """The data behind every chart of the reference's dashboard, as lazy
     DataFrames over one input (cache ``df`` first when evaluating several)."""

@@ -108,12 +108,16 @@ def rolling_columns(
     windows: Sequence[int] = (4, 12, 26),
     avg_name: str = "Rolling_Avg_{k}W",
     sum_name: str | None = "Rolling_Sum_{k}W",
+    min_rows: int = 1,
 ) -> dict[str, Column]:
     """Trailing k-row average and sum (partial windows count, as in the
-    reference); rounded to 2. The sum is a true sum (ledger D1)."""
+    reference); rounded to 2. The sum is a true sum (ledger D1). Null where the
+    window holds fewer than ``min_rows`` values of the measure (D13)."""
     out: dict[str, Column] = {}
     for k in windows:
         s, n = _trailing(spec, k)
+        if min_rows > 1:
+            s = F.when(n >= min_rows, s)
         out[avg_name.format(k=k)] = r2(F.try_divide(s.cast("double"), n))
         if sum_name:
             out[sum_name.format(k=k)] = r2(s)
@@ -121,12 +125,17 @@ def rolling_columns(
 
 
 def rolling_metrics(
-    df: DataFrame, spec: PanelSpec = DEFAULT, windows: Sequence[int] = (4, 12, 26), split_block: Column | None = None
+    df: DataFrame,
+    spec: PanelSpec = DEFAULT,
+    windows: Sequence[int] = (4, 12, 26),
+    split_block: Column | None = None,
+    min_rows: int = 1,
 ) -> DataFrame:
-    """Trailing averages and sums; ``split_block`` as in ``feature_set``."""
+    """Trailing averages and sums, null below ``min_rows`` values;
+    ``split_block`` as in ``feature_set``."""
     if split_block is not None:
-        return split_window_features(df, spec, windows, (), split_block)
-    return df.withColumns(rolling_columns(spec, windows))
+        return split_window_features(df, spec, windows, (), split_block, min_rows)
+    return df.withColumns(rolling_columns(spec, windows, min_rows=min_rows))
 
 
 def lag_columns(spec: PanelSpec, lags: Sequence[int] = (1, 4, 52), name: str = "Sales_Lag_{k}W") -> dict[str, Column]:
@@ -180,20 +189,33 @@ def cumulative_columns(spec: PanelSpec, per_year: bool = True) -> dict[str, Colu
     }
 
 
-def cumulative_metrics(df: DataFrame, spec: PanelSpec = DEFAULT, per_year: bool = True) -> DataFrame:
-    """Running (year-to-date) sum and average per entity."""
-    return df.withColumns(cumulative_columns(spec, per_year))
+def cumulative_metrics(
+    df: DataFrame, spec: PanelSpec = DEFAULT, per_year: bool = True, split_block: Column | None = None
+) -> DataFrame:
+    """Running (year-to-date) sum and average per entity; over all years with
+    ``per_year=False``. ``split_block`` (an ascending function of time) adds
+    the totals of earlier blocks to sums within a block, so that no task holds
+    a whole entity; year-to-date windows are split by year already."""
+    if per_year or split_block is None:
+        return df.withColumns(cumulative_columns(spec, per_year))
+    rows = _running_totals(df, spec, split_block)
+    total = F.when(F.col("_cc") > 0, F.col("_cs"))
+    mean = F.try_divide(total.cast("double"), F.col("_cc"))
+    return rows.select(*df.columns, r2(total).alias("Cumulative_Sales"), r2(mean).alias("Cumulative_Avg_Sales"))
 
 
-def quartile_bounds(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """One row: exact q1, q2, q3 of the measure."""
-    return exact_quantiles(df, money(spec.value, spec), [0.25, 0.5, 0.75], ["_q1", "_q2", "_q3"])
+def quartile_bounds(df: DataFrame, spec: PanelSpec = DEFAULT, exact: bool = True) -> DataFrame:
+    """One row: q1, q2, q3 of the measure, exact or (``exact=False``, D9) approximate in one pass."""
+    return exact_quantiles(df, money(spec.value, spec), [0.25, 0.5, 0.75], ["_q1", "_q2", "_q3"], exact=exact)
 
 
-def value_quartiles(df: DataFrame, spec: PanelSpec = DEFAULT, bounds: DataFrame | None = None) -> DataFrame:
+def value_quartiles(
+    df: DataFrame, spec: PanelSpec = DEFAULT, bounds: DataFrame | None = None, exact: bool = True
+) -> DataFrame:
     """Sales_Category (Low .. High) and Sales_Quartile (1..4) by the global
-    quartiles of the measure; a null measure gets nulls (ledger D10)."""
-    b = bounds if bounds is not None else quartile_bounds(df, spec)
+    quartiles of the measure; a null measure gets nulls (ledger D10).
+    ``exact=False`` takes approximate quartiles (D9)."""
+    b = bounds if bounds is not None else quartile_bounds(df, spec, exact)
     v = money(spec.value, spec).cast("double")
     q = F.when(v.isNull(), F.lit(None))
     for i, qc in enumerate(("_q1", "_q2", "_q3"), start=1):
@@ -242,28 +264,13 @@ def feature_set(
     return value_quartiles(feats, spec, quartile_bounds(df, spec))
 
 
-def split_window_features(
-    df: DataFrame,
-    spec: PanelSpec = DEFAULT,
-    windows: Sequence[int] = (4, 12, 26),
-    lags: Sequence[int] = (1, 4, 52),
-    block: Column | None = None,
-) -> DataFrame:
-    """Rolling sums / averages and lags without one task per entity, for a
-    panel where one entity may hold a large share of all rows.
-
-    1. Row numbers and running sums are computed inside (entity, time block)
-       windows (``block`` defaults to the year) and shifted by the totals of
-       the earlier blocks (a small per-block aggregate).
-    2. Every row is sent to the rows k positions later, for each needed k, and
-       one ``groupBy(entity, row)`` gathers them: each group holds at most
-       1 + |k| rows and the groups of one entity hash over all partitions;
-       the columns of a row travel in one of its copies.
-    Same columns and values as ``rolling_columns`` + ``lag_columns``."""
+def _running_totals(df: DataFrame, spec: PanelSpec, block: Column) -> DataFrame:
+    """``df`` plus row number ``_rn``, running sum ``_cs`` and running count
+    ``_cc`` of each entity, computed within (entity, ``block``) windows and
+    shifted by the totals of the earlier blocks."""
     ent = spec.entity
     m = money(spec.value, spec)
-    blk = block if block is not None else F.year(spec.time)
-    base = df.withColumn("_blk", blk)
+    base = df.withColumn("_blk", block)
     order = [F.col(c) for c in spec.order]
     inside = Window.partitionBy(ent, "_blk").orderBy(*order)
     run = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -288,13 +295,37 @@ def split_window_features(
     )
     blocks = blocks.withColumnsRenamed({ent: "_oe", "_blk": "_ob"})
     same = F.col(ent).eqNullSafe(F.col("_oe")) & F.col("_blk").eqNullSafe(F.col("_ob"))
-    rows = base.join(blocks, same).withColumns(
+    return base.join(blocks, same).withColumns(
         {
             "_rn": F.col("_rn") + F.col("_on"),
             "_cs": F.col("_cs") + F.col("_os"),
             "_cc": F.col("_cc") + F.col("_oc"),
         }
     )
+
+
+def split_window_features(
+    df: DataFrame,
+    spec: PanelSpec = DEFAULT,
+    windows: Sequence[int] = (4, 12, 26),
+    lags: Sequence[int] = (1, 4, 52),
+    block: Column | None = None,
+    min_rows: int = 1,
+) -> DataFrame:
+    """Rolling sums / averages and lags without one task per entity, for a
+    panel where one entity may hold a large share of all rows.
+
+    1. Row numbers and running sums are computed inside (entity, time block)
+       windows (``block`` defaults to the year) and shifted by the totals of
+       the earlier blocks (a small per-block aggregate).
+    2. Every row is sent to the rows k positions later, for each needed k, and
+       one ``groupBy(entity, row)`` gathers them: each group holds at most
+       1 + |k| rows and the groups of one entity hash over all partitions;
+       the columns of a row travel in one of its copies.
+    Same columns and values as ``rolling_columns`` + ``lag_columns``."""
+    ent = spec.entity
+    m = money(spec.value, spec)
+    rows = _running_totals(df, spec, block if block is not None else F.year(spec.time))
     # a double measure is summed row by row (see _trailing), so a window needs its k - 1 earlier values themselves
     double = spec.value_scale is None
     back = sorted({j for k in windows for j in range(1, k)}) if double else sorted(set(windows))
@@ -328,6 +359,8 @@ def split_window_features(
         else:
             n = F.col("_cc0") - F.coalesce(F.col(f"_cc{k}"), F.lit(0))
             s = F.when(n > 0, F.col("_cs0") - F.coalesce(F.col(f"_cs{k}"), F.lit(0)))
+        if min_rows > 1:
+            s = F.when(n >= min_rows, s)
         out[f"Rolling_Avg_{k}W"] = r2(F.try_divide(s.cast("double"), n))
         out[f"Rolling_Sum_{k}W"] = r2(s)
     for k in lags:

@@ -4,12 +4,13 @@ and top/bottom performers. Scalars that the reference collects to the driver
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..functions.numeric import exact_avg, exact_sum, growth_pct, money, r2, ratio_pct
-from ..functions.scalars import with_scalars
+from ..functions.periods import previous
+from ..functions.scalars import long_table, with_scalars
 from ..spec import DEFAULT, PanelSpec
 from .rollup import calendar_keys, flag_kpi, season_kpi, top
 
@@ -40,9 +41,10 @@ def revenue_by_year(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
 
 
 def mom_growth(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Monthly total, previous month's total and growth %."""
+    """Monthly total, the total of the month before (null where it has no rows)
+    and growth %."""
     m = df.groupBy(*calendar_keys(df, spec, ["Year", "Month"])).agg(exact_sum(spec.value, spec).alias("_t"))
-    prev = F.lag("_t", 1).over(Window.orderBy("Year", "Month"))  # one row per month: bounded
+    prev = previous("_t", F.col("Year") * 12 + F.col("Month"))  # one row per month: bounded
     return m.select(
         "Year",
         "Month",
@@ -140,6 +142,17 @@ def top_by_metric(
     return top(entity_metrics(df, spec), metric, n, ascending=bottom, tie=[spec.entity])
 
 
+# Key columns of the sections of the dashboard.
+DASHBOARD_KEYS = {"revenue": (), "revenue_by_year": ("Year",), "growth": ("Year", "Month"), "holiday_impact": (), "seasonal": ("Season",)}
+
+
+def dashboard_table(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
+    """The KPI set as one table: Section, Row_Key, Metric, Value (a row for
+    each number of each part of ``kpi_dashboard``)."""
+    parts = kpi_dashboard(df, spec)
+    return long_table({n: (part, DASHBOARD_KEYS.get(n, (spec.entity,))) for n, part in parts.items()})
+
+
 def kpi_dashboard(df: DataFrame, spec: PanelSpec = DEFAULT) -> dict[str, DataFrame]:
     """The KPI set as lazy DataFrames over one shared input; nothing runs until
     the caller acts on one of them (cache ``df`` first when using several)."""

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_avg, exact_sum, growth_pct, money, plain_avg, r2, ratio_pct
+from ..functions.periods import previous
 from ..functions.ranking import global_rank
 from .features import calendar_columns
 from ..spec import DEFAULT, PanelSpec
@@ -71,6 +72,43 @@ def rollup_time(
     )
 
 
+# The calendar groupings of ``rollup_calendar`` and their names.
+CALENDAR_SETS: dict[str, tuple[str, ...]] = {
+    "Month": ("Year", "Month", "MonthName"),
+    "Quarter": ("Year", "Quarter"),
+    "Year": ("Year",),
+    "Month of year": ("Month", "MonthName"),
+    "Quarter of year": ("Quarter",),
+}
+
+
+def rollup_calendar(df: DataFrame, spec: PanelSpec = DEFAULT, periods: Sequence[str] | None = None) -> DataFrame:
+    """Total, mean and row count of all calendar groupings together: months,
+    quarters and years, and months and quarters over all years. ``Period``
+    names the grouping; keys it does not use are null.
+
+    One scan and one shuffle by grouping sets, where ``rollup_time`` for each
+    period would read the input as many times."""
+    names = list(periods or CALENDAR_SETS)
+    unknown = set(names) - set(CALENDAR_SETS)
+    if unknown:
+        raise ValueError(f"periods must be of {list(CALENDAR_SETS)}")
+    keys = ["Year", "Quarter", "Month", "MonthName"]
+    rows = df.select(spec.value, *calendar_keys(df, spec, keys))
+    sets = [tuple(F.col(k) for k in CALENDAR_SETS[n]) for n in names]
+    g = rows.groupingSets(sets, *keys).agg(
+        F.grouping_id().alias("_gid"),
+        r2(exact_sum(spec.value, spec)).alias("Total_Sales"),
+        r2(exact_avg(spec.value, spec)).alias("Avg_Sales"),
+        F.count(F.lit(1)).alias("Total_Records"),
+    )
+    period = None
+    for n in names:  # a bit is set for each key left out
+        gid = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in CALENDAR_SETS[n])
+        period = F.when(F.col("_gid") == gid, n) if period is None else period.when(F.col("_gid") == gid, n)
+    return g.select(period.alias("Period"), *keys, "Total_Sales", "Avg_Sales", "Total_Records")
+
+
 def entity_performance(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     """Per entity: totals, extremes, weeks, covariate means, rank by total
     (``rank``: ties share a rank, the next rank skips) and the max-min range."""
@@ -115,14 +153,15 @@ def top_entities(df: DataFrame, spec: PanelSpec = DEFAULT, n: int = 10, bottom:
 def flag_impact(
     df: DataFrame, spec: PanelSpec = DEFAULT, labels: tuple[str, str] = ("Non-Holiday", "Holiday")
 ) -> DataFrame:
-    """Rows, total, mean, max and min by flag value, with a period label."""
+    """Rows, total, mean, max and min by flag value, with a period label (null
+    for rows without a flag)."""
     return df.groupBy(spec.flag).agg(
         F.count(F.lit(1)).alias("Total_Records"),
         r2(exact_sum(spec.value, spec)).alias("Total_Sales"),
         r2(exact_avg(spec.value, spec)).alias("Avg_Sales"),
         _vmax(spec).alias("Max_Sales"),
         _vmin(spec).alias("Min_Sales"),
-    ).withColumn("Period_Type", F.when(F.col(spec.flag) == 1, labels[1]).otherwise(labels[0]))
+    ).withColumn("Period_Type", F.when(F.col(spec.flag) == 1, labels[1]).when(F.col(spec.flag).isNotNull(), labels[0]))
 
 
 def flag_kpi(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
@@ -166,14 +205,14 @@ def recent_months(df: DataFrame, spec: PanelSpec = DEFAULT, n: int = 12) -> Data
 
 
 def yearly_trend(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Total, mean and rows by year, previous year's total and growth %."""
+    """Total, mean and rows by year, the total of the year before (null where
+    it has no rows) and growth %."""
     y = df.groupBy(*calendar_keys(df, spec, ["Year"])).agg(
         exact_sum(spec.value, spec).alias("_total"),
         r2(exact_avg(spec.value, spec)).alias("Avg_Weekly_Sales"),
         F.count(F.lit(1)).alias("Total_Weeks"),
     )
-    w = Window.orderBy("Year")  # one row per year: bounded
-    prev = F.lag("_total", 1).over(w)
+    prev = previous("_total", F.col("Year"))  # one row per year: bounded
     return y.select(
         "Year",
         r2(F.col("_total")).alias("Total_Sales"),

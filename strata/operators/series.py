@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..functions.numeric import exact_avg, exact_sum, money, r2, ratio_pct
+from ..functions.periods import previous
 from ..functions.scalars import with_scalars
 from ..spec import DEFAULT, PanelSpec
 from .features import entity_window, rolling_columns, split_window_features
@@ -30,8 +31,8 @@ SEASONALITY_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
-def ma_columns(spec: PanelSpec, windows: Sequence[int]) -> dict[str, Column]:
-    return rolling_columns(spec, windows, avg_name="MA_{k}W", sum_name=None)
+def ma_columns(spec: PanelSpec, windows: Sequence[int], min_rows: int = 1) -> dict[str, Column]:
+    return rolling_columns(spec, windows, avg_name="MA_{k}W", sum_name=None, min_rows=min_rows)
 
 
 def _split_lags(df: DataFrame, spec: PanelSpec, lags: Sequence[int], split_block: Column) -> DataFrame:
@@ -45,12 +46,14 @@ def moving_averages(
     spec: PanelSpec = DEFAULT,
     windows: Sequence[int] = (4, 8, 12, 26, 52),
     split_block: Column | None = None,
+    min_rows: int = 1,
 ) -> DataFrame:
-    """MA_kW: trailing k-row mean per entity, rounded to 2. ``split_block``
-    selects the split strategy for a dominant entity (same values)."""
+    """MA_kW: trailing k-row mean per entity, rounded to 2; null where the
+    window holds fewer than ``min_rows`` values (D13). ``split_block`` selects
+    the split strategy for a dominant entity (same values)."""
     if split_block is None:
-        return df.withColumns(ma_columns(spec, windows))
-    t = split_window_features(df, spec, windows, (), split_block)
+        return df.withColumns(ma_columns(spec, windows, min_rows))
+    t = split_window_features(df, spec, windows, (), split_block, min_rows)
     return t.select(*df.columns, *[F.col(f"Rolling_Avg_{k}W").alias(f"MA_{k}W") for k in windows])
 
 
@@ -129,13 +132,14 @@ def seasonality(df: DataFrame, spec: PanelSpec = DEFAULT, by: str = "Month") ->
 
 
 def yoy_month(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Monthly totals next to the same month one year earlier."""
+    """Monthly totals next to the same month one year earlier (null where that
+    month has no rows)."""
     m = df.groupBy(*calendar_keys(df, spec, ["Year", "Month", "MonthName"])).agg(
         exact_sum(spec.value, spec).alias("_t"),
         r2(exact_avg(spec.value, spec)).alias("Avg_Weekly_Sales"),
         F.count(F.lit(1)).alias("Week_Count"),
     )
-    prev = F.lag("_t", 1).over(Window.partitionBy("Month").orderBy("Year"))
+    prev = previous("_t", F.col("Year"), "Month")
     return m.select(
         "Year",
         "Month",
@@ -168,12 +172,24 @@ def _ma_avg(c: str) -> Column:
     return F.try_divide(F.sum(x).cast("double"), F.count(x))
 
 
-def _recent(df: DataFrame, spec: PanelSpec, recent: int) -> DataFrame:
+def last_rows(df: DataFrame, spec: PanelSpec, n: int, split_block: Column | None = None) -> DataFrame:
+    """The last ``n`` rows of every entity. With ``split_block`` (an ascending
+    function of time) in two stages: the last n of each (entity, block), then
+    the last n of what is left, at most n rows a block."""
+    order = [F.col(c).desc() for c in spec.order]
+    out = df
+    if split_block is not None:
+        inner = Window.partitionBy(spec.entity, "_blk").orderBy(*order)
+        out = out.withColumn("_blk", split_block).withColumn("_rn", F.row_number().over(inner)).where(F.col("_rn") <= n)
+    w = Window.partitionBy(spec.entity).orderBy(*order)
+    return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).select(*df.columns)
+
+
+def _recent(df: DataFrame, spec: PanelSpec, recent: int, split_block: Column | None) -> DataFrame:
     need = [k for k in (4, 12) if f"MA_{k}W" not in df.columns]
     if need:
-        df = moving_averages(df, spec, need)  # D15: add the averages it needs
-    w = Window.partitionBy(spec.entity).orderBy(*[F.col(c).desc() for c in spec.order])
-    last = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= recent)
+        df = moving_averages(df, spec, need, split_block)  # D15: add the averages it needs
+    last = last_rows(df, spec, recent, split_block)
     return last.groupBy(spec.entity).agg(
         exact_avg(spec.value, spec).alias("_av"),
         _ma_avg("MA_4W").alias("_a4"),
@@ -182,11 +198,14 @@ def _recent(df: DataFrame, spec: PanelSpec, recent: int) -> DataFrame:
     )
 
 
-def forecast_baseline(df: DataFrame, spec: PanelSpec = DEFAULT, recent: int = 12) -> DataFrame:
+def forecast_baseline(
+    df: DataFrame, spec: PanelSpec = DEFAULT, recent: int = 12, split_block: Column | None = None
+) -> DataFrame:
     """Per entity over its last ``recent`` rows: mean measure, mean MA_4W and
     MA_12W, and next-period forecast = mean of the two MA means. The
-    row_number filter is planned as a per-entity WindowGroupLimit."""
-    g = _recent(df, spec, recent)
+    row_number filter is planned as a per-entity WindowGroupLimit;
+    ``split_block`` keeps a dominant entity out of one task (``last_rows``)."""
+    g = _recent(df, spec, recent, split_block)
     return g.select(
         spec.entity,
         r2(F.col("_av")).alias("Recent_Avg_Sales"),
@@ -196,10 +215,11 @@ def forecast_baseline(df: DataFrame, spec: PanelSpec = DEFAULT, recent: int = 12
     )
 
 
-def trend_strength(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Per entity: rows in each trend state, total, and uptrend share %."""
+def trend_strength(df: DataFrame, spec: PanelSpec = DEFAULT, split_block: Column | None = None) -> DataFrame:
+    """Per entity: rows in each trend state, total, and uptrend share %.
+    ``split_block`` as in ``trend_signal``; the counts are added up by task."""
     if "Trend_Signal" not in df.columns:
-        df = trend_signal(df, spec)
+        df = trend_signal(df, spec, split_block=split_block)
     sig = F.col("Trend_Signal")
     up, down, flat = TREND_LABELS
     g = df.groupBy(spec.entity).agg(
@@ -211,9 +231,9 @@ def trend_strength(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     return g.withColumn("Uptrend_Pct", ratio_pct(F.col("Uptrend_Periods"), F.col("Total_Periods")))
 
 
-def trend_counts(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
+def trend_counts(df: DataFrame, spec: PanelSpec = DEFAULT, split_block: Column | None = None) -> DataFrame:
     if "Trend_Signal" not in df.columns:
-        df = trend_signal(df, spec)
+        df = trend_signal(df, spec, split_block=split_block)
     return df.groupBy(spec.entity, "Trend_Signal").agg(F.count(F.lit(1)).alias("Period_Count"))
 
 
@@ -231,12 +251,17 @@ def seasonal_index(df: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
 
 
 def forecast_horizon(
-    df: DataFrame, spec: PanelSpec = DEFAULT, horizon: int = 4, step_days: int = 7, recent: int = 12
+    df: DataFrame,
+    spec: PanelSpec = DEFAULT,
+    horizon: int = 4,
+    step_days: int = 7,
+    recent: int = 12,
+    split_block: Column | None = None,
 ) -> DataFrame:
     """``horizon`` future periods per entity: the flat baseline forecast
     scaled by the seasonal index of each target month. The index table has
     at most 12 rows, so it is broadcast."""
-    base = _recent(df, spec, recent).select(
+    base = _recent(df, spec, recent, split_block).select(
         spec.entity, ((F.col("_a4") + F.col("_a12")) / 2).alias("_base"), "_last"
     )
     idx = _month_index(df, spec).select(F.col("Month").alias("_m"), "_idx")

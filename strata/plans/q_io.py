@@ -6,10 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.features import rolling_metrics
 from ..operators.quality import preview
 from ..session import shared_dir
-from ..sources import load_csv, save
+from ..sources import load_csv, load_csv_checked, save, save_bucketed
 from ..sources.tables import load_weekly_sales
+from ..spec import PanelSpec
 from . import sql as S
 from .registry import panel, publish, register
 
@@ -90,3 +92,39 @@ def weekly_sales_load(spark, sf):
 def sample_rows(spark, sf):
     """A deterministic preview: chosen columns, non-null measure, ordered, first 20."""
     return publish(preview(panel(spark, sf), ["entity", "dt", "value"], order=["entity", "dt"], not_null=["value"], n=20))
+
+
+# A line is broken by a text in place of the number, a missing field or one too many.
+_LINES = """lines AS (SELECT entity, dt, value, concat(entity, ',', strftime(dt, '%Y-%m-%d'),
+    CASE WHEN entity % 5 = 0 AND month(dt) = 1 THEN ',n/a' WHEN entity % 5 = 1 AND month(dt) = 2 THEN ''
+         WHEN entity % 5 = 2 AND month(dt) = 3 THEN concat(',', value, ',more') ELSE concat(',', value) END) AS line,
+    entity % 5 < 3 AND month(dt) = entity % 5 + 1 AS broken FROM panel)"""
+
+
+@register(
+    "csv_rejects",
+    S.with_(S.PANEL, _LINES)
+    + "SELECT CASE WHEN NOT broken THEN CAST(entity AS VARCHAR) END AS entity, CASE WHEN NOT broken THEN dt END AS dt, "
+    "CASE WHEN NOT broken THEN CAST(value AS DOUBLE) END AS value, CASE WHEN broken THEN line END AS line FROM lines",
+)
+def csv_rejects(spark, sf):
+    """A file with broken lines: its good rows, and beside them the rejected lines."""
+    part = "CASE WHEN entity % 5 = 0 AND month(dt) = 1 THEN ',n/a' WHEN entity % 5 = 1 AND month(dt) = 2 THEN '' WHEN entity % 5 = 2 AND month(dt) = 3 THEN concat(',', value, ',more') ELSE concat(',', value) END"
+    p = panel(spark, sf).select("entity", "dt", "value")
+    path = _target(spark, "lines")
+    p.select(F.expr(f"concat(entity, ',', date_format(dt, 'yyyy-MM-dd'), {part})").alias("line")).write.text(path)
+    good, rejects = load_csv_checked(spark, path, p.schema, header=False)
+    good = good.withColumn("entity", F.col("entity").cast("string"))
+    return publish(good.unionByName(rejects.select("line"), allowMissingColumns=True))
+
+
+@register(
+    "bucketed_rolling",
+    S.with_(S.PANEL) + f"SELECT entity, dt, CAST(value AS DOUBLE) AS value, {S.RAVG(4)} AS Rolling_Avg_4W, {S.RSUM(4)} AS Rolling_Sum_4W FROM panel",
+)
+def bucketed_rolling(spark, sf):
+    """The panel kept as a table bucketed by entity and sorted by time; windows over it shuffle nothing."""
+    path = _target(spark, "bucketed")
+    name = f"bucketed_{uuid.uuid4().hex}"
+    save_bucketed(panel(spark, sf).select("entity", "dt", "value"), name, "entity", ["dt"], 16, path)
+    return publish(rolling_metrics(spark.table(name), PanelSpec(covariates=()), (4,)))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..functions.ranking import quantile_targets
 from ..operators import clean as CL
 from ..operators import quality as QU
 from ..spec import DEFAULT as SPEC
@@ -188,6 +189,22 @@ def parse_dates(spark, sf):
     return rounded(CL.parse_dates(dirty(spark, sf), "dt_raw", out="dt"))
 
 
+_TEXT_DATES = {"month_first": "MM/dd/yyyy", "month_first_dashed": "MM-dd-yyyy", "month_first_short": "M/d/yyyy", "day_first": "dd/MM/yyyy", "day_first_dashed": "dd-MM-yyyy", "iso": "yyyy-MM-dd"}
+
+
+@register(
+    "parse_dates_month_first",
+    S.with_(S.PANEL) + "SELECT entity, CAST(dt AS VARCHAR) AS dt, " + ", ".join(f"CAST(dt AS VARCHAR) AS {c}" for c in _TEXT_DATES) + " FROM panel",
+)
+def parse_dates_month_first(spark, sf):
+    """The same dates written in six formats, a column each: every column is
+    read as a whole, ambiguous days and months included."""
+    out = panel(spark, sf).select("entity", "dt", *[F.date_format("dt", f).alias(c) for c, f in _TEXT_DATES.items()])
+    for c in _TEXT_DATES:
+        out = CL.parse_dates(out, c, parts=False)
+    return out.select("entity", *[F.col(c).cast("string").alias(c) for c in ("dt", *_TEXT_DATES)])
+
+
 # ---------------------------------------------------------------- outliers
 
 _QIQR = "qb AS (SELECT quantile_cont(CAST(value AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(value AS DOUBLE), 0.75) AS q3 FROM panel)"
@@ -297,6 +314,18 @@ def parse_dates_one_format(spark, sf):
     return rounded(out.withColumn("dt", F.col("dt").cast("string")))
 
 
+_QS = (0.001, 0.01, 0.25, 0.5, 0.75, 0.99, 0.999)
+
+
+@register(
+    "quantiles_narrowed",
+    S.with_(S.PANEL) + "SELECT " + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), {q}) AS {c}_q{i}" for c in ("value", "cov_a") for i, q in enumerate(_QS)) + " FROM panel",
+)
+def quantiles_narrowed(spark, sf):
+    """Exact quantiles of two columns, with brackets narrowed once before anything is ordered."""
+    return quantile_targets(panel(spark, sf), [(c, q, f"{c}_q{i}") for c in ("value", "cov_a") for i, q in enumerate(_QS)], narrow=1)
+
+
 @register("dedupe_exact", PD + _sel(_ident(), "(SELECT DISTINCT * FROM dirty)"))
 def dedupe_exact(spark, sf):
     return rounded(CL.dedupe(dirty(spark, sf)))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import kpi as K
 from ..operators import rollup as RU
 from ..spec import DEFAULT as SPEC
 from . import sql as S
-from .registry import ORACLE, panel, publish, register
+from .registry import ORACLE, gappy, panel, publish, register
 
 R, AVG, PCT, GROWTH = S.R, S.AVG, S.PCT, S.GROWTH
 PF = S.with_(S.PANEL, S.FEAT)
@@ -48,6 +50,28 @@ def rollup_year(spark, sf):
     return publish(RU.rollup_time(panel(spark, sf), SPEC, "Year"))
 
 
+def _calendar_sql(periods: dict[str, str]) -> str:
+    parts = []
+    for name, keys in periods.items():
+        used = keys.split(", ")
+        cols = ", ".join(f"CAST({k if k in used else 'NULL'} AS VARCHAR) AS {k}" for k in ("Year", "Quarter", "Month", "MonthName"))
+        parts.append(
+            f"SELECT '{name}' AS Period, {cols}, {D('sum(value)')} AS Total_Sales, {R(AVG('value'))} AS Avg_Sales, "
+            f"count(*) AS Total_Records FROM feat GROUP BY {keys}"
+        )
+    return PF + " UNION ALL ".join(parts)
+
+
+@register(
+    "rollup_calendar",
+    _calendar_sql({"Month": "Year, Month, MonthName", "Quarter": "Year, Quarter", "Year": "Year", "Month of year": "Month, MonthName", "Quarter of year": "Quarter"}),
+)
+def rollup_calendar(spark, sf):
+    """All calendar groupings from one scan and one shuffle."""
+    out = RU.rollup_calendar(panel(spark, sf), SPEC)
+    return publish(out.withColumns({k: F.col(k).cast("string") for k in ("Year", "Quarter", "Month")}))
+
+
 _COVS = ("cov_a", "cov_b", "cov_c", "cov_d")
 
 
@@ -94,6 +118,19 @@ def flag_impact(spark, sf):
     return publish(RU.flag_impact(panel(spark, sf), SPEC))
 
 
+@register(
+    "flag_impact_unknown",
+    PP + "SELECT CAST(flag AS VARCHAR) AS flag, count(*) AS Total_Records, " + f"{D('sum(value)')} AS Total_Sales, {R(AVG('value'))} AS Avg_Sales, "
+    f"{D('max(value)')} AS Max_Sales, {D('min(value)')} AS Min_Sales, "
+    "CASE flag WHEN 1 THEN 'Holiday' WHEN 0 THEN 'Non-Holiday' END AS Period_Type "
+    "FROM (SELECT value, CASE WHEN cov_d > 1 THEN flag END AS flag FROM panel) GROUP BY flag",
+)
+def flag_impact_unknown(spark, sf):
+    """Rows whose flag is not known (here: periods of a single line) have no label."""
+    p = panel(spark, sf).withColumn("flag", F.when(F.col("cov_d") > 1, F.col("flag")))
+    return publish(RU.flag_impact(p, SPEC).withColumn("flag", F.col("flag").cast("string")))
+
+
 @register(
     "flag_kpi",
     PP + f"SELECT {R('a0')} AS Non_Flag_Avg, {R('a1')} AS Flag_Avg, {PCT('a1 - a0', 'a0')} AS Flag_Uplift_Pct, "
@@ -125,17 +162,26 @@ def recent_months(spark, sf):
     return publish(RU.recent_months(panel(spark, sf), SPEC, 12))
 
 
-@register(
-    "yearly_trend",
-    PF + f"SELECT Year, {D('t')} AS Total_Sales, Avg_Weekly_Sales, Total_Weeks, "
-    f"{D('lag(t) OVER (ORDER BY Year)')} AS Prev_Year_Sales, {GROWTH('t', 'lag(t) OVER (ORDER BY Year)')} AS YoY_Growth_Pct "
+_LAGY = "CASE WHEN lag(Year) OVER (ORDER BY Year) = Year - 1 THEN lag(t) OVER (ORDER BY Year) END"
+_YEARLY = (
+    f"SELECT Year, {D('t')} AS Total_Sales, Avg_Weekly_Sales, Total_Weeks, "
+    f"{D(_LAGY)} AS Prev_Year_Sales, {GROWTH('t', _LAGY)} AS YoY_Growth_Pct "
     f"FROM (SELECT Year, sum(value) AS t, {R(AVG('value'))} AS Avg_Weekly_Sales, count(*) AS Total_Weeks "
-    "FROM feat GROUP BY Year)",
+    "FROM feat GROUP BY Year)"
 )
+
+
+@register("yearly_trend", PF + _YEARLY)
 def yearly_trend(spark, sf):
     return publish(RU.yearly_trend(panel(spark, sf), SPEC))
 
 
+@register("yearly_trend_gaps", S.with_(S.PANEL, S.GAPS) + _YEARLY)
+def yearly_trend_gaps(spark, sf):
+    """A year after one without rows has no previous year."""
+    return publish(RU.yearly_trend(gappy(spark, sf), SPEC))
+
+
 @register(
     "covariates_by_entity",
     PP + "SELECT entity, "
@@ -199,7 +245,10 @@ def revenue_by_year(spark, sf):
     return publish(K.revenue_by_year(panel(spark, sf), SPEC))
 
 
-_LAGM = "lag(t) OVER (ORDER BY Year, Month)"
+_LAGM = (
+    "CASE WHEN lag(Year * 12 + Month) OVER (ORDER BY Year, Month) = Year * 12 + Month - 1 "
+    "THEN lag(t) OVER (ORDER BY Year, Month) END"
+)
 _MOM = (
     f"SELECT Year, Month, {D('t')} AS Monthly_Sales, {D(_LAGM)} AS Prev_Month_Sales, "
     f"{GROWTH('t', _LAGM)} AS MoM_Growth_Pct FROM (SELECT Year, Month, sum(value) AS t FROM feat GROUP BY Year, Month)"
@@ -211,6 +260,12 @@ def mom_growth(spark, sf):
     return publish(K.mom_growth(panel(spark, sf), SPEC))
 
 
+@register("mom_growth_gaps", S.with_(S.PANEL, S.GAPS) + _MOM)
+def mom_growth_gaps(spark, sf):
+    """A month after one without rows has no previous month."""
+    return publish(K.mom_growth(gappy(spark, sf), SPEC))
+
+
 @register(
     "recent_mom_growth",
     PF + f"SELECT Year, Month, Monthly_Sales, MoM_Growth_Pct FROM ({_MOM}) ORDER BY Year DESC, Month DESC LIMIT 12",

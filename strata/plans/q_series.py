@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import series as TS
 from ..operators.rollup import top
 from ..spec import DEFAULT as SPEC
 from . import sql as S
-from .registry import ORACLE, daily, panel, publish, register
+from .registry import ORACLE, daily, gappy, panel, publish, register
 
 R, AVG, PCT, GROWTH, ORD = S.R, S.AVG, S.PCT, S.GROWTH, S.ORD
 PF = S.with_(S.PANEL, S.FEAT)
@@ -32,6 +34,18 @@ def moving_averages(spark, sf):
     return _keep(TS.moving_averages(panel(spark, sf), SPEC, _MA), [f"MA_{k}W" for k in _MA])
 
 
+@register(
+    "moving_averages_min_rows",
+    S.with_(S.PANEL)
+    + "SELECT entity, dt, CAST(value AS DOUBLE) AS value, "
+    + ", ".join(f"CASE WHEN count(value) OVER {S.WIN(k)} >= 4 THEN {S.RAVG(k)} END AS MA_{k}W" for k in (4, 12))
+    + " FROM panel",
+)
+def moving_averages_min_rows(spark, sf):
+    """No average of fewer than four rows."""
+    return _keep(TS.moving_averages(panel(spark, sf), SPEC, (4, 12), min_rows=4), ["MA_4W", "MA_12W"])
+
+
 _TREND = (
     f"trend AS (SELECT *, CASE WHEN MA_4W > MA_12W THEN 'Uptrend' WHEN MA_4W < MA_12W THEN 'Downtrend' "
     f"ELSE 'Neutral' END AS Trend_Signal FROM (SELECT entity, dt, value, {S.RAVG(4)} AS MA_4W, "
@@ -89,20 +103,27 @@ def seasonality_dow(spark, sf):
     return publish(TS.seasonality(daily(spark, sf), SPEC, "DayOfWeek"))
 
 
-_LY = "lag(t) OVER (PARTITION BY Month ORDER BY Year)"
-
-
-@register(
-    "yoy_month",
-    PF + f"SELECT Year, Month, MonthName, {D('t')} AS Monthly_Sales, Avg_Weekly_Sales, Week_Count, "
-    f"{D(_LY)} AS Prev_Year_Sales, {D(f't - {_LY}')} AS YoY_Change, {PCT(f't - {_LY}', _LY)} AS YoY_Change_Pct "
+_MY = "OVER (PARTITION BY Month ORDER BY Year)"
+_LY = f"CASE WHEN lag(Year) {_MY} = Year - 1 THEN lag(t) {_MY} END"
+_YOY = (
+    f"SELECT Year, Month, MonthName, {D('t')} AS Monthly_Sales, Avg_Weekly_Sales, Week_Count, "
+    f"{D(_LY)} AS Prev_Year_Sales, {D(f't - ({_LY})')} AS YoY_Change, {PCT(f't - ({_LY})', _LY)} AS YoY_Change_Pct "
     f"FROM (SELECT Year, Month, MonthName, sum(value) AS t, {R(AVG('value'))} AS Avg_Weekly_Sales, "
-    "count(*) AS Week_Count FROM feat GROUP BY Year, Month, MonthName)",
+    "count(*) AS Week_Count FROM feat GROUP BY Year, Month, MonthName)"
 )
+
+
+@register("yoy_month", PF + _YOY)
 def yoy_month(spark, sf):
     return publish(TS.yoy_month(panel(spark, sf), SPEC))
 
 
+@register("yoy_month_gaps", S.with_(S.PANEL, S.GAPS) + _YOY)
+def yoy_month_gaps(spark, sf):
+    """A month whose year before has no rows for it has no previous value."""
+    return publish(TS.yoy_month(gappy(spark, sf), SPEC))
+
+
 @register(
     "peak_rows",
     PF + "SELECT entity, dt, CAST(value AS DOUBLE) AS value, flag, Year, Month, MonthName, Season FROM feat "
@@ -180,6 +201,18 @@ def trend_counts(spark, sf):
     return publish(TS.trend_counts(panel(spark, sf), SPEC))
 
 
+# the same answers by the plans for an entity that holds most of the rows
+def _split(name: str, run) -> None:
+    def query(spark, sf):
+        return publish(run(panel(spark, sf), F.year("dt")))
+
+    register(f"{name}_split", ORACLE[name])(query)
+
+
+_split("forecast_baseline", lambda p, b: TS.forecast_baseline(p, SPEC, 12, split_block=b))
+_split("trend_strength", lambda p, b: TS.trend_strength(p, SPEC, split_block=b))
+_split("trend_counts", lambda p, b: TS.trend_counts(p, SPEC, split_block=b))
+
 _MIDX = (
     f"midx AS (SELECT Month, MonthName, am, am / nullif(aall, 0) AS idx FROM "
     f"(SELECT Month, MonthName, {AVG('value')} AS am FROM feat GROUP BY Month, MonthName), "
@@ -207,6 +240,9 @@ def forecast_horizon(spark, sf):
     return publish(TS.forecast_horizon(panel(spark, sf), SPEC, horizon=4))
 
 
+_split("forecast_horizon", lambda p, b: TS.forecast_horizon(p, SPEC, horizon=4, split_block=b))
+
+
 def _top10(name: str, by: str) -> str:
     return f"SELECT * FROM ({ORACLE[name]}) ORDER BY {by} DESC NULLS LAST, entity LIMIT 10"
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import publish
-from ..sources import DIRTY, PANEL, daily_orders, dirty_panel, read_table, weekly_panel
+from ..sources import DIRTY, PANEL, daily_orders, dirty_panel, gappy_panel, read_table, weekly_panel
 from . import sql as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
     return weekly_panel(read_table(spark, sf, "lineitem"))
 
 
+def gappy(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel with periods that have no rows."""
+    return gappy_panel(panel(spark, sf))
+
+
 def dirty(spark: SparkSession, sf: str) -> DataFrame:
     return dirty_panel(panel(spark, sf))
 
@@ -42,4 +47,4 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
     return daily_orders(read_table(spark, sf, "orders"))
 
 
-__all__ = ["QUERIES", "ORACLE", "register", "panel", "dirty", "daily", "publish", "F", "S", "PANEL", "DIRTY"]
+__all__ = ["QUERIES", "ORACLE", "register", "panel", "gappy", "dirty", "daily", "publish", "F", "S", "PANEL", "DIRTY"]

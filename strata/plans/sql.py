@@ -50,6 +50,9 @@ def CAL(dt: str = "dt") -> str:
 
 FEAT = f"""feat AS (SELECT *, {CAL()} FROM panel)"""
 
+GAPS = f"""feat AS (SELECT *, {CAL()} FROM panel
+  WHERE year(dt) <> 1994 AND NOT (year(dt) = 1996 AND month(dt) IN (3, 4)))"""
+
 DIRTY = """dirty0 AS (
   SELECT entity, dt,
          CASE year(dt) % 3 WHEN 0 THEN strftime(dt, '%d-%m-%Y') WHEN 1 THEN strftime(dt, '%Y-%m-%d')

@@ -64,6 +64,14 @@ def weekly_panel(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def gappy_panel(panel: DataFrame) -> DataFrame:
+    """The panel of a business that was closed for the year 1994 and for March
+    and April 1996: these periods have no rows."""
+    year = F.year("dt")
+    closed = (year == 1994) | ((year == 1996) & F.month("dt").isin(3, 4))
+    return panel.where(~closed)
+
+
 def dirty_panel(panel: DataFrame) -> DataFrame:
     """Deterministic damage: the date as text in one of three formats by year,
     value null when (entity + week) % 13 = 0, cov_a null when

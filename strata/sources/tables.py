@@ -4,10 +4,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
 
 from ..spec import PanelSpec
 
+#: Where ``from_csv`` puts a line that does not fit the schema.
+_BROKEN = "_broken_line"
+
 # Column roles of the weekly store-sales layout (raw file: Date is text).
 WEEKLY_SALES = PanelSpec(
     entity="Store",
@@ -71,3 +75,25 @@ def load_csv(
     else:
         r = r.option("inferSchema", infer_schema)
     return r.load(path)
+
+
+def load_csv_checked(
+    spark: SparkSession, path: str, schema: StructType, header: bool = True, sep: str = ","
+) -> tuple[DataFrame, DataFrame]:
+    """A CSV scan that loses no line: (good, rejects).
+
+    ``good`` has the columns of ``schema``, a row for each line that fits it;
+    ``rejects`` has ``file`` and ``line`` (the text as it stands) of every line
+    that does not: a value of another type, too few fields or too many. Blank
+    lines are neither, nor are header lines (those equal to the joined column
+    names). A record is one line."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    if header:
+        lines = lines.where(F.col("value") != sep.join(schema.fieldNames()))
+    # each line is parsed once, whichever of the two tables reads it
+    parsed = StructType([*schema.fields, StructField(_BROKEN, StringType(), True)])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN, "sep": sep}
+    rows = lines.select("file", "value", F.from_csv("value", parsed.simpleString()[len("struct<") : -1].replace(":", " "), options).alias("r"))
+    broken = F.col(f"r.{_BROKEN}").isNotNull()
+    good = rows.where(~broken).select(*[F.col(f"r.`{c}`").alias(c) for c in schema.fieldNames()])
+    return good, rows.where(broken).select("file", F.col("value").alias("line"))

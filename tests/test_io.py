@@ -114,3 +114,44 @@ def test_weekly_sales_layout_end_to_end(spark, panel):
         F.col("entity").cast("int").alias("Store"), F.col("dt").alias("Date"), "Rolling_Avg_4W", "Sales_Quartile", "Cumulative_Sales"
     )
     assert _same(fa, fb)
+
+
+def test_no_line_is_lost(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from strata.sources import load_csv_checked
+
+    lines = ["id,day,amount", "1,2020-01-06,2.50", "2,2020-01-07", "3,2020-01-08,x", "4,2020-01-09,1.00,more", "", "  ", "five,2020-01-10,1.00", "6,,", '7,2020-01-11,"3.00"', "8,tomorrow,1.00", "id,day,amount"]
+    for part in (0, 1):
+        (tmp_path / f"{part}.csv").write_text("\n".join(lines) + "\n")
+    schema = StructType.fromDDL("id int, day date, amount decimal(18,2)")
+    good, rejects = load_csv_checked(spark, str(tmp_path), schema)
+    assert good.schema.simpleString() == schema.simpleString() and rejects.columns == ["file", "line"]
+    kept = sorted((r.id, str(r.day), str(r.amount)) for r in good.collect())
+    assert kept == sorted(2 * [(1, "2020-01-06", "2.50"), (6, "None", "None"), (7, "2020-01-11", "3.00")])
+    broken = rejects.collect()
+    assert sorted(r.line for r in broken) == sorted(2 * ["2,2020-01-07", "3,2020-01-08,x", "4,2020-01-09,1.00,more", "five,2020-01-10,1.00", "8,tomorrow,1.00"])
+    assert {r.file[-5:] for r in broken} == {"0.csv", "1.csv"}
+    # each table by itself, pruned to one column, loses nothing
+    assert good.count() == 6 and rejects.count() == 10 and good.select("id").count() + rejects.select("line").count() == 16
+    whole, none = load_csv_checked(spark, str(tmp_path), schema, header=False)
+    assert whole.count() == 6 and none.count() == 14
+
+
+def test_bucketed_table_needs_no_shuffle(spark, panel, tmp_path):
+    from strata.operators.features import rolling_metrics
+    from strata.sources import save_bucketed
+
+    save_bucketed(panel, "bucketed_panel", "entity", ["dt"], 4, str(tmp_path / "b"))
+    try:
+        table = spark.table("bucketed_panel")
+        out = rolling_metrics(table, windows=(4, 12))
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        plain = rolling_metrics(panel, windows=(4, 12))
+        assert out.exceptAll(plain).count() == 0 and out.count() == plain.count() > 0
+        per = table.groupBy("entity").count()
+        assert "Exchange" not in per._jdf.queryExecution().executedPlan().toString()
+        with pytest.raises(ValueError):
+            save_bucketed(panel, "bucketed_panel", "entity", ["dt"], 4, mode="replace")
+    finally:
+        spark.sql("DROP TABLE bucketed_panel")

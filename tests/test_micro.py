@@ -340,3 +340,196 @@ def test_split_plans_of_single_operators(spark):
         plain, split = run(p), run(p, split_block=block)
         assert plain.columns == split.columns
         assert plain.exceptAll(split).count() == 0 and plain.count() == split.count()
+
+
+def _panel(spark, rows, schema="entity long, dt string, value double, flag int"):
+    return spark.createDataFrame(rows, schema).withColumn("dt", F.to_date("dt")).withColumn("value", F.col("value").cast("decimal(18,2)"))
+
+
+def test_previous_periods_are_those_of_the_calendar(spark):
+    """A period without rows gives null, not the period before it; rows without a time have none."""
+    from strata.operators import kpi, rollup, series
+
+    spec = SPEC.with_(covariates=())
+    df = _panel(spark, [(1, "2019-01-07", 10.0, 0), (1, "2019-03-04", 20.0, 0), (1, "2021-01-04", 40.0, 0), (1, "2022-01-03", 60.0, 1), (2, "2021-12-27", 5.0, 0), (1, None, 7.0, 0)])
+    years = {r.Year: (r.Prev_Year_Sales, r.YoY_Growth_Pct) for r in rollup.yearly_trend(df, spec).collect()}
+    assert years == {None: (None, None), 2019: (None, None), 2021: (None, None), 2022: (45.0, 33.33)}
+    months = {(r.Year, r.Month): r.Prev_Month_Sales for r in kpi.mom_growth(df, spec).collect()}
+    assert months == {(None, None): None, (2019, 1): None, (2019, 3): None, (2021, 1): None, (2021, 12): None, (2022, 1): 5.0}
+    yoy = {(r.Year, r.Month): (r.Prev_Year_Sales, r.YoY_Change) for r in series.yoy_month(df, spec).collect()}
+    assert yoy[2022, 1] == (40.0, 20.0) and yoy[2021, 1] == (None, None) and yoy[None, None] == (None, None)
+    assert [tuple(r) for r in kpi.mom_growth_avg(df, spec).collect()] == [(1100.0, 1)]
+
+
+def test_the_whole_column_decides_how_a_date_is_read(spark):
+    from strata.operators.clean import parse_dates
+
+    def read(*texts, formats=None):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, d string")
+        return [str(r.d) if r.d else None for r in parse_dates(df, "d", formats=formats, parts=False).orderBy("i").collect()]
+
+    assert read("12/25/2010", "05/02/2010", "02/13/2010") == ["2010-12-25", "2010-05-02", "2010-02-13"]
+    assert read("25/12/2010", "05/02/2010", "13/02/2010") == ["2010-12-25", "2010-02-05", "2010-02-13"]
+    assert read("12-25-2010", "05-02-2010") == ["2010-12-25", "2010-05-02"]
+    assert read("05/02/2010", "06/02/2010") == ["2010-02-05", "2010-02-06"]  # nothing decides: day first
+    # the larger part of the column decides; each separator for itself
+    assert read("25/12/2010", "12/25/2010", "12/26/2010", "05/02/2010") == ["2010-12-25", "2010-12-25", "2010-12-26", "2010-05-02"]
+    assert read("12/25/2010", "05-02-2010", "2010-07-01", "5/2/2010", "x", None, "") == ["2010-12-25", "2010-02-05", "2010-07-01", "2010-05-02", None, None, None]
+    assert read("12/25/2010", "05/02/2010", formats="dd/MM/yyyy") == [None, "2010-02-05"]
+    assert read("12/25/2010", "05/02/2010", formats=["dd/MM/yyyy", "MM/dd/yyyy"]) == ["2010-12-25", "2010-05-02"]
+    assert read("03/03/2010", formats=["dd/MM/yyyy", "MM/dd/yyyy"]) == ["2010-03-03"]
+    empty = spark.createDataFrame([], "d string, Year string")
+    assert parse_dates(empty, "d", out="t").collect() == []
+
+
+def test_rows_without_a_flag_have_no_label(spark):
+    from strata.operators.rollup import flag_impact
+
+    df = _panel(spark, [(1, "2020-01-06", 1.0, 1), (1, "2020-01-13", 2.0, 0), (1, "2020-01-20", 4.0, None)])
+    assert {r.flag: r.Period_Type for r in flag_impact(df, SPEC).collect()} == {1: "Holiday", 0: "Non-Holiday", None: None}
+
+
+def test_averages_of_too_few_rows(spark):
+    from strata.operators.series import moving_averages
+
+    values = [1.0, None, 3.0, 5.0, 7.0]
+    df = _panel(spark, [(1, f"2020-01-{6 + 7 * i if i < 4 else 31}", v, 0) for i, v in enumerate(values)])
+    for block in (None, F.weekofyear("dt")):
+        for least, want in ((1, [1.0, 1.0, 2.0, 4.0, 5.0]), (2, [None, None, 2.0, 4.0, 5.0]), (3, [None, None, None, None, 5.0])):
+            got = moving_averages(df, SPEC, (3,), block, least).orderBy("dt").collect()
+            assert [r.MA_3W for r in got] == want, (least, block)
+
+
+def test_split_plans_for_last_rows_and_running_totals(spark):
+    from strata.operators import features, series
+    from strata.plans.registry import panel
+
+    from .conftest import SF_SMALL
+
+    p = panel(spark, SF_SMALL).where("entity <= 4")
+    p = p.unionByName(p.limit(3).withColumn("entity", F.lit(None).cast("long"))).unionByName(p.limit(1).withColumn("dt", F.lit(None).cast("date")).withColumn("entity", F.lit(99).cast("long")))
+    for block in (F.year("dt"), F.floor(F.datediff("dt", F.lit("1990-01-01")) / 28)):
+        for plain, split in [
+            (series.last_rows(p, SPEC, 5), series.last_rows(p, SPEC, 5, block)),
+            (series.forecast_baseline(p, SPEC), series.forecast_baseline(p, SPEC, split_block=block)),
+            (series.forecast_horizon(p, SPEC), series.forecast_horizon(p, SPEC, split_block=block)),
+            (series.trend_strength(p, SPEC), series.trend_strength(p, SPEC, split_block=block)),
+            (series.trend_counts(p, SPEC), series.trend_counts(p, SPEC, split_block=block)),
+            (features.cumulative_metrics(p, SPEC, per_year=False), features.cumulative_metrics(p, SPEC, per_year=False, split_block=block)),
+        ]:
+            assert plain.columns == split.columns
+            assert plain.exceptAll(split).count() == 0 and plain.count() == split.count()
+
+
+def test_calendar_groupings_equal_each_by_itself(spark):
+    from strata.operators import rollup
+    from strata.plans.registry import panel
+
+    from .conftest import SF_SMALL
+
+    p = panel(spark, SF_SMALL)
+    p = p.unionByName(p.limit(2).withColumn("dt", F.lit(None).cast("date")))
+    whole = rollup.rollup_calendar(p, SPEC)
+    for period, keys in rollup.PERIOD_KEYS.items():
+        one = rollup.rollup_time(p, SPEC, period, avg_name="Avg_Sales")
+        got = whole.where(F.col("Period") == period).select(*one.columns)
+        assert got.exceptAll(one).count() == 0 and got.count() == one.count() > 0
+    assert {r.Period for r in whole.collect()} == set(rollup.CALENDAR_SETS)
+    some = rollup.rollup_calendar(p, SPEC, ["Year"])
+    assert some.count() == whole.where("Period = 'Year'").count()
+    with pytest.raises(ValueError):
+        rollup.rollup_calendar(p, SPEC, ["Week"])
+
+
+def test_dashboards_as_tables(spark):
+    from strata.operators import distribution, kpi
+    from strata.plans.registry import panel
+
+    from .conftest import SF_SMALL
+
+    p = panel(spark, SF_SMALL)
+    for table, parts in ((kpi.dashboard_table(p, SPEC), kpi.kpi_dashboard(p, SPEC)), (distribution.chart_table(p, SPEC), distribution.chart_data(p, SPEC))):
+        assert table.columns == ["Section", "Row_Key", "Metric", "Value"]
+        rows = table.collect()
+        assert {r.Section for r in rows} == set(parts)
+        assert len({(r.Section, r.Row_Key, r.Metric) for r in rows}) == len(rows)
+    total = [r.Value for r in kpi.dashboard_table(p, SPEC).where("Metric = 'Total_Revenue'").collect()]
+    assert total == [r.Total_Revenue for r in kpi.revenue_kpi(p, SPEC).collect()]
+
+
+def test_sketches_of_periods_merge(spark, tmp_path):
+    """Written once, months answer for any range; later months are appended; a hot entity changes nothing."""
+    from strata.operators import sketches as SK
+
+    df = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7L ELSE id % 5000 END AS entity", "date_add(DATE'2020-01-01', CAST(id % 400 AS INT)) AS dt",
+        "CASE WHEN id % 11 > 0 THEN CAST((id * 7919 % 60000) / 100 AS DECIMAL(18,2)) END AS value",
+    )
+    path = str(tmp_path / "kept")
+    SK.period_sketches(df.where("dt < '2020-07-01'"), SPEC, "month").write.parquet(path)
+    SK.period_sketches(df.where("dt >= '2020-07-01'"), SPEC, "month").write.mode("append").parquet(path)
+    kept = spark.read.parquet(path)
+    assert kept.count() == 14
+    for rows, part in ((df, kept), (df.where("dt < '2020-04-01'"), kept.where("Period < '2020-04-01'"))):
+        got = SK.sketch_summary(part, probs=(0.1, 0.5, 0.9)).first()
+        n, total, entities = rows.agg(F.count("*"), F.sum("value"), F.count_distinct("entity")).first()
+        assert got.Rows == n and got.Total == float(total)
+        assert abs(got.Entities - entities) <= 0.03 * entities
+        for p in (0.1, 0.5, 0.9):
+            share = rows.where("value IS NOT NULL").agg(F.avg((F.col("value") <= F.lit(got[f"Q{p * 100:g}"])).cast("double"))).first()[0]
+            assert abs(share - p) <= 2 * SK.KLL_ERROR
+        below = SK.share_below(part, 300.0).first().Share
+        assert abs(below - rows.where("value IS NOT NULL").agg(F.avg((F.col("value") <= 300).cast("double"))).first()[0]) <= 2 * SK.KLL_ERROR
+    by_year = SK.sketch_summary(kept, [F.year("Period").alias("Year")]).collect()
+    assert {r.Year: r.Rows for r in by_year} == {r.y: r.n for r in df.groupBy(F.year("dt").alias("y")).agg(F.count("*").alias("n")).collect()}
+    none = SK.period_sketches(df.where("false"), SPEC)
+    assert none.count() == 0 and SK.sketch_summary(none).first().Q50 is None
+    blank = SK.period_sketches(df.where("value IS NULL").withColumn("dt", F.lit(None).cast("date")), SPEC, by=["entity"])
+    first = SK.sketch_summary(blank).first()
+    assert first.Q50 is None and first.Avg is None and blank.where("Period IS NOT NULL").count() == 0
+    with pytest.raises(ValueError):
+        SK.period_sketches(df, SPEC, "hour")
+
+
+def test_narrowed_brackets_keep_quantiles_exact(spark):
+    """Uniform, skewed, tied, tiny and infinite columns, any number of passes."""
+    from strata.functions.ranking import quantile_targets
+
+    probs = (0.0, 0.25, 0.77, 0.999, 1.0)
+    columns = {"steep": "pow(1.01D, id % 2000) * id", "tied": "CASE WHEN id % 3 = 0 THEN 5D ELSE id END", "two": "id % 2 * 1e300D - 5e299", "holes": "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 7 = 0 THEN double('NaN') ELSE 1 / (id + 1.0D) END"}
+    for n, narrow in ((0, 1), (1, 1), (17, 1), (5000, 2)):
+        df = spark.range(n).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+        want = {c: [r for r in df.selectExpr(f"percentile(nanvl({c}, CAST(NULL AS DOUBLE)), array{probs}) AS p".replace("(0.0,", "(0.0D,")).first().p or [None] * len(probs)] for c in columns}
+        got = quantile_targets(df, [(c, p, f"{c}{i}") for c in columns for i, p in enumerate(probs)], accuracy=100, narrow=narrow).first()
+        for c in columns:
+            for i, w in enumerate(want[c]):
+                g = got[f"{c}{i}"]
+                assert g == w or g is not None and w is not None and math.isclose(g, w, rel_tol=1e-12, abs_tol=1e288 if c == "two" else 0), (c, n, narrow, probs[i], g, w)
+
+
+def test_narrowing_bounds_what_one_task_orders(spark, monkeypatch):
+    """A pass leaves about a 1024th of a bracket's values to be grouped and ordered, for one more scan."""
+    from strata.functions import ranking
+
+    seen = []
+    monkeypatch.setattr(ranking, "_narrowed", lambda vals, br, at, f=ranking._narrowed: seen.append((br, f(vals, br, at))) or seen[-1][1])
+    df = spark.range(200_000).selectExpr("CAST(id * 7919 % 200003 AS DOUBLE) AS x")
+    plain, q = (ranking.quantile_targets(df, [("x", 0.5, "m")], accuracy=50, narrow=n) for n in (0, 1))
+    assert [d._jdf.queryExecution().optimizedPlan().toString().count("Range (") for d in (plain, q)] == [2, 3]
+    held = []
+    for br in seen[0]:
+        lo, hi = br.select("_lo0", "_hi0").first()
+        held.append(df.where(F.col("x").between(lo, hi)).count())
+    assert held[0] > 5000 and held[1] < 50
+    assert q.first().m == plain.first().m
+
+
+def test_approximate_quantiles_are_passed_on(spark):
+    p = panel(spark, [float(i) for i in range(1, 202)])
+    for run in (
+        lambda e: CL.detect_outliers(p, "value", exact=e), lambda e: CL.handle_outliers(p, "value", "cap", exact=e),
+        lambda e: CL.handle_outliers(p, "value", "remove", exact=e), lambda e: FE.value_quartiles(p, SPEC, exact=e), lambda e: DI.box_summary(p, SPEC, exact=e),
+    ):
+        texts = [run(e)._jdf.queryExecution().optimizedPlan().toString() for e in (True, False)]
+        assert "bracket missed" in texts[0] and "bracket missed" not in texts[1]
+        assert run(False).count() > 0

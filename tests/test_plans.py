@@ -181,9 +181,38 @@ def test_dashboards_are_lazy_and_run(spark, inputs):
         assert df.count() > 0
 
 
-@pytest.mark.parametrize("key, scans", [("impute_median", 3), ("impute_mode", 3), ("label_counts", 3), ("clean_panel", 6)])
+@pytest.mark.parametrize("key, scans", [("impute_median", 3), ("impute_mode", 3), ("label_counts", 3), ("clean_panel", 7)])
 def test_columns_share_their_passes(spark, key, scans):
     from strata.plans import QUERIES
 
     plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") <= scans
+
+
+def test_calendar_groupings_take_one_scan_and_one_shuffle(spark, inputs):
+    p, _ = inputs
+    plan = RU.rollup_calendar(p, SPEC)
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    text = _plan(plan)
+    assert text.count("Expand [") == 1 and text.count("Exchange hashpartitioning(Year") == 1
+    assert text.count("Exchange") == 2  # the other one builds the panel
+
+
+def test_split_plans_never_hold_a_whole_entity(spark):
+    """One entity with every row: shuffles by the entity alone carry its blocks' totals or last rows, not its rows."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(4000).selectExpr(
+        "id DIV 1000000 + 7 AS entity", "date_add(DATE'1950-01-02', CAST(id AS INT) * 7) AS dt",
+        "CAST(id % 113 AS DECIMAL(18,2)) AS value", "0 AS flag",
+    )
+    spec = SPEC.with_(covariates=())
+    last = TS.last_rows(df, spec, 3, F.year("dt"))
+    text = _plan(last)
+    # the first stage deals by (entity, block) and keeps three rows of each before the second deals by entity
+    assert "hashpartitioning(entity" in text and "_blk" in text.split("hashpartitioning(entity")[-1][:40]
+    assert text.count("WindowGroupLimit") >= 2
+    assert last.count() == 3
+    run = FE.cumulative_metrics(df, spec, per_year=False, split_block=F.year("dt"))
+    windows = [ln for ln in _plan(run).splitlines() if "Window [" in ln and "_blk" not in ln]
+    assert not windows
