@@ -8,9 +8,10 @@ probability.
 
 The network is fitted to a bounded sample of labelled rows: ``per_class`` rows
 of each class, the first by a hash of the id. Their whole texts are written to
-the shared folder and read back once an epoch in parts of about ``BUFFER``
-rows, shuffled ``BUFFER_BYTES`` at a time; responses are computed some cells
-at a time, so the driver holds no more than such a part. The intercept is
+the shared folder and come to the driver in parts of about ``BUFFER`` rows,
+shuffled ``BUFFER_BYTES`` at a time; parts beyond ``HOLD_BYTES`` are read anew
+in each epoch. Responses are computed some cells at a time, so the driver
+holds no more than those bytes and one part. The intercept is
 then set back to the class shares of all labelled documents that may be
 learned from. Scoring reads every byte of every text.
 
@@ -39,6 +40,8 @@ EPOCHS = 6
 LEAST_STEPS = 240
 #: Texts, and bytes of text, that the fit holds and shuffles at a time.
 BUFFER, BUFFER_BYTES = 1024, 16 << 20
+#: Bytes of text that the driver keeps between epochs; further parts are read again.
+HOLD_BYTES = 64 << 20
 
 
 @dataclass
@@ -233,17 +236,22 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
         sample = there if sample is None else sample.unionAll(there)
     # in parts of about BUFFER rows, dealt by hash, which mix the classes
     parts = -(-sum(min(per_class, x) for x in shares.values()) // BUFFER)
-    sample = stored(sample.withColumn("__p", F.pmod(F.xxhash64(F.lit("part"), "__k"), F.lit(parts))), "examples")
+    sample = stored(sample.withColumns({"__h": F.xxhash64("__k"), "__p": F.pmod(F.xxhash64(F.lit("part"), "__k"), F.lit(parts))}), "examples")
     taken = {r[0]: r[1] for r in sample.groupBy("__y").count().collect()}
 
-    held: list = []  # the last part read: a sample of one part is read once
+    held, size = {}, 0  # parts read, up to HOLD_BYTES
 
     def rows() -> Iterator[tuple[np.ndarray, float]]:
+        nonlocal size
         for part in range(parts):
-            if not held or held[0] != part:
-                held[:] = [part, sample.filter(F.col("__p") == part).orderBy(F.xxhash64("__k"), "__k", F.xxhash64("b")).select("b", "__y").collect()]
-            for r in held[1]:
-                yield np.frombuffer(r["b"].encode(), np.uint8), float(r["__y"])
+            got = held.get(part)
+            if got is None:
+                got = sorted(tuple(r) for r in sample.filter(F.col("__p") == part).select("__h", "b", "__y").collect())
+                more = sum(len(t) for _, t, _ in got)
+                if size + more <= HOLD_BYTES:
+                    held[part], size = got, size + more
+            for _, text, y in got:
+                yield np.frombuffer(text.encode(), np.uint8), float(y)
 
     net = fit(rows, sum(taken.values()))
     net.base += float(np.log(shares[1] / shares[0]) - np.log(taken[1] / taken[0]))

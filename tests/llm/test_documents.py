@@ -671,9 +671,11 @@ def test_labels_without_documents_and_repeated_labels_teach_nothing(spark):
     assert all((scored[i] >= 0.5) == (i % 2 == 1) for i, _ in rows)
 
 
-def test_fit_reads_whole_texts(spark, monkeypatch):
+@pytest.mark.parametrize("hold", [0, 200_000, 1 << 26])
+def test_fit_reads_whole_texts(spark, monkeypatch, hold):
     """Every byte of the sampled texts reaches the fit, long ones included."""
     monkeypatch.setattr(quality, "BUFFER", 64)
+    monkeypatch.setattr(quality, "HOLD_BYTES", hold)
     rows = _two_kinds(150, long=6000)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
@@ -681,7 +683,7 @@ def test_fit_reads_whole_texts(spark, monkeypatch):
 
     def fit(stream, n, **options):
         seen.append([(bytes(t).decode(), y) for t, y in stream()])
-        assert len(seen[0]) == n
+        assert len(seen[0]) == n and [(bytes(t).decode(), y) for t, y in stream()] == seen[0]
         return quality.Network(np.zeros((quality.WIDTH, 256, quality.FILTERS)), np.zeros(quality.FILTERS), np.zeros(2 * quality.FILTERS), 0.0)
 
     monkeypatch.setattr(quality, "fit", fit)
