@@ -19,7 +19,9 @@ classes. So no group is expanded into all its pairs, none is gathered in one
 place however large, and no link between components is lost.
 
 Texts that are null, empty or without words have an empty set and link with
-nothing. A null id counts as larger than any id."""
+nothing. A null id counts as larger than any id. Ids are whole numbers or
+texts of such (any other fails the query); 2**63 - 1 stands for a null id and
+comes back as null."""
 
 from __future__ import annotations
 

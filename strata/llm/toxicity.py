@@ -238,7 +238,8 @@ def train(
 def score_toxicity(docs: DataFrame, index: Index, text: str = "text", out: str = "score", k: int = NEIGHBOURS) -> DataFrame:
     """``docs`` with ``out`` (probability of label 1) and ``evidence``: the
     nearest examples (id as text, label, cosine), nearest first. Columns of
-    these names are replaced."""
+    these names are replaced. Each row is scored by itself: repeated rows have
+    equal scores, null and empty texts the share of label 1, without evidence."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(index).values()))  # bounded by the sample and the vocabulary
     rows = docs.drop(out, "evidence")
