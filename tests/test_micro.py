@@ -406,9 +406,9 @@ def test_split_plans_for_last_rows_and_running_totals(spark):
 
     from .conftest import SF_SMALL
 
-    p = panel(spark, SF_SMALL).where("entity <= 4")
+    p = panel(spark, SF_SMALL).where("entity <= 2").cache()
     p = p.unionByName(p.limit(3).withColumn("entity", F.lit(None).cast("long"))).unionByName(p.limit(1).withColumn("dt", F.lit(None).cast("date")).withColumn("entity", F.lit(99).cast("long")))
-    for block in (F.year("dt"), F.floor(F.datediff("dt", F.lit("1990-01-01")) / 28)):
+    for block in (F.floor(F.datediff("dt", F.lit("1990-01-01")) / 28),):  # block edges every four weeks
         for plain, split in [
             (series.last_rows(p, SPEC, 5), series.last_rows(p, SPEC, 5, block)),
             (series.forecast_baseline(p, SPEC), series.forecast_baseline(p, SPEC, split_block=block)),
