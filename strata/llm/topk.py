@@ -3,10 +3,12 @@
 Components are the terms: each vector is quantised to integers; the vectors
 of a group, in the order of their ids, are cut into blocks, and every block keeps the maximum (and, for
 negative query weights, the minimum) of each component. A query's bound for a
-block is the sum over its components of the larger product. Blocks are visited
-in order of falling bound and scored through their forward rows until the next
-bound is below the k-th score found; a block whose bound equals it is still
-scored, so ties go to the smaller id exactly.
+block is the sum over its components of the larger product. A query first
+scores its block of the highest bound through its forward rows, which sets its
+k-th score. Then the blocks are visited in order of their falling highest bound,
+each scored at once for all queries whose bound is not below the k-th score
+found so far; a block whose bound equals it is still scored, so ties go to the
+smaller id exactly.
 
 Rows with a null id take no part, nor do vectors that are null or hold null or
 non-finite components; of rows sharing an id, the largest vector counts.
@@ -44,28 +46,35 @@ def block_search(qids, q, ids, v, k: int, block_rows: int = BLOCK_ROWS):
     bounds = np.maximum(q, 0) @ top.T + np.minimum(q, 0) @ low.T
     # sums beyond 2**53 are rounded: widen, never prune what might be in
     bounds += np.abs(bounds) * 1e-9 + (np.abs(q) @ np.maximum(np.abs(top), np.abs(low)).T) * 1e-12
-    order = np.argsort(-bounds, axis=1, kind="stable")
     least = np.iinfo(np.int64).min
     best = np.full((m, k), least)
     best_row = np.full((m, k), n)  # n: nothing yet
-    active = np.arange(m)
-    for step in range(len(starts)):
-        block = order[active, step]
-        full = best_row[active, k - 1] < n
-        active = active[~full | (bounds[active, block] >= best[active, k - 1])]
-        if not len(active):
-            break
-        block = order[active, step]
-        for b in np.unique(block):
-            who = active[block == b]
-            rows = np.arange(starts[b], min(starts[b] + block_rows, n))
-            score = _products(q[who], v[rows])
-            row = np.broadcast_to(rows, score.shape).copy()
-            own = ids[rows][None, :] == qids[who][:, None]
-            score[own], row[own] = least, n
-            score, row = np.hstack([best[who], score]), np.hstack([best_row[who], row])
-            keep = _rank(score, row)[:, :k]
-            best[who], best_row[who] = np.take_along_axis(score, keep, 1), np.take_along_axis(row, keep, 1)
+
+    def score_block(b: int, who: np.ndarray) -> None:
+        rows = np.arange(starts[b], min(starts[b] + block_rows, n))
+        score = _products(q[who], v[rows])
+        own = ids[rows][None, :] == qids[who][:, None]
+        # queries that the block has nothing for are done with it: an equal score may win by its id
+        some = ((score >= best[who, k - 1, None]) & ~own).any(axis=1)
+        who, score, own = who[some], score[some], own[some]
+        row = np.broadcast_to(rows, score.shape).copy()
+        score[own], row[own] = least, n
+        score, row = np.hstack([best[who], score]), np.hstack([best_row[who], row])
+        keep = _rank(score, row)[:, :k]
+        best[who], best_row[who] = np.take_along_axis(score, keep, 1), np.take_along_axis(row, keep, 1)
+
+    if not m or not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # each query's own best block sets its k-th score; then the blocks by their highest bound,
+    # each scored at once for all queries that it may still give a row
+    first = bounds.argmax(axis=1)
+    for b in np.unique(first):
+        score_block(b, np.flatnonzero(first == b))
+    for b in np.argsort(-bounds.max(axis=0), kind="stable"):
+        open_ = (best_row[:, k - 1] == n) | (bounds[:, b] >= best[:, k - 1])
+        who = np.flatnonzero(open_ & (first != b))
+        if len(who):
+            score_block(b, who)
     at, slot = np.nonzero(best_row < n)
     return at, best_row[at, slot], best[at, slot]
 

@@ -78,3 +78,17 @@ def test_permutation_index_finds_the_nearest(spark):
         assert [(-x, i) for _, i, x in found] == sorted((-x, i) for _, i, x in found)
         recall.append(len({i for _, i, _ in found} & set(ids[order])) / 20)
     assert np.mean(recall) >= 0.9
+
+
+def test_a_block_is_scored_at_once_for_all_queries_it_may_serve(monkeypatch):
+    rng = np.random.default_rng(3)
+    v = np.floor(256 * rng.normal(0, 1, (2048, 16)))
+    v[100:300] = v[100]  # equal scores: smaller ids win
+    ids, calls, plain = np.arange(2048) * 3, [], topk._products
+    monkeypatch.setattr(topk, "_products", lambda q, x: calls.append(len(q)) or plain(q, x))
+    at, row, score = topk.block_search(ids[::8], v[::8], ids, v, 5, block_rows=32)
+    assert len(calls) <= 2 * 64  # not a call for every query and block
+    for i, q in enumerate(range(0, 2048, 8)):
+        s = (v @ v[q]).astype(int)
+        want = [r for r in np.lexsort((ids, -s)) if r != q][:5]
+        assert row[at == i].tolist() == want and score[at == i].tolist() == s[want].tolist()
