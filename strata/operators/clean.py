@@ -11,9 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, MapType
 
-from ..functions.dates import date_votes, parse_date, parse_date_voted
+from ..functions.dates import date_votes, parse_date, parse_date_ordered, vote_order
 from ..functions.numeric import exact_avg, plain_avg
 from ..functions.ranking import exact_quantiles, quantile_targets
 from ..functions.scalars import with_scalars
@@ -113,14 +113,19 @@ def parse_dates(
     One given pattern is used as it is. Of several (by default all known ones)
     every row takes the one that the unambiguous values of the whole column
     speak for most, among those that can read it; the votes are one row,
-    broadcast. ``votes`` takes them from elsewhere (``date_votes``)."""
+    broadcast. ``votes`` takes them from elsewhere (``date_votes``). To parse
+    several columns, take the votes of all of them from the raw table at once:
+    those of a column counted behind the parsing of others would repeat it."""
     target = out or column
     if isinstance(formats, str) or (formats is not None and len(formats) == 1):
         res = df.withColumn(target, parse_date(column, formats))
     else:
         names = [*df.columns, *([target] if target not in df.columns else [])]
-        voted = with_scalars(df, votes if votes is not None else date_votes(df, column, formats))
-        res = voted.withColumn(target, parse_date_voted(column, formats)).select(*names)
+        one = votes if votes is not None else date_votes(df, column, formats)
+        order = F.col("_vote_order") if "_vote_order" in one.columns else vote_order("_votes")
+        if "_vote_order" in one.columns and isinstance(one.schema["_vote_order"].dataType, MapType):
+            order = order[column]
+        res = with_scalars(df, one).withColumn(target, parse_date_ordered(column, order, formats)).select(*names)
     if parts:
         d = F.col(target)
         res = res.withColumns(

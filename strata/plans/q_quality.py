@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..functions.dates import date_votes
 from ..functions.ranking import quantile_targets
 from ..operators import clean as CL
 from ..operators import quality as QU
@@ -200,8 +201,9 @@ def parse_dates_month_first(spark, sf):
     """The same dates written in six formats, a column each: every column is
     read as a whole, ambiguous days and months included."""
     out = panel(spark, sf).select("entity", "dt", *[F.date_format("dt", f).alias(c) for c, f in _TEXT_DATES.items()])
+    votes = date_votes(out, list(_TEXT_DATES))
     for c in _TEXT_DATES:
-        out = CL.parse_dates(out, c, parts=False)
+        out = CL.parse_dates(out, c, parts=False, votes=votes)
     return out.select("entity", *[F.col(c).cast("string").alias(c) for c in ("dt", *_TEXT_DATES)])
 
 

@@ -533,3 +533,40 @@ def test_approximate_quantiles_are_passed_on(spark):
         texts = [run(e)._jdf.queryExecution().optimizedPlan().toString() for e in (True, False)]
         assert "bracket missed" in texts[0] and "bracket missed" not in texts[1]
         assert run(False).count() > 0
+
+
+def test_patterns_are_tried_on_texts_of_their_shape_and_lose_none(spark):
+    import itertools
+
+    from strata.functions.dates import DATE_FORMATS, _read, _shape, date_votes
+
+    days, years = ("1", "01", "001", "12", "13", "0", "00", "31", "32", "+5", "-5", "x", ""), ("2010", "0000", "+12345", "12345", "-2010", "201", "", "2010 ", "2010x", "99999999")
+    texts = {sep.join(p) for sep in "-/. " for a in days for b in days for y in years for p in ((a, b, y), (y, a, b))}
+    texts |= {"20100102", "2010-01-02T00", " 2010-01-02 ", "\t2010-01-02", "１２/１２/2010", "12/12/2010\n", "02 Jan 2010", "Jan"}
+    df = spark.createDataFrame([(t,) for t in texts], "d string").select(F.trim("d").alias("d"))
+    formats = [*DATE_FORMATS, "yyyyMMdd", "yyyy.M.d", "d M yyyy", "dd MMM yyyy", "yyyy-MM-dd'T'HH"]
+    assert [f for f in formats if _shape(f) is None] == formats[-2:]
+    lost = df.select("d", *[(~_read(F.col("d"), f).eqNullSafe(F.try_to_date("d", f))).alias(f"x{i}") for i, f in enumerate(formats)])
+    assert lost.where(F.greatest(*[F.col(f"x{i}") for i in range(len(formats))])).collect() == []
+    # a text is read once for each pattern, whatever is asked of its dates
+    plan = date_votes(df, "d")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == len(DATE_FORMATS) == plan.lower().count("rlike(")
+
+
+def test_columns_are_parsed_with_votes_of_one_pass(spark):
+    from strata.functions.dates import date_votes
+    from strata.operators.clean import parse_dates
+    from strata.plans import QUERIES
+
+    rows = [("12/25/2010", "25/12/2010", "2010-12-25"), ("05/02/2010", "05/02/2010", "2010-05-02"), (None, "", "x")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    out, votes = df, date_votes(df, ["a", "b", "c"])
+    for c in "abc":
+        out = parse_dates(out, c, parts=False, votes=votes)
+    got = {tuple(None if x is None else str(x) for x in r) for r in out.collect()}
+    assert got == {("2010-12-25", "2010-12-25", "2010-12-25"), ("2010-05-02", "2010-02-05", "2010-05-02"), (None, None, None)}
+    from .conftest import SF_SMALL
+
+    # one scan for the rows, and one plan of the votes for each column that takes them (all the same, so run once)
+    plan = QUERIES["parse_dates_month_first"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 7
