@@ -264,6 +264,10 @@ def feature_set(
     return value_quartiles(feats, spec, quartile_bounds(df, spec))
 
 
+#: Rows of an entity that one window of ``split_window_features`` holds, beside those lent by the tile next to it.
+TILE_ROWS = 4096
+
+
 def _running_totals(df: DataFrame, spec: PanelSpec, block: Column) -> DataFrame:
     """``df`` plus row number ``_rn``, running sum ``_cs`` and running count
     ``_cc`` of each entity, computed within (entity, ``block``) windows and
@@ -318,40 +322,38 @@ def split_window_features(
     1. Row numbers and running sums are computed inside (entity, time block)
        windows (``block`` defaults to the year) and shifted by the totals of
        the earlier blocks (a small per-block aggregate).
-    2. Every row is sent to the rows k positions later, for each needed k, and
-       one ``groupBy(entity, row)`` gathers them: each group holds at most
-       1 + |k| rows and the groups of one entity hash over all partitions;
-       the columns of a row travel in one of its copies.
+    2. The numbered rows of an entity are cut into tiles of ``TILE_ROWS``
+       (or the farthest k, if more). A row less than k rows before the next
+       tile (or behind the one before, for negative k) goes to that tile
+       too, as a lender of its values; windows over (entity, tile) then look
+       k rows back, and lenders are dropped.
     Same columns and values as ``rolling_columns`` + ``lag_columns``."""
     ent = spec.entity
     m = money(spec.value, spec)
     rows = _running_totals(df, spec, block if block is not None else F.year(spec.time))
-    # a double measure is summed row by row (see _trailing), so a window needs its k - 1 earlier values themselves
+    # a double measure is summed row by row (see _trailing), over the frame itself
     double = spec.value_scale is None
-    back = sorted({j for k in windows for j in range(1, k)}) if double else sorted(set(windows))
-    ks = sorted({*back, *lags})
-    whole = F.struct(*[F.col(c) for c in df.columns])
-    copies = rows.select(
-        ent,
-        whole.alias("_whole"),
-        m.alias("_m"),
-        F.col(spec.value).alias("_v"),
-        "_rn",
-        "_cs",
-        "_cc",
-        F.explode(F.array(*[F.lit(k) for k in [0, *ks]])).alias("_k"),
-    ).withColumns({"_t": F.col("_rn") + F.col("_k"), "_row": F.when(F.col("_k") == 0, F.col("_whole"))}).drop("_whole")
-
-    def at(k: int, c: str) -> Column:
-        return F.max(F.when(F.col("_k") == k, F.col(c)))
-
-    g = copies.groupBy(ent, "_t").agg(
-        F.first("_row", ignorenulls=True).alias("_row"),
-        *([] if double else [at(k, c).alias(f"{c}{k}") for k in [0, *back] for c in ("_cs", "_cc")]),
-        *([F.sum(F.when(F.col("_k") < k, F.col("_m"))).alias(f"_s{k}") for k in windows] if double else []),
-        *([F.count(F.when(F.col("_k") < k, F.col("_m"))).alias(f"_n{k}") for k in windows] if double else []),
-        *[at(k, "_v").alias(f"_v{k}") for k in lags],
-    ).where(F.col("_row").isNotNull())
+    back = max([0, *([k - 1 for k in windows] if double else windows), *lags])
+    ahead = max([0, *[-k for k in lags]])
+    n_tile = max(TILE_ROWS, back, ahead)
+    at = F.col("_rn") - 1
+    tile, place = F.floor(at / n_tile), at % n_tile
+    own = [F.struct(tile.alias("tile"), F.lit(False).alias("lent"))]
+    if back:
+        own.append(F.when(place >= n_tile - back, F.struct((tile + 1).alias("tile"), F.lit(True).alias("lent"))))
+    if ahead:
+        own.append(F.when(place < ahead, F.struct((tile - 1).alias("tile"), F.lit(True).alias("lent"))))
+    dealt = rows.select(*df.columns, "_rn", "_cs", "_cc", F.explode(F.array_compact(F.array(*own))).alias("_in"))
+    dealt = dealt.select(*df.columns, "_rn", "_cs", "_cc", F.col("_in.tile").alias("_tile"), F.col("_in.lent").alias("_lent"), m.alias("_m"))
+    w = Window.partitionBy(ent, "_tile").orderBy("_rn")
+    seen: dict[str, Column] = {f"_v{k}": F.lag(spec.value, k).over(w) for k in lags}
+    for k in windows:
+        if double:
+            frame = w.rowsBetween(1 - k, 0)
+            seen |= {f"_s{k}": F.sum("_m").over(frame), f"_n{k}": F.count("_m").over(frame)}
+        else:
+            seen |= {f"{c}{k}": F.lag(c, k).over(w) for c in ("_cs", "_cc")}
+    g = dealt.withColumns(seen).where(~F.col("_lent")).withColumnsRenamed({"_cs": "_cs0", "_cc": "_cc0"})
     out: dict[str, Column] = {}
     for k in windows:
         if double:
@@ -365,4 +367,4 @@ def split_window_features(
         out[f"Rolling_Sum_{k}W"] = r2(s)
     for k in lags:
         out[f"Sales_Lag_{k}W"] = F.col(f"_v{k}")
-    return g.select("_row.*", *[c.alias(n) for n, c in out.items()])
+    return g.select(*df.columns, *[c.alias(n) for n, c in out.items()])

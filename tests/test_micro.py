@@ -570,3 +570,23 @@ def test_columns_are_parsed_with_votes_of_one_pass(spark):
     # one scan for the rows, and one plan of the votes for each column that takes them (all the same, so run once)
     plan = QUERIES["parse_dates_month_first"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") <= 7
+
+
+def test_split_rows_look_back_over_tiles(spark, monkeypatch):
+    import datetime as dt
+
+    from strata.operators import features
+    from strata.spec import PanelSpec
+
+    monkeypatch.setattr(features, "TILE_ROWS", 3)
+    rows = [(e, dt.date(2020, 1, 6) + dt.timedelta(weeks=i), float(i * i) if i % 4 else None, 0, 0.0, 0.0, 0.0, 0.0) for e in (1, None) for i in range(23)]
+    df = _double_panel(spark, rows)
+    for spec in (PanelSpec(), PanelSpec(value_scale=None)):
+        for windows, lags in (((2,), (1, 2)), ((4, 2), (7, -2, 0)), ((), (-3,)), ((1,), ())):
+            want = df.withColumns(features.rolling_columns(spec, windows) | features.lag_columns(spec, lags))
+            got = features.split_window_features(df, spec, windows, lags, F.month("dt")).select(*want.columns)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # a row goes to its own tile and, near an edge, to the next: not once for every k
+    monkeypatch.setattr(features, "TILE_ROWS", 10)
+    plan = features.split_window_features(df, PanelSpec(), (4, 8), (1, 9), F.month("dt"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(" not in plan and plan.count("_tile") > 0
