@@ -20,6 +20,8 @@ from ..functions.scalars import with_scalars
 from ..spec import DEFAULT, PanelSpec
 from .quality import missing, numeric_columns
 
+# Columns that ``parse_dates`` adds.
+DATE_PARTS: tuple[str, ...] = ("Year", "Month", "Day", "DayOfWeek")
 STRATEGIES = ("mean", "median", "mode", "drop", "fill")
 
 
@@ -128,9 +130,7 @@ def parse_dates(
         res = with_scalars(df, one).withColumn(target, parse_date_ordered(column, order, formats)).select(*names)
     if parts:
         d = F.col(target)
-        res = res.withColumns(
-            {"Year": F.year(d), "Month": F.month(d), "Day": F.dayofmonth(d), "DayOfWeek": F.dayofweek(d)}
-        )
+        res = res.withColumns(dict(zip(DATE_PARTS, (F.year(d), F.month(d), F.dayofmonth(d), F.dayofweek(d)))))
     return res
 
 
@@ -219,4 +219,8 @@ def clean_panel(
     # the statistics read no date, so dates are parsed behind them
     filled = impute(df, "mean", [spec.value, *spec.covariates], spec)
     capped = cap_outliers(filled, spec.value)
-    return dedupe(parse_dates(capped, date_column, date_out, votes=date_votes(df, date_column)))
+    votes = date_votes(df, date_column)
+    if date_out is None or {date_out, *DATE_PARTS} & set(df.columns):
+        return dedupe(parse_dates(capped, date_column, date_out, votes=votes))
+    # the text stays and nothing is replaced: rows are equal without their dates if they are with them
+    return parse_dates(dedupe(capped), date_column, date_out, votes=votes)

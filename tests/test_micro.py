@@ -590,3 +590,27 @@ def test_split_rows_look_back_over_tiles(spark, monkeypatch):
     monkeypatch.setattr(features, "TILE_ROWS", 10)
     plan = features.split_window_features(df, PanelSpec(), (4, 8), (1, 9), F.month("dt"))._jdf.queryExecution().optimizedPlan().toString()
     assert "first(" not in plan and plan.count("_tile") > 0
+
+
+def test_cleaning_reads_a_date_once_for_the_votes_and_once_for_its_row(spark):
+    from strata.functions.dates import DATE_FORMATS
+    from strata.plans import QUERIES
+
+    from .conftest import SF_SMALL
+
+    plan = QUERIES["clean_panel"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == 2 * len(DATE_FORMATS) == plan.lower().count("rlike(")
+
+
+def test_cleaned_rows_are_equal_by_the_columns_that_stay(spark):
+    from strata.operators.clean import clean_panel
+
+    rows = [(1, "2020-01-06", 1.0, 0), (1, "06-01-2020", 1.0, 0), (1, "2020-01-06", 1.0, 0), (1, None, 1.0, 0), (1, "x", 1.0, 0)]
+    df = spark.createDataFrame([(*r, 9) for r in rows], "entity long, raw string, value double, flag int, dt int")
+    spec = SPEC.with_(covariates=())
+    plain = df.drop("dt")
+    assert clean_panel(plain, spec, "raw", "dt").count() == 4  # texts stay apart
+    assert clean_panel(plain, spec, "raw").count() == 2  # dates take the place of the texts
+    assert clean_panel(df, spec, "raw", "dt").count() == 4
+    other = df.withColumn("dt", F.monotonically_increasing_id())  # replaced by the dates: no part of what is equal
+    assert clean_panel(other, spec, "raw", "dt").count() == 4
