@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +13,9 @@ from .common import bound_batches, stored
 
 #: Most vectors of one group (a unit of search reads one group and one batch of queries).
 GROUP_ROWS = 16384
-BATCH_QUERIES = 512
+BATCH_QUERIES = 2048
+#: Tasks for each core, before the batches of queries multiply them.
+TASKS_A_CORE = 4
 
 
 def usable(rows: DataFrame, vec_id: str, vec: str, zero_ok: bool) -> DataFrame:
@@ -29,24 +30,20 @@ def usable(rows: DataFrame, vec_id: str, vec: str, zero_ok: bool) -> DataFrame:
 
 
 def grouped(rows: DataFrame, dim: int, n: int, name: str) -> DataFrame:
-    """Rows gathered into groups of at most ``n`` vectors: ``gid``, ``ids``
-    (int64, ascending) and ``vecs`` (float64; shorter vectors end in zeros)."""
+    """Rows gathered into groups of at most ``n`` vectors: ``ids`` (int64,
+    ascending) and ``vecs`` (float64; shorter vectors end in zeros)."""
     parts = max(1, -(-rows.count() // n))
     dealt = rows.repartition(parts).sortWithinPartitions("id")  # even groups, whatever the ids
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made = TaskContext.get().partitionId(), 0
         ids, vecs, held = [], [], 0
 
         def group():
-            nonlocal ids, vecs, held, made
+            nonlocal ids, vecs, held
             i, v = np.concatenate(ids), np.concatenate(vecs)
             ids, vecs = [i[n:]], [v[n:]]
             held = len(ids[0])
-            made += 1
-            return pa.RecordBatch.from_pydict(
-                {"gid": pa.array([(part << 32) + made], pa.int64()), "ids": pa.array([i[:n].tobytes()], pa.binary()), "vecs": pa.array([v[:n].tobytes()], pa.binary())}
-            )
+            return pa.RecordBatch.from_pydict({"ids": pa.array([i[:n].tobytes()], pa.binary()), "vecs": pa.array([v[:n].tobytes()], pa.binary())})
 
         for b in batches:
             col = b.column("vec")
@@ -62,7 +59,7 @@ def grouped(rows: DataFrame, dim: int, n: int, name: str) -> DataFrame:
         if held:
             yield group()
 
-    return stored(dealt.mapInArrow(gather, "gid long, ids binary, vecs binary"), name)
+    return stored(dealt.mapInArrow(gather, "ids binary, vecs binary"), name)
 
 
 def search(
@@ -82,10 +79,12 @@ def search(
     bound_batches(spark)
     dim = rows.agg(F.max(F.size("vec"))).first()[0] or 0
     groups = grouped(rows, dim, group_rows, "groups")
-    batches = grouped(queries, dim, batch_queries, "queries").withColumnsRenamed({"ids": "qids", "vecs": "qvecs", "gid": "qgid"})
-    gids = [r[0] for r in groups.select("gid").collect()]  # one number per group
-    pairs = batches.withColumn("gid", F.explode(F.array(*[F.lit(g).cast("long") for g in gids]) if gids else F.array().cast("array<bigint>")))
-    pairs = pairs.join(groups, "gid")
+    batches = grouped(queries, dim, batch_queries, "queries").withColumnsRenamed({"ids": "qids", "vecs": "qvecs"})
+    # each task reads its groups and its batches from the stored tables: by their compressed
+    # size Spark would broadcast one side through the driver, and a join by key would shuffle
+    # a copy of every batch for each group
+    groups = groups.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    pairs = groups.hint("shuffle_replicate_nl").crossJoin(batches)
 
     def run(units: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for u in units:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import ann, topk
+from strata.llm import vectors as tables
 
 
 def vectors(spark, seed=1, n=400, dim=8):
@@ -92,3 +93,22 @@ def test_a_block_is_scored_at_once_for_all_queries_it_may_serve(monkeypatch):
         s = (v @ v[q]).astype(int)
         want = [r for r in np.lexsort((ids, -s)) if r != q][:5]
         assert row[at == i].tolist() == want and score[at == i].tolist() == s[want].tolist()
+
+
+def test_batches_meet_groups_without_the_driver_or_a_shuffle(spark):
+    rng = np.random.default_rng(5)
+    v = np.floor(9 * rng.normal(0, 1, (600, 4)))
+    v[100:140] = v[100]
+    rows = spark.createDataFrame([(3 * i, x.tolist()) for i, x in enumerate(v)], "id long, vec array<double>")
+    found = tables.search(rows, rows.filter("id % 2 = 0"), 3, topk.block_search, "long", group_rows=50, batch_queries=16)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "CartesianProduct" in plan
+    assert plan.count("Exchange") == 1  # each task's best by query, and nothing else
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    assert set(got) == set(range(0, 1800, 6))
+    for q, best in got.items():
+        s = (v @ v[q // 3]).astype(int)
+        want = [r for r in np.lexsort((np.arange(600), -s)) if 3 * r != q][:3]
+        assert best == {k + 1: (3 * r, s[r]) for k, r in enumerate(want)}
