@@ -57,7 +57,7 @@ def spread(sample: list[tuple[float, ...]], dim: int, pivots: int) -> np.ndarray
 def permutation_search(pivots: np.ndarray, prefix: int, share: float, least: int):
     """A unit of search (see ``vectors.search``) over these pivots."""
 
-    def unit(qids, q, ids, v, k: int):
+    def unit(qids, q, ids, v, k: int, floor=None):
         # equal vectors are one entry of the index; its rows (ids ascend) join again at the end
         v, entry, copies = np.unique(v, axis=0, return_inverse=True, return_counts=True)
         rows_of, first = np.argsort(entry.ravel(), kind="stable"), np.cumsum(copies) - copies
@@ -118,7 +118,7 @@ def nearest(
     units = spread([tuple(r["vec"]) + (0.0,) * (dim - len(r["vec"])) for r in sample], dim, pivots)
     find = permutation_search(units, prefix, share, least)
 
-    def unit(qids, q, ids, v, k):
+    def unit(qids, q, ids, v, k, floor):
         wide = v.shape[1] - dim  # vectors longer than any pivot
         return (permutation_search(np.pad(units, ((0, 0), (0, wide))), prefix, share, least) if wide > 0 else find)(qids, q, ids, v, k)
 

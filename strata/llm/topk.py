@@ -7,8 +7,8 @@ block is the sum over its components of the larger product. A query first
 scores its block of the highest bound through its forward rows, which sets its
 k-th score. Then the blocks are visited in order of their falling highest bound,
 each scored at once for all queries whose bound is not below the k-th score
-found so far; a block whose bound equals it is still scored, so ties go to the
-smaller id exactly.
+found so far, in this group or one before it; a block whose bound equals it is
+still scored, so ties go to the smaller id exactly.
 
 Rows with a null id take no part, nor do vectors that are null or hold null or
 non-finite components; of rows sharing an id, the largest vector counts.
@@ -24,22 +24,31 @@ from .vectors import search, usable
 
 BLOCK_ROWS = 64
 SCALE = 256
-_EXACT = 2.0**53
+_EXACT, _EXACT_SINGLE = 2.0**53, 2.0**24
+
+
+def _largest(q: np.ndarray, v: np.ndarray) -> float:
+    """No partial sum of an inner product of these is larger."""
+    return float(np.abs(q).sum(axis=1).max(initial=0)) * float(np.abs(v).max(initial=0))
 
 
 def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Integer inner products; in doubles where every partial sum is exact,
-    else in Python integers (held within 64 bits)."""
-    if float(np.abs(q).sum(axis=1).max(initial=0)) * float(np.abs(v).max(initial=0)) < _EXACT:
+    else in Python integers (held within 64 bits). Vectors given in single
+    precision are known to have exact sums there and stay in it."""
+    if q.dtype == np.float32:
+        return q @ v.T
+    if _largest(q, v) < _EXACT:
         return (q @ v.T).astype(np.int64)
     whole = np.frompyfunc(int, 1, 1)
     out = whole(q).astype(object) @ whole(v).astype(object).T
     return np.clip(out, -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def block_search(qids, q, ids, v, k: int, block_rows: int = BLOCK_ROWS):
+def block_search(qids, q, ids, v, k: int, block_rows: int = BLOCK_ROWS, floor: np.ndarray | None = None):
     """Positions of queries and rows, and scores, of each query's best ``k``
-    rows other than its own (ties to smaller ids; ``ids`` ascend)."""
+    rows other than its own (ties to smaller ids; ``ids`` ascend). Rows that
+    score below the query's ``floor`` may be left out."""
     n, m = len(ids), len(qids)
     starts = np.arange(0, n, block_rows)
     top, low = np.maximum.reduceat(v, starts), np.minimum.reduceat(v, starts)
@@ -49,19 +58,25 @@ def block_search(qids, q, ids, v, k: int, block_rows: int = BLOCK_ROWS):
     least = np.iinfo(np.int64).min
     best = np.full((m, k), least)
     best_row = np.full((m, k), n)  # n: nothing yet
+    need = np.full(m, least) if floor is None else floor.astype(np.int64)  # the k-th scores so far
+    if _largest(q, v) < _EXACT_SINGLE:
+        q, v = q.astype(np.float32), v.astype(np.float32)
 
     def score_block(b: int, who: np.ndarray) -> None:
         rows = np.arange(starts[b], min(starts[b] + block_rows, n))
-        score = _products(q[who], v[rows])
-        own = ids[rows][None, :] == qids[who][:, None]
+        score = _products(q if len(who) == m else q[who], v[rows[0] : rows[-1] + 1])
         # queries that the block has nothing for are done with it: an equal score may win by its id
-        some = ((score >= best[who, k - 1, None]) & ~own).any(axis=1)
-        who, score, own = who[some], score[some], own[some]
+        some = score.max(axis=1) >= need[who]
+        if not some.any():
+            return
+        who, score = who[some], score[some].astype(np.int64)
+        own = ids[rows][None, :] == qids[who][:, None]
         row = np.broadcast_to(rows, score.shape).copy()
         score[own], row[own] = least, n
         score, row = np.hstack([best[who], score]), np.hstack([best_row[who], row])
         keep = _rank(score, row)[:, :k]
         best[who], best_row[who] = np.take_along_axis(score, keep, 1), np.take_along_axis(row, keep, 1)
+        need[who] = np.maximum(need[who], best[who, k - 1])
 
     if not m or not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -71,7 +86,7 @@ def block_search(qids, q, ids, v, k: int, block_rows: int = BLOCK_ROWS):
     for b in np.unique(first):
         score_block(b, np.flatnonzero(first == b))
     for b in np.argsort(-bounds.max(axis=0), kind="stable"):
-        open_ = (best_row[:, k - 1] == n) | (bounds[:, b] >= best[:, k - 1])
+        open_ = (need == least) | (bounds[:, b] >= need)
         who = np.flatnonzero(open_ & (first != b))
         if len(who):
             score_block(b, who)

@@ -66,15 +66,17 @@ def search(
     rows: DataFrame,
     queries: DataFrame,
     k: int,
-    unit: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray, np.ndarray]],
+    unit: Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray]],
     score: str,
     group_rows: int = GROUP_ROWS,
     batch_queries: int = BATCH_QUERIES,
 ) -> DataFrame:
     """The ``k`` best rows of every query: ``query_id``, ``rank``, ``vec_id``,
-    ``score``. ``unit(query ids, queries, ids, vectors, k)`` gives query
-    positions, row positions and scores of one batch of queries against one
-    group; the groups' best are merged per query, ties to the smaller id."""
+    ``score``. ``unit(query ids, queries, ids, vectors, k, floor=...)`` gives
+    query positions (ascending), row positions and scores of one batch of
+    queries against one group, where rows that score below the query's floor
+    may be left out; the groups' best are merged per query, ties to the smaller
+    id."""
     spark = rows.sparkSession
     bound_batches(spark)
     dim = rows.agg(F.max(F.size("vec"))).first()[0] or 0
@@ -86,12 +88,24 @@ def search(
     groups = groups.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
     pairs = groups.hint("shuffle_replicate_nl").crossJoin(batches)
 
+    kind = np.int64 if score == "long" else np.float64
+    nothing = np.iinfo(kind).min if score == "long" else -np.inf
+
     def run(units: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tops: dict[int, np.ndarray] = {}  # by a batch's first id: the best scores this task has found
         for u in units:
             for qi, qv, i, v in zip(*(u.column(c) for c in ("qids", "qvecs", "ids", "vecs"))):
                 qids, ids = (np.frombuffer(x.as_py(), np.int64) for x in (qi, i))
                 qvecs, vecs = (np.frombuffer(x.as_py()).reshape(-1, dim) for x in (qv, v))
-                at, row, s = unit(qids, qvecs, ids, vecs, k)
+                top = tops.get(qids[0], np.full((len(qids), k), nothing, kind))
+                at, row, s = unit(qids, qvecs, ids, vecs, k, floor=top[:, 0])
+                # k rows of this task score as much already
+                fit = ~(s < top[at, 0])
+                at, row, s = at[fit], row[fit], s[fit]
+                slot = np.arange(len(at)) - np.searchsorted(at, at)
+                more = np.full((len(qids), k), nothing, kind)
+                more[at, slot] = s
+                tops[qids[0]] = np.sort(np.hstack([top, more]), axis=1)[:, k:]
                 yield pa.RecordBatch.from_pydict({"query_id": pa.array(qids[at]), "vec_id": pa.array(ids[row]), "score": pa.array(s)})
 
     found = pairs.select("qids", "qvecs", "ids", "vecs").mapInArrow(run, f"query_id long, vec_id long, score {score}")

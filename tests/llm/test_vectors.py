@@ -95,12 +95,13 @@ def test_a_block_is_scored_at_once_for_all_queries_it_may_serve(monkeypatch):
         assert row[at == i].tolist() == want and score[at == i].tolist() == s[want].tolist()
 
 
-def test_batches_meet_groups_without_the_driver_or_a_shuffle(spark):
+@pytest.mark.parametrize("unit, score", [(topk.block_search, "long"), (ann.permutation_search(np.eye(4), 4, 1.0, 1000), "double")])
+def test_batches_meet_groups_without_the_driver_or_a_shuffle(spark, unit, score):
     rng = np.random.default_rng(5)
     v = np.floor(9 * rng.normal(0, 1, (600, 4)))
     v[100:140] = v[100]
     rows = spark.createDataFrame([(3 * i, x.tolist()) for i, x in enumerate(v)], "id long, vec array<double>")
-    found = tables.search(rows, rows.filter("id % 2 = 0"), 3, topk.block_search, "long", group_rows=50, batch_queries=16)
+    found = tables.search(rows, rows.filter("id % 2 = 0"), 3, unit, score, group_rows=50, batch_queries=16)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "CartesianProduct" in plan
     assert plan.count("Exchange") == 1  # each task's best by query, and nothing else
@@ -112,3 +113,15 @@ def test_batches_meet_groups_without_the_driver_or_a_shuffle(spark):
         s = (v @ v[q // 3]).astype(int)
         want = [r for r in np.lexsort((np.arange(600), -s)) if 3 * r != q][:3]
         assert best == {k + 1: (3 * r, s[r]) for k, r in enumerate(want)}
+
+
+@pytest.mark.parametrize("scale", [1.0, 2.0**14, 2.0**26])
+def test_block_search_keeps_all_rows_from_the_floor_on(scale):
+    rng = np.random.default_rng(7)
+    v = np.floor(3 * rng.normal(0, 1, (500, 6))) * scale
+    ids, exact = np.arange(500), [[sum(int(a) * int(b) for a, b in zip(x, y)) for y in v] for x in v[::10]]
+    floor = np.array([sorted(s)[-4 - 3 * (i % 5)] for i, s in enumerate(exact)])
+    at, row, score = topk.block_search(ids[::10], v[::10], ids, v, 4, block_rows=8, floor=floor)
+    for i, s in enumerate(exact):
+        want = [(r, s[r]) for r in sorted(range(500), key=lambda r: (-s[r], r)) if r != 10 * i and s[r] >= floor[i]][:4]
+        assert [x for x in zip(row[at == i], score[at == i]) if x[1] >= floor[i]] == want
