@@ -22,11 +22,13 @@ def usable(rows: DataFrame, vec_id: str, vec: str, zero_ok: bool) -> DataFrame:
     """``id`` and ``vec`` (doubles) of the rows that take part: id and vector
     not null, no null, NaN or infinite component, and (unless ``zero_ok``) not
     all zero. Of rows sharing an id, the largest vector in array order counts."""
-    out = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    out = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(vec).alias("vec"))
+    if dict(out.dtypes)["vec"] != "array<float>":  # floats stay in the shuffle: their order is that of the doubles
+        out = out.withColumn("vec", F.col("vec").cast("array<double>"))
     out = out.filter("id IS NOT NULL AND vec IS NOT NULL AND forall(vec, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf'))")
     if not zero_ok:
         out = out.filter("exists(vec, x -> x <> 0)")
-    return out.groupBy("id").agg(F.max("vec").alias("vec"))
+    return out.groupBy("id").agg(F.max("vec").cast("array<double>").alias("vec"))
 
 
 def grouped(rows: DataFrame, dim: int, n: int, name: str) -> DataFrame:

@@ -125,3 +125,16 @@ def test_block_search_keeps_all_rows_from_the_floor_on(scale):
     for i, s in enumerate(exact):
         want = [(r, s[r]) for r in sorted(range(500), key=lambda r: (-s[r], r)) if r != 10 * i and s[r] >= floor[i]][:4]
         assert [x for x in zip(row[at == i], score[at == i]) if x[1] >= floor[i]] == want
+
+
+def test_floats_are_shuffled_as_floats(spark):
+    rows = [(1, [1.5, -0.1]), (1, [1.5, 0.1]), (1, [0.7] * 3), (2, [0.1]), (2, [0.1, -5.0]), (3, [math.nan]), (None, [1.0])]
+    for kind in ("float", "double", "decimal(3,1)"):
+        df = spark.createDataFrame(rows[:-2] + rows[-1:], "id long, vec array<double>").selectExpr("id", f"cast(vec AS array<{kind}>) AS vec")
+        if kind != "decimal(3,1)":
+            df = df.union(spark.createDataFrame(rows[-2:-1], df.schema))
+        out = tables.usable(df, "id", "vec", zero_ok=False)
+        assert dict(out.dtypes) == {"id": "bigint", "vec": "array<double>"}
+        as_kind = np.float32 if kind == "float" else float
+        assert {r["id"]: r["vec"] for r in out.collect()} == {1: [1.5, float(as_kind(0.1))], 2: [float(as_kind(0.1)), -5.0]}
+        assert ("cast(max(vec" in out._jdf.queryExecution().optimizedPlan().toString()) == (kind == "float")
